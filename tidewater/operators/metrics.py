@@ -98,3 +98,92 @@ def register_metrics(registers: DataFrame, length: str = WINDOW) -> DataFrame:
     """Registrations per window (A5); event time = change-log ts (seconds)."""
     return windowed(registers, s_to_ts("ts"), [],
                     [F.count(F.lit(1)).alias("register_ct")], length)
+
+
+# ------------------------------------------------------------------ trade metrics
+
+def cart_user_metrics(cart_uu: DataFrame, length: str = WINDOW) -> DataFrame:
+    """Daily-unique cart users per window (A6); input from ``cart_daily_unique``."""
+    from tidewater.functions.time import text_to_ts
+    return windowed(cart_uu, text_to_ts("event_time"), [],
+                    [F.count(F.lit(1)).alias("cart_add_uu_ct")], length)
+
+
+def order_metrics(flagged: DataFrame, length: str = WINDOW) -> DataFrame:
+    """Unique / new ordering users and order amounts per window (A7). Amounts are the
+    order-level amounts of each line (Q5 kept), nulls as 0 (Q9)."""
+    from tidewater.functions.time import text_to_ts
+    return windowed(flagged, text_to_ts("order_create_time"), [], [
+        F.sum("order_unique").alias("order_unique_user_count"),
+        F.sum("order_new").alias("order_new_user_count"),
+        money_sum("activity_reduce_amount").alias("order_activity_reduce_amount"),
+        money_sum("coupon_reduce_amount").alias("order_coupon_reduce_amount"),
+        money_sum("original_total_amount").alias("order_original_total_amount")], length)
+
+
+def payment_metrics(pay_uu: DataFrame, length: str = WINDOW) -> DataFrame:
+    """Unique / new paying users per window (A8); input from ``pay_unique_and_new``."""
+    from tidewater.functions.time import text_to_ts
+    return windowed(pay_uu, text_to_ts("callback_time"), [], [
+        F.sum("payment_suc_unique_user_count").alias("payment_suc_unique_user_count"),
+        F.sum("payment_suc_new_user_count").alias("payment_suc_new_user_count")], length)
+
+
+def province_order_metrics(lines: DataFrame, provinces: DataFrame,
+                           length: str = WINDOW) -> DataFrame:
+    """Distinct orders and line amount per window and province (A9), names joined after
+    the aggregation (J8) so the join sees one row per (window, province)."""
+    from tidewater.functions.time import text_to_ts
+    agg = windowed(lines, text_to_ts("order_create_time"), ["province_id"], [
+        F.count_distinct("order_id").alias("order_count"),
+        money_sum("split_total_amount").alias("order_amount")], length)
+    names = provinces.select(F.col("id").alias("_pid"), F.col("name").alias("province_name"))
+    out = agg.join(names, agg["province_id"] == names["_pid"], "left")
+    return out.select("stt", "edt", "province_id", "province_name", "order_count",
+                      "order_amount")
+
+
+PRODUCT_COLS = ["trademark_id", "trademark_name", "category1_id", "category1_name",
+                "category2_id", "category2_name", "category3_id", "category3_name"]
+
+
+def _product_select(prod: DataFrame, with_spu: bool) -> DataFrame:
+    cols = [F.col("sku_id").alias("_sku"), F.col("tm_id").alias("trademark_id"),
+            F.col("tm_name").alias("trademark_name"), "category1_id", "category1_name",
+            "category2_id", "category2_name", "category3_id", "category3_name"]
+    if with_spu:
+        cols += ["spu_id", "spu_name"]
+    return prod.select(*cols)
+
+
+def spu_order_metrics(lines: DataFrame, prod: DataFrame, length: str = WINDOW) -> DataFrame:
+    """Order lines and amount per window, user, SPU, trademark and categories (A10).
+
+    Aggregate by (window, user, sku) first, join the product dimension on that much
+    smaller table, then roll up to the SPU keys (enrich after aggregate)."""
+    from tidewater.functions.time import text_to_ts
+    pre = (lines.groupBy(tumble(text_to_ts("order_create_time"), length).alias("win"),
+                         "user_id", "sku_id")
+           .agg(F.count(F.lit(1)).alias("_n"),
+                F.sum(F.col("split_total_amount").cast(MONEY)).alias("_amt")))
+    p = _product_select(prod, True)
+    j = pre.join(p, pre["sku_id"] == p["_sku"], "left")
+    keys = ["user_id", "spu_id", "spu_name", *PRODUCT_COLS]
+    g = j.groupBy("win", *keys).agg(
+        F.sum("_n").alias("order_count"),
+        F.coalesce(F.sum("_amt"), F.lit(0).cast(MONEY)).cast("double").alias("order_amount"))
+    return g.select(*window_text("win"), *keys, "order_count", "order_amount")
+
+
+def refund_metrics(refunds: DataFrame, prod: DataFrame, length: str = WINDOW) -> DataFrame:
+    """Refunds per window, user, trademark and categories (A11; keyed by user, Q6 fixed),
+    aggregated by (window, user, sku) before the product join."""
+    from tidewater.functions.time import text_to_ts
+    pre = (refunds.groupBy(tumble(text_to_ts("create_time"), length).alias("win"),
+                           "user_id", "sku_id")
+           .agg(F.count(F.lit(1)).alias("_n")))
+    p = _product_select(prod, False)
+    j = pre.join(p, pre["sku_id"] == p["_sku"], "left")
+    keys = ["user_id", *PRODUCT_COLS]
+    g = j.groupBy("win", *keys).agg(F.sum("_n").alias("refund_count"))
+    return g.select(*window_text("win"), *keys, "refund_count")

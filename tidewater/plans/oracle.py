@@ -201,3 +201,376 @@ FROM words GROUP BY ALL""")
 
 ORACLE["tokenize"] = with_clog(", " + SEARCH + """
 SELECT "offset", word, count(*) AS n FROM words GROUP BY ALL""")
+
+
+# ================================================================ change log
+
+
+def fmt_s(sec_expr: str) -> str:
+    return f"strftime(epoch_ms(({sec_expr}) * 1000), '%Y-%m-%d %H:%M:%S')"
+
+
+def day_s(sec_expr: str) -> str:
+    return f"strftime(epoch_ms(({sec_expr}) * 1000), '%Y-%m-%d')"
+
+
+DIC = """dic(dic_code, dic_name) AS (VALUES
+  ('2401', 'user search'), ('2402', 'promotion'), ('2403', 'recommendation'),
+  ('2404', 'activity'), ('1101', 'alipay'), ('1102', 'wechat'), ('1103', 'union pay'),
+  ('1501', 'refund money only'), ('1502', 'return goods and money'),
+  ('1301', 'quality problem'), ('1302', 'not as described'), ('1303', 'no longer needed'),
+  ('1201', 'good'), ('1202', 'medium'), ('1203', 'bad'), ('1204', 'automatic'))"""
+
+ORD = """ob AS (
+  SELECT o_orderkey AS k, o_custkey, o_orderstatus, o_orderpriority,
+         epoch_us(o_orderdate) // 1000000 + o_orderkey % 86400 AS ots,
+         CAST(o_totalprice AS DECIMAL(16,2)) AS total,
+         CAST(o_orderkey % 7 AS DECIMAL(16,2)) AS act,
+         CAST(o_orderkey % 5 AS DECIMAL(16,2)) AS cou
+  FROM orders),
+oi0 AS (
+  SELECT 'insert' AS type, ots AS change_ts, '1001' AS order_status,
+         CAST(NULL AS VARCHAR) AS operate_time, CAST(NULL AS VARCHAR) AS old_status,
+         false AS has_old_status, * FROM ob
+  UNION ALL
+  SELECT 'update', ots + 3600, '1003', """ + fmt_s("ots + 3600") + """,
+         CASE WHEN k % 5 = 0 THEN NULL ELSE '1001' END, true, * FROM ob
+  WHERE o_orderstatus = 'F'
+  UNION ALL
+  SELECT 'update', ots + 7200, '1005', """ + fmt_s("ots + 7200") + """,
+         CASE WHEN k % 4 IN (0, 1) THEN NULL ELSE '1004' END, k % 4 <> 1, * FROM ob
+  WHERE o_orderstatus = 'P'),
+oi AS (
+  SELECT CAST(k AS VARCHAR) AS id, type, change_ts, order_status, operate_time, old_status,
+         has_old_status, CAST(o_custkey AS VARCHAR) AS user_id,
+         CAST(o_custkey % 25 AS VARCHAR) AS province_id,
+         CAST(total AS VARCHAR) AS total_amount, CAST(act AS VARCHAR) AS activity_reduce_amount,
+         CAST(cou AS VARCHAR) AS coupon_reduce_amount,
+         CASE WHEN k % 11 <> 0 THEN CAST(total + act + cou AS VARCHAR) END
+           AS original_total_amount
+  FROM oi0),
+pay AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS user_id, CAST(k AS VARCHAR) AS order_id,
+         CASE o_orderpriority WHEN '1-URGENT' THEN '1101' WHEN '2-HIGH' THEN '1102'
+              WHEN '3-MEDIUM' THEN '1103' ELSE '1104' END AS payment_type,
+         """ + fmt_s("ots + 1800") + """ AS callback_time, ots + 1800 AS ts
+  FROM ob WHERE o_orderstatus = 'F' AND k % 5 <> 0)"""
+
+LINES = """lb AS (
+  SELECT l_orderkey AS ok, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_discount, l_tax,
+         epoch_us(l_shipdate) // 1000000 + l_orderkey % 86400 AS lts,
+         CAST(l_orderkey * 100 + l_linenumber AS VARCHAR) AS detail_id,
+         CAST(l_extendedprice AS DECIMAL(16,2)) AS price,
+         CAST(floor(l_discount * 100 + 0.5) AS DECIMAL(16,2)) AS act,
+         CAST(floor(l_tax * 100 + 0.5) AS DECIMAL(16,2)) AS cou,
+         CAST(l_quantity AS INTEGER) AS qty,
+         '240' || CAST(l_linenumber % 5 + 1 AS VARCHAR) AS source_type
+  FROM lineitem),
+od AS (
+  SELECT detail_id AS order_detail_id, CAST(ok AS VARCHAR) AS order_id,
+         CAST(l_partkey AS VARCHAR) AS sku_id, 'sku ' || CAST(l_partkey AS VARCHAR) AS sku_name,
+         CAST(price AS VARCHAR) AS order_price, CAST(qty AS VARCHAR) AS sku_num,
+         """ + fmt_s("lts") + """ AS order_create_time, source_type,
+         CAST(l_suppkey AS VARCHAR) AS source_id,
+         CAST(price - act - cou AS VARCHAR) AS split_total_amount,
+         CAST(act AS VARCHAR) AS split_activity_amount, CAST(cou AS VARCHAR) AS split_coupon_amount,
+         lts AS detail_ts,
+         CAST(price * CAST(qty AS DECIMAL(16,2)) AS VARCHAR) AS split_original_amount
+  FROM lb),
+oa AS (
+  SELECT detail_id AS order_detail_id,
+         CAST(CAST(floor(l_discount * 100 + 0.5) AS BIGINT) AS VARCHAR) AS activity_id,
+         CAST(CAST(floor(l_discount * 100 + 0.5) AS BIGINT) AS VARCHAR) || '-1' AS activity_rule_id,
+         """ + fmt_s("lts") + """ AS activity_create_time
+  FROM lb WHERE l_discount >= 0.05),
+oc AS (
+  SELECT detail_id AS order_detail_id,
+         CAST(CAST(floor(l_tax * 100 + 0.5) AS BIGINT) AS VARCHAR) AS coupon_id,
+         detail_id AS coupon_use_id, """ + fmt_s("lts") + """ AS coupon_create_time
+  FROM lb WHERE l_tax >= 0.05)"""
+
+WIDE = """wide AS (
+  SELECT od.*, oa.activity_id, oa.activity_rule_id, oa.activity_create_time, oc.coupon_id,
+         oc.coupon_use_id, oc.coupon_create_time, dic.dic_name AS source_type_name,
+         oi.type, oi.change_ts, oi.order_status, oi.operate_time, oi.old_status,
+         oi.has_old_status, oi.user_id, oi.province_id, oi.total_amount,
+         oi.activity_reduce_amount, oi.coupon_reduce_amount, oi.original_total_amount
+  FROM od JOIN dic ON od.source_type = dic.dic_code
+  LEFT JOIN oa ON od.order_detail_id = oa.order_detail_id
+  LEFT JOIN oc ON od.order_detail_id = oc.order_detail_id
+  JOIN oi ON od.order_id = oi.id)"""
+
+WIDE_COLS = """order_detail_id, order_id, user_id, province_id, sku_id, sku_num, order_price,
+  split_original_amount, split_total_amount, split_activity_amount, split_coupon_amount,
+  activity_id, activity_rule_id, coupon_id, coupon_use_id, source_type, source_type_name,
+  order_create_time, order_status, type, total_amount, original_total_amount,
+  activity_reduce_amount, coupon_reduce_amount, operate_time, change_ts"""
+
+TIE = """sku_id DESC, source_id DESC, order_price DESC, sku_num DESC,
+  split_activity_amount DESC, split_coupon_amount DESC, activity_id DESC NULLS LAST,
+  coupon_id DESC NULLS LAST"""
+
+
+def settled(delay_s: float) -> str:
+    return """settled AS (
+  SELECT * EXCLUDE (rn, first_ts) FROM (
+    SELECT *, row_number() OVER (PARTITION BY order_detail_id
+                                 ORDER BY detail_ts DESC, """ + TIE + """) AS rn
+    FROM (SELECT *, min(detail_ts) OVER (PARTITION BY order_detail_id) AS first_ts
+          FROM wide WHERE type = 'insert')
+    WHERE detail_ts * 1000 <= first_ts * 1000 + """ + str(int(delay_s * 1000)) + """)
+  WHERE rn = 1)"""
+
+
+PROD = """prod AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS sku_id, split_part(p_name, ' ', 1) AS spu_id,
+         split_part(p_name, ' ', 1) AS spu_name, p_brand AS tm_id, 'tm ' || p_brand AS tm_name,
+         p_type || '-' || CAST(p_size % 5 AS VARCHAR) AS category3_id,
+         lower(p_type) || ' ' || CAST(p_size % 5 AS VARCHAR) AS category3_name,
+         p_type AS category2_id, lower(p_type) AS category2_name,
+         substr(p_type, 1, 1) AS category1_id, 'group ' || substr(p_type, 1, 1) AS category1_name
+  FROM part)"""
+
+CART = """cart AS (
+  SELECT detail_id AS id, CAST(l_suppkey AS VARCHAR) AS user_id,
+         CAST(l_partkey AS VARCHAR) AS sku_id,
+         CASE WHEN l_returnflag = 'N' THEN qty ELSE CAST(ok % 3 AS INTEGER) END AS sku_num,
+         """ + fmt_s("lts") + """ AS create_time,
+         CASE WHEN l_returnflag = 'A' THEN """ + fmt_s("lts + 60") + """ END AS operate_time,
+         source_type, CASE WHEN l_returnflag = 'N' THEN lts ELSE lts + 60 END AS ts
+  FROM lb WHERE l_returnflag = 'N' OR (l_returnflag = 'A' AND ok % 3 > 0))"""
+
+REFUNDS = """refunds AS (
+  SELECT detail_id AS id, CAST(l_suppkey AS VARCHAR) AS user_id, CAST(ok AS VARCHAR) AS order_id,
+         CAST(l_partkey AS VARCHAR) AS sku_id,
+         '150' || CAST(l_linenumber % 2 + 1 AS VARCHAR) AS refund_type,
+         CAST(qty AS VARCHAR) AS refund_num, CAST(price AS VARCHAR) AS refund_amount,
+         '130' || CAST(ok % 4 + 1 AS VARCHAR) AS refund_reason_type,
+         'reason' AS refund_reason_txt, """ + fmt_s("lts") + """ AS create_time, lts AS ts
+  FROM lb WHERE l_returnflag = 'R'),
+refund_orders AS (
+  SELECT CAST(k AS VARCHAR) AS id, CAST(o_custkey % 25 AS VARCHAR) AS province_id,
+         """ + fmt_s("ots + 7200") + """ AS operate_time, ots + 7200 AS ts
+  FROM ob WHERE o_orderstatus = 'P' AND k % 4 <> 1)"""
+
+EVC = """evc AS (
+  SELECT event_id, user_id, event_type, epoch_us(ts) // 1000000 AS ts_s,
+         CAST(props->>'$.k' AS INTEGER) AS k
+  FROM events)"""
+
+
+def with_cdc(body: str) -> str:
+    return ("WITH " + DIC + ",\n" + ORD + ",\n" + LINES + ",\n" + WIDE + ",\n" + PROD + ",\n"
+            + CART + ",\n" + REFUNDS + ",\n" + EVC + body)
+
+
+ORACLE["change_rows"] = with_cdc("""
+SELECT order_detail_id AS id, order_id, sku_id, sku_num, source_type,
+       order_create_time AS create_time, 'insert' AS type, detail_ts AS ts FROM od""")
+
+ORACLE["cart_add"] = with_cdc("""
+SELECT id, user_id, sku_id, sku_num, create_time, operate_time, source_type, ts FROM cart""")
+
+ORACLE["favor_add"] = with_cdc("""
+SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS user_id,
+       CAST(event_id % 2000 AS VARCHAR) AS sku_id, """ + day_s("ts_s") + """ AS date_id,
+       """ + fmt_s("ts_s") + """ AS create_time, ts_s AS ts
+FROM evc WHERE event_type = 'click' AND (k % 2 = 0 OR k % 3 = 0)""")
+
+ORACLE["coupon_get"] = with_cdc("""
+SELECT CAST(event_id AS VARCHAR) AS id, CAST(k % 10 AS VARCHAR) AS coupon_id,
+       CAST(user_id AS VARCHAR) AS user_id, """ + day_s("ts_s") + """ AS date_id,
+       """ + fmt_s("ts_s") + """ AS get_time, ts_s AS ts
+FROM evc WHERE event_type = 'purchase' AND k % 2 = 0""")
+
+
+def coupon_step(rem: int, out: str) -> str:
+    return with_cdc("""
+SELECT CAST(event_id AS VARCHAR) AS id, CAST(k % 10 AS VARCHAR) AS coupon_id,
+       CAST(user_id AS VARCHAR) AS user_id, CAST(event_id % 1000 AS VARCHAR) AS order_id,
+       """ + day_s("ts_s") + """ AS date_id, """ + fmt_s("ts_s") + """ AS """ + out + """,
+       ts_s AS ts
+FROM evc WHERE event_type = 'purchase' AND k % 2 = 1 AND k % 3 = """ + str(rem))
+
+
+ORACLE["coupon_order"] = coupon_step(0, "order_time")
+ORACLE["coupon_pay"] = coupon_step(1, "payment_time")
+
+REG = """reg AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS user_id,
+         1704067200 + (c_custkey * 7919) % 2592000 AS ts FROM customer)"""
+
+ORACLE["user_register"] = with_cdc(", " + REG + """
+SELECT user_id, """ + day_s("ts") + """ AS date_id, """ + fmt_s("ts") + """ AS create_time, ts
+FROM reg""")
+
+ORACLE["payment_success_rows"] = with_cdc("""
+SELECT user_id, order_id, payment_type, callback_time, ts FROM pay""")
+
+ORACLE["refund_order_rows"] = with_cdc("""
+SELECT id, province_id, operate_time, ts FROM refund_orders""")
+
+ORACLE["order_wide"] = with_cdc("""
+SELECT """ + WIDE_COLS + """, old_status AS old_order_status FROM wide""")
+
+ORACLE["order_add"] = with_cdc("""
+SELECT """ + WIDE_COLS + """ FROM wide WHERE type = 'insert'""")
+
+ORACLE["order_cancel"] = with_cdc("""
+SELECT """ + WIDE_COLS + """ FROM wide
+WHERE type = 'update' AND order_status = '1003' AND old_status IS NOT NULL""")
+
+PDETAIL = """pdetail AS (
+  SELECT w.order_detail_id, w.order_id, w.user_id, w.sku_id, w.province_id, w.activity_id,
+         w.activity_rule_id, w.coupon_id, p.payment_type AS payment_type_code,
+         dic.dic_name AS payment_type_name, p.callback_time, w.source_id, w.source_type,
+         w.sku_num, w.split_original_amount, w.split_activity_amount, w.split_coupon_amount,
+         w.split_total_amount AS split_payment_amount, p.ts
+  FROM pay p JOIN dic ON p.payment_type = dic.dic_code
+  JOIN wide w ON w.type = 'insert' AND p.order_id = w.order_id)"""
+
+ORACLE["payment_detail"] = with_cdc(", " + PDETAIL + """
+SELECT * FROM pdetail""")
+
+ORACLE["refund_wide"] = with_cdc("""
+SELECT r.id, r.user_id, r.order_id, r.sku_id, ro.province_id, """ + day_s("r.ts") + """ AS date_id,
+       r.create_time, r.refund_type, t.dic_name AS refund_type_name, r.refund_reason_type,
+       rr.dic_name AS refund_reason_type_name, r.refund_reason_txt, r.refund_num,
+       r.refund_amount, r.ts
+FROM refunds r LEFT JOIN refund_orders ro ON r.order_id = ro.id
+LEFT JOIN dic t ON r.refund_type = t.dic_code
+LEFT JOIN dic rr ON r.refund_reason_type = rr.dic_code""")
+
+ORACLE["comment_wide"] = with_cdc("""
+SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS user_id,
+       CAST(event_id % 2000 AS VARCHAR) AS sku_id, CAST(event_id % 1000 AS VARCHAR) AS order_id,
+       """ + day_s("ts_s") + """ AS date_id, """ + fmt_s("ts_s") + """ AS create_time,
+       '120' || CAST(k % 5 + 1 AS VARCHAR) AS appraise, dic.dic_name AS appraise_name,
+       ts_s AS ts
+FROM evc LEFT JOIN dic ON '120' || CAST(k % 5 + 1 AS VARCHAR) = dic.dic_code
+WHERE event_type = 'view' AND k % 2 = 0""")
+
+ORACLE["cart_wide"] = with_cdc("""
+SELECT id, user_id, sku_id, sku_num, source_type, dic.dic_name AS source_type_name, ts
+FROM cart JOIN dic ON cart.source_type = dic.dic_code""")
+
+ORACLE["lookup_join"] = with_cdc("""
+SELECT order_detail_id AS id, source_type, detail_ts AS ts, dic.dic_name
+FROM od LEFT JOIN dic ON od.source_type = dic.dic_code""")
+
+ORACLE["enrich_product"] = with_cdc(", " + settled(2) + """
+SELECT s.order_detail_id, s.sku_id, s.split_total_amount, p.spu_id, p.spu_name, p.tm_id,
+       p.tm_name, p.category3_id, p.category3_name, p.category2_id, p.category2_name,
+       p.category1_id, p.category1_name
+FROM settled s LEFT JOIN prod p ON s.sku_id = p.sku_id""")
+
+ORACLE["latest_per_key"] = with_cdc("""
+SELECT order_detail_id, detail_ts, sku_id, order_price, sku_num FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_detail_id ORDER BY detail_ts DESC,
+    sku_id DESC, source_id DESC, order_price DESC, sku_num DESC, split_activity_amount DESC,
+    split_coupon_amount DESC) AS rn FROM od) WHERE rn = 1""")
+
+ORACLE["settle_latest"] = with_cdc(", " + settled(30 * 86400) + """
+SELECT order_detail_id, detail_ts, sku_id, split_total_amount, activity_id, coupon_id
+FROM settled""")
+
+ORACLE["first_per_key_gap"] = with_cdc("""
+SELECT order_detail_id, detail_ts, sku_id, order_price FROM (
+  SELECT *, lag(detail_ts) OVER (PARTITION BY order_detail_id ORDER BY detail_ts, sku_id,
+    source_id, order_price, sku_num, split_activity_amount, split_coupon_amount) AS prev_ts
+  FROM od)
+WHERE prev_ts IS NULL OR (detail_ts - prev_ts) * 1000 >= """ + str(30 * 86_400_000))
+
+ORACLE["latest_by_key"] = with_cdc(""",
+cart_all AS (
+  SELECT detail_id AS id, CASE WHEN l_returnflag = 'N' THEN lts ELSE lts + 60 END AS ts,
+         CASE WHEN l_returnflag = 'N' THEN 'insert' ELSE 'update' END AS type,
+         CAST(qty AS VARCHAR) AS sku_num, CAST(l_partkey AS VARCHAR) AS sku_id
+  FROM lb)
+SELECT id, ts, type, sku_num FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, type DESC, sku_num DESC,
+                                                        sku_id DESC) AS rn
+  FROM cart_all) WHERE rn = 1""")
+
+# ---------------------------------------------------------------- trade metrics
+
+ORACLE["register_metrics"] = with_cdc(", " + REG + """
+SELECT """ + win("ts * 1000", 10_000) + """, count(*) AS register_ct FROM reg GROUP BY ALL""")
+
+ORACLE["cart_user_metrics"] = with_cdc("""
+SELECT """ + win("ets * 1000", 10_000) + """, count(*) AS cart_add_uu_ct FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, substr(et, 1, 10) ORDER BY et, id) AS rn
+  FROM (SELECT *, coalesce(operate_time, create_time) AS et,
+               CASE WHEN operate_time IS NULL THEN ts ELSE ts END AS ets FROM cart))
+WHERE rn = 1 GROUP BY ALL""")
+
+
+def money(c: str) -> str:
+    return f"CAST(coalesce(sum(CAST({c} AS DECIMAL(16,2))), 0) AS DOUBLE)"
+
+
+ORACLE["order_metrics"] = with_cdc(", " + settled(2) + """,
+fd AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id, substr(order_create_time, 1, 10)
+                               ORDER BY order_create_time, order_detail_id) AS rn_day
+  FROM settled),
+fu AS (
+  SELECT order_detail_id,
+         row_number() OVER (PARTITION BY user_id ORDER BY substr(order_create_time, 1, 10)) AS rn_user
+  FROM fd WHERE rn_day = 1),
+fl AS (
+  SELECT s.*, CAST(CASE WHEN fu.order_detail_id IS NOT NULL THEN 1 ELSE 0 END AS BIGINT) AS uu,
+         CAST(CASE WHEN fu.rn_user = 1 THEN 1 ELSE 0 END AS BIGINT) AS nu
+  FROM settled s LEFT JOIN fu ON s.order_detail_id = fu.order_detail_id)
+SELECT """ + win("detail_ts * 1000", 10_000) + """,
+       CAST(sum(uu) AS BIGINT) AS order_unique_user_count,
+       CAST(sum(nu) AS BIGINT) AS order_new_user_count,
+       """ + money("activity_reduce_amount") + """ AS order_activity_reduce_amount,
+       """ + money("coupon_reduce_amount") + """ AS order_coupon_reduce_amount,
+       """ + money("original_total_amount") + """ AS order_original_total_amount
+FROM fl GROUP BY ALL""")
+
+ORACLE["payment_metrics"] = with_cdc(", " + PDETAIL + """,
+one AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_detail_id ORDER BY ts) AS rn
+                 FROM pdetail) WHERE rn = 1),
+fd AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, substr(callback_time, 1, 10)
+                                              ORDER BY callback_time, order_detail_id) AS rn2
+                 FROM one) WHERE rn2 = 1),
+fl AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY substr(callback_time, 1, 10)) = 1
+                 AS BIGINT) AS nu
+  FROM fd)
+SELECT """ + win("ts * 1000", 10_000) + """,
+       count(*) AS payment_suc_unique_user_count,
+       CAST(sum(nu) AS BIGINT) AS payment_suc_new_user_count
+FROM fl GROUP BY ALL""")
+
+ORACLE["province_order_metrics"] = with_cdc(", " + settled(2) + """,
+agg AS (
+  SELECT """ + win("detail_ts * 1000", 10_000) + """, province_id,
+         count(DISTINCT order_id) AS order_count,
+         """ + money("split_total_amount") + """ AS order_amount
+  FROM settled GROUP BY ALL)
+SELECT agg.stt, agg.edt, agg.province_id, n.n_name AS province_name, order_count, order_amount
+FROM agg LEFT JOIN nation n ON agg.province_id = CAST(n.n_nationkey AS VARCHAR)""")
+
+PRODUCT_OUT = """p.tm_id AS trademark_id, p.tm_name AS trademark_name, p.category1_id,
+  p.category1_name, p.category2_id, p.category2_name, p.category3_id, p.category3_name"""
+
+ORACLE["spu_order_metrics"] = with_cdc(", " + settled(2) + """
+SELECT """ + win("s.detail_ts * 1000", 10_000) + """, s.user_id, p.spu_id, p.spu_name,
+       """ + PRODUCT_OUT + """, count(*) AS order_count,
+       """ + money("s.split_total_amount") + """ AS order_amount
+FROM settled s LEFT JOIN prod p ON s.sku_id = p.sku_id GROUP BY ALL""")
+
+ORACLE["refund_metrics"] = with_cdc(""",
+kept AS (
+  SELECT * FROM (
+    SELECT *, lag(ts) OVER (PARTITION BY id ORDER BY ts, sku_id, refund_amount, refund_num)
+             AS prev_ts FROM refunds)
+  WHERE prev_ts IS NULL OR (ts - prev_ts) * 1000 >= 5000)
+SELECT """ + win("r.ts * 1000", 10_000) + """, r.user_id, """ + PRODUCT_OUT + """,
+       count(*) AS refund_count
+FROM kept r LEFT JOIN prod p ON r.sku_id = p.sku_id GROUP BY ALL""")

@@ -168,3 +168,225 @@ def q_tokenize(spark, sf):
         "offset", F.col("page.item").alias("item"))
     return lateral_split(rows, "item", "word").groupBy("offset", "word").agg(
         F.count(F.lit(1)).alias("n"))
+
+
+# ================================================================ change log
+from tidewater.operators import cdc, dedupe, dims, trade  # noqa: E402
+
+
+def clog(spark, sf):
+    return dt.change_log(spark, sf)
+
+
+@register("change_rows")
+def q_change_rows(spark, sf):
+    return cdc.change_rows(clog(spark, sf), "order_detail", ("insert",),
+                           ["id", "order_id", "sku_id", "sku_num", "source_type",
+                            "create_time"], database=dt.DATABASE)
+
+
+@register("cart_add")
+def q_cart_add(spark, sf):
+    return cdc.cart_add(clog(spark, sf)).select(
+        "id", "user_id", "sku_id", "sku_num", "create_time", "operate_time", "source_type",
+        "ts")
+
+
+@register("favor_add")
+def q_favor_add(spark, sf):
+    return cdc.favor_add(clog(spark, sf))
+
+
+@register("coupon_get")
+def q_coupon_get(spark, sf):
+    return cdc.coupon_get(clog(spark, sf))
+
+
+@register("coupon_order")
+def q_coupon_order(spark, sf):
+    return cdc.coupon_order(clog(spark, sf))
+
+
+@register("coupon_pay")
+def q_coupon_pay(spark, sf):
+    return cdc.coupon_pay(clog(spark, sf))
+
+
+@register("user_register")
+def q_user_register(spark, sf):
+    return cdc.user_register(clog(spark, sf))
+
+
+@register("payment_success_rows")
+def q_payment_success_rows(spark, sf):
+    return cdc.payment_success_rows(clog(spark, sf))
+
+
+@register("refund_order_rows")
+def q_refund_order_rows(spark, sf):
+    return cdc.refund_order_rows(clog(spark, sf))
+
+
+def wide(spark, sf):
+    return trade.order_wide(clog(spark, sf), dt.dictionary(spark))
+
+
+WIDE_COLS = ["order_detail_id", "order_id", "user_id", "province_id", "sku_id", "sku_num",
+             "order_price", "split_original_amount", "split_total_amount",
+             "split_activity_amount", "split_coupon_amount", "activity_id", "activity_rule_id",
+             "coupon_id", "coupon_use_id", "source_type", "source_type_name",
+             "order_create_time", "order_status", "type", "total_amount",
+             "original_total_amount", "activity_reduce_amount", "coupon_reduce_amount",
+             "operate_time", "change_ts"]
+
+
+@register("order_wide")
+def q_order_wide(spark, sf):
+    return wide(spark, sf).select(*WIDE_COLS, F.col("old").getItem("order_status")
+                                  .alias("old_order_status"))
+
+
+@register("order_add")
+def q_order_add(spark, sf):
+    return trade.order_add(wide(spark, sf)).select(*WIDE_COLS)
+
+
+@register("order_cancel")
+def q_order_cancel(spark, sf):
+    return trade.order_cancel(wide(spark, sf)).select(*WIDE_COLS)
+
+
+# Full tie-break for duplicated order lines (same line id and time).
+LINE_ORDER = ["detail_ts", "sku_id", "source_id", "order_price", "sku_num",
+              "split_activity_amount", "split_coupon_amount", "activity_id", "coupon_id"]
+
+
+def settled_lines(spark, sf, delay_ms: int = 2_000):
+    lines = trade.order_add(wide(spark, sf)).withColumn("_ts_ms", F.col("detail_ts") * 1000)
+    return dedupe.settle_latest(lines, "order_detail_id", "_ts_ms", delay_ms,
+                                ["_ts_ms", *LINE_ORDER[1:]]).drop("_ts_ms")
+
+
+@register("payment_detail")
+def q_payment_detail(spark, sf):
+    log = clog(spark, sf)
+    lines = trade.order_add(trade.order_wide(log, dt.dictionary(spark)))
+    return trade.payment_detail(cdc.payment_success_rows(log), lines, dt.dictionary(spark))
+
+
+@register("refund_wide")
+def q_refund_wide(spark, sf):
+    log = clog(spark, sf)
+    return trade.refund_wide(cdc.refund_rows(log), cdc.refund_order_rows(log),
+                             dt.dictionary(spark))
+
+
+@register("comment_wide")
+def q_comment_wide(spark, sf):
+    return trade.comment_wide(cdc.comment_rows(clog(spark, sf)), dt.dictionary(spark))
+
+
+@register("cart_wide")
+def q_cart_wide(spark, sf):
+    return trade.cart_wide(cdc.cart_add(clog(spark, sf)), dt.dictionary(spark)).select(
+        "id", "user_id", "sku_id", "sku_num", "source_type", "source_type_name", "ts")
+
+
+@register("lookup_join")
+def q_lookup_join(spark, sf):
+    od = cdc.change_rows(clog(spark, sf), "order_detail", ("insert",),
+                         ["id", "source_type"], keep=("ts",))
+    return dims.lookup_join(od, dt.dictionary(spark), "source_type", "dic_code",
+                            ["dic_name"], how="left")
+
+
+def product(spark, sf):
+    t = dt.product_tables(spark, sf)
+    return dims.product_dim(t["sku_info"], t["spu_info"], t["base_trademark"],
+                            t["base_category3"], t["base_category2"], t["base_category1"])
+
+
+@register("enrich_product")
+def q_enrich_product(spark, sf):
+    lines = settled_lines(spark, sf).select("order_detail_id", "sku_id", "split_total_amount")
+    return dims.lookup_join(lines, product(spark, sf), "sku_id", "sku_id",
+                            ["spu_id", "spu_name", "tm_id", "tm_name", "category3_id",
+                             "category3_name", "category2_id", "category2_name",
+                             "category1_id", "category1_name"])
+
+
+# ---------------------------------------------------------------- dedupe
+
+@register("latest_per_key")
+def q_latest_per_key(spark, sf):
+    od = trade.order_lines(clog(spark, sf))
+    return dedupe.latest_per_key(od, ["order_detail_id"], LINE_ORDER[:7]).select(
+        "order_detail_id", "detail_ts", "sku_id", "order_price", "sku_num")
+
+
+@register("settle_latest")
+def q_settle_latest(spark, sf):
+    return settled_lines(spark, sf, delay_ms=30 * 86_400_000).select(
+        "order_detail_id", "detail_ts", "sku_id", "split_total_amount", "activity_id",
+        "coupon_id")
+
+
+@register("first_per_key_gap")
+def q_first_per_key_gap(spark, sf):
+    od = trade.order_lines(clog(spark, sf)).withColumn("_ts_ms", F.col("detail_ts") * 1000)
+    return dedupe.first_per_key_gap(od, "order_detail_id", "_ts_ms", 30 * 86_400_000,
+                                    ["_ts_ms", *LINE_ORDER[1:7]]).select(
+        "order_detail_id", "detail_ts", "sku_id", "order_price")
+
+
+@register("latest_by_key")
+def q_latest_by_key(spark, sf):
+    carts = clog(spark, sf).where(F.col("table") == "cart_info").select(
+        F.col("data").getItem("id").alias("id"), "ts", "type", "data")
+    cur = dedupe.latest_by_key(carts, ["id"], ["ts", "type"], payload="data")
+    return cur.select("id", "ts", "type", F.col("data").getItem("sku_num").alias("sku_num"))
+
+
+# ---------------------------------------------------------------- trade metrics
+
+@register("register_metrics")
+def q_register_metrics(spark, sf):
+    return metrics.register_metrics(cdc.user_register(clog(spark, sf)))
+
+
+@register("cart_user_metrics")
+def q_cart_user_metrics(spark, sf):
+    return metrics.cart_user_metrics(trade.cart_daily_unique(cdc.cart_add(clog(spark, sf))))
+
+
+@register("order_metrics")
+def q_order_metrics(spark, sf):
+    return metrics.order_metrics(trade.order_unique_and_new(settled_lines(spark, sf)))
+
+
+@register("payment_metrics")
+def q_payment_metrics(spark, sf):
+    log = clog(spark, sf)
+    lines = trade.order_add(trade.order_wide(log, dt.dictionary(spark)))
+    pays = trade.payment_detail(cdc.payment_success_rows(log), lines, dt.dictionary(spark))
+    pays = dedupe.first_per_key_gap(pays.withColumn("_ts_ms", F.col("ts") * 1000),
+                                    "order_detail_id", "_ts_ms", 5_000).drop("_ts_ms")
+    return metrics.payment_metrics(trade.pay_unique_and_new(pays))
+
+
+@register("province_order_metrics")
+def q_province_order_metrics(spark, sf):
+    return metrics.province_order_metrics(settled_lines(spark, sf), dt.province_table(spark, sf))
+
+
+@register("spu_order_metrics")
+def q_spu_order_metrics(spark, sf):
+    return metrics.spu_order_metrics(settled_lines(spark, sf), product(spark, sf))
+
+
+@register("refund_metrics")
+def q_refund_metrics(spark, sf):
+    refunds = cdc.refund_rows(clog(spark, sf)).withColumn("_ts_ms", F.col("ts") * 1000)
+    refunds = dedupe.first_per_key_gap(refunds, "id", "_ts_ms", 5_000,
+                                       ["_ts_ms", "sku_id", "refund_amount", "refund_num"])
+    return metrics.refund_metrics(refunds, product(spark, sf))
