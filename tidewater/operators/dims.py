@@ -73,7 +73,7 @@ def maintain_dims(log: DataFrame, rules: DataFrame) -> DataFrame:
     per (sink table, key) - an upsert merge expressed as a ``max_by`` aggregation.
     Output: sink_table, pk, data (map of kept columns)."""
     pruned = prune_columns(apply_rules(log, rules))
-    keyed = pruned.withColumn("pk", F.col("data").getItem(F.col("sink_pk")))
+    keyed = pruned.withColumn("pk", F.col("data")[F.col("sink_pk")])
     return (keyed.groupBy("sink_table", "pk")
             .agg(F.max_by("data", F.struct("ts", "type")).alias("data")))
 

@@ -574,3 +574,114 @@ kept AS (
 SELECT """ + win("r.ts * 1000", 10_000) + """, r.user_id, """ + PRODUCT_OUT + """,
        count(*) AS refund_count
 FROM kept r LEFT JOIN prod p ON r.sku_id = p.sku_id GROUP BY ALL""")
+
+
+# ================================================================ joins of the samples
+
+def interval_sql(bound_ms: int) -> str:
+    return """WITH s AS (SELECT user_id, event_id, event_type, epoch_us(ts) // 1000 AS t FROM events)
+SELECT l.user_id, l.event_id AS l_id, l.t AS l_ts, r.event_id AS r_id, r.t AS r_ts
+FROM s l JOIN s r ON l.user_id = r.user_id
+ AND r.t BETWEEN l.t - """ + str(bound_ms) + """ AND l.t + """ + str(bound_ms) + """
+WHERE l.event_type = 'view' AND r.event_type = 'purchase'"""
+
+
+ORACLE["interval_join"] = interval_sql(5_000)
+ORACLE["interval_join_10m"] = interval_sql(600_000)
+
+for _how, _kw in (("inner", "JOIN"), ("left", "LEFT JOIN"), ("right", "RIGHT JOIN"),
+                  ("full", "FULL OUTER JOIN")):
+    ORACLE[f"equi_join_{_how}"] = """
+SELECT c.c_custkey, c.c_name, o.o_orderkey, o.o_custkey
+FROM (SELECT c_custkey, c_name FROM customer WHERE c_custkey % 3 <> 0) c
+""" + _kw + """ (SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 5 <> 0) o
+ON c.c_custkey = o.o_custkey"""
+
+ORACLE["latest_left_join"] = """
+WITH l AS (
+  SELECT * FROM (
+    SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') AS ship_day,
+           row_number() OVER (PARTITION BY l_orderkey ORDER BY strftime(l_shipdate, '%Y-%m-%d') DESC,
+             l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) AS rn
+    FROM lineitem) WHERE rn = 1)
+SELECT l.l_orderkey, l.l_linenumber, l.ship_day, o.o_orderstatus
+FROM l LEFT JOIN (SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 3 <> 0) o
+ON l.l_orderkey = o.o_orderkey"""
+
+# ================================================================ dims
+ROUTED = """routed AS (
+  SELECT 'dim_user_info' AS sink_table, 'user_info' AS "table", 'insert' AS type,
+         1704067200 + (c_custkey * 7919) % 2592000 AS ts, CAST(c_custkey AS VARCHAR) AS id,
+         NULL AS k
+  FROM customer
+  UNION ALL
+  SELECT 'dim_coupon_use', 'coupon_use', CASE WHEN k % 2 = 0 THEN 'insert' ELSE 'update' END,
+         ts_s, CAST(event_id AS VARCHAR), k
+  FROM evc WHERE event_type = 'purchase'
+  UNION ALL
+  SELECT 'dim_favor_info', 'favor_info', CASE WHEN k % 2 = 0 THEN 'insert' ELSE 'update' END,
+         ts_s, CAST(event_id AS VARCHAR), k
+  FROM evc WHERE event_type = 'click'),
+pruned AS (
+  SELECT sink_table, id AS pk, r.ts, type, 'id' AS "column", id AS value FROM routed r
+  UNION ALL
+  SELECT sink_table, id, r.ts, type, 'create_time', """ + fmt_s("r.ts") + """ FROM routed r
+  WHERE sink_table = 'dim_user_info'
+  UNION ALL
+  SELECT r.sink_table, r.id, r.ts, r.type, c.col, c.val
+  FROM routed r JOIN evc e ON r.sink_table <> 'dim_user_info' AND CAST(e.event_id AS VARCHAR) = r.id,
+  LATERAL (VALUES
+    ('coupon_id', CASE WHEN r.sink_table = 'dim_coupon_use' THEN CAST(e.k % 10 AS VARCHAR) END),
+    ('user_id', CAST(e.user_id AS VARCHAR)),
+    ('coupon_status', CASE WHEN r.sink_table = 'dim_coupon_use' THEN '1401' END),
+    ('using_time', CASE WHEN r.sink_table = 'dim_coupon_use' AND e.k % 2 = 1 AND e.k % 3 = 0
+                        THEN """ + fmt_s("e.ts_s") + """ END),
+    ('sku_id', CASE WHEN r.sink_table = 'dim_favor_info' THEN CAST(e.event_id % 2000 AS VARCHAR) END),
+    ('is_cancel', CASE WHEN r.sink_table = 'dim_favor_info' THEN
+                    CASE WHEN e.k % 2 = 1 AND e.k % 3 = 1 THEN '1' ELSE '0' END END)
+  ) AS c(col, val)
+  WHERE c.val IS NOT NULL)"""
+
+ORACLE["apply_rules"] = with_cdc(", " + ROUTED + """
+SELECT sink_table, "table", type, ts, id FROM routed""")
+
+ORACLE["prune_columns"] = with_cdc(", " + ROUTED + """
+SELECT sink_table, pk, ts, type, "column", value FROM pruned""")
+
+ORACLE["maintain_dims"] = with_cdc(", " + ROUTED + """
+SELECT DISTINCT sink_table, pk, "column", value FROM pruned""")
+
+# ================================================================ reports
+
+ORACLE["gmv_report"] = ORACLE["province_order_metrics"].replace(
+    "SELECT agg.stt, agg.edt, agg.province_id, n.n_name AS province_name, order_count, order_amount\n"
+    "FROM agg LEFT JOIN nation n ON agg.province_id = CAST(n.n_nationkey AS VARCHAR)",
+    "SELECT CAST(sum(CAST(order_amount AS DECIMAL(18,2))) AS DOUBLE) AS gmv FROM agg\n"
+    "WHERE CAST(replace(substr(stt, 1, 10), '-', '') AS INTEGER) = 19970315")
+
+_CH = ORACLE["channel_metrics"]
+_CH_REPORT = _CH[:_CH.rindex("SELECT ")].rstrip() + """,
+cm AS (""" + _CH[_CH.rindex("SELECT "):] + """)
+SELECT ch, CAST(sum(uv_ct) AS BIGINT) AS uv_ct, CAST(sum(uj_ct) AS BIGINT) AS uj_ct FROM cm
+WHERE CAST(replace(substr(stt, 1, 10), '-', '') AS INTEGER) = 20240115 GROUP BY ch"""
+ORACLE["uv_by_channel_report"] = _CH_REPORT
+
+ORACLE["count_by_key"] = with_cdc(""",
+cart_all AS (
+  SELECT detail_id AS id, CASE WHEN l_returnflag = 'N' THEN lts ELSE lts + 60 END AS ts,
+         CASE WHEN l_returnflag = 'N' THEN 'insert' ELSE 'update' END AS type,
+         CAST(l_suppkey AS VARCHAR) AS user_id
+  FROM lb),
+cur AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, type DESC) AS rn
+                 FROM cart_all) WHERE rn = 1)
+SELECT user_id, count(*) AS cnt FROM cur GROUP BY user_id""")
+
+ORACLE["chart_json"] = _CH_REPORT.replace(
+    "SELECT ch, CAST(sum(uv_ct) AS BIGINT) AS uv_ct, CAST(sum(uj_ct) AS BIGINT) AS uj_ct FROM cm",
+    "SELECT CAST(to_json({'status': 0, 'msg': '', 'data': {"
+    "'categories': list(ch ORDER BY ch), 'series': ["
+    "{'name': 'uv', 'data': list(uv_ct ORDER BY ch)}, "
+    "{'name': 'uj', 'data': list(uj_ct ORDER BY ch)}]}}) AS VARCHAR) AS json FROM (\n"
+    "SELECT ch, CAST(sum(uv_ct) AS BIGINT) AS uv_ct, CAST(sum(uj_ct) AS BIGINT) AS uj_ct FROM cm"
+).replace("GROUP BY ch", "GROUP BY ch)")

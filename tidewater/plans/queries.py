@@ -390,3 +390,108 @@ def q_refund_metrics(spark, sf):
     refunds = dedupe.first_per_key_gap(refunds, "id", "_ts_ms", 5_000,
                                        ["_ts_ms", "sku_id", "refund_amount", "refund_num"])
     return metrics.refund_metrics(refunds, product(spark, sf))
+
+
+# ================================================================ joins of the samples
+from tidewater.operators import joins, reports  # noqa: E402
+
+
+def _event_side(spark, sf, etype: str, p: str):
+    ev = dt.table(spark, sf, "events").where(F.col("event_type") == etype)
+    return ev.select(F.col("user_id"), F.col("event_id").alias(f"{p}_id"),
+                     F.expr("unix_micros(cast(ts as timestamp)) div 1000").alias(f"{p}_ts"))
+
+
+def _interval(spark, sf, bound_ms: int):
+    left = _event_side(spark, sf, "view", "l")
+    right = _event_side(spark, sf, "purchase", "r")
+    return joins.interval_join(left, right, "user_id", "l_ts", "r_ts", -bound_ms, bound_ms)
+
+
+@register("interval_join")
+def q_interval_join(spark, sf):
+    return _interval(spark, sf, 5_000)
+
+
+@register("interval_join_10m")
+def q_interval_join_10m(spark, sf):
+    return _interval(spark, sf, 600_000)
+
+
+def _equi(spark, sf, how: str):
+    c = dt.table(spark, sf, "customer").where(F.col("c_custkey") % 3 != 0).select(
+        "c_custkey", "c_name")
+    o = dt.table(spark, sf, "orders").where(F.col("o_orderkey") % 5 != 0).select(
+        "o_orderkey", "o_custkey")
+    return joins.equi_join(c, o, "c_custkey", "o_custkey", how)
+
+
+for _how in ("inner", "left", "right", "full"):
+    register(f"equi_join_{_how}")(lambda spark, sf, _h=_how: _equi(spark, sf, _h))
+
+
+@register("latest_left_join")
+def q_latest_left_join(spark, sf):
+    li = dt.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("ship_day"))
+    o = dt.table(spark, sf, "orders").where(F.col("o_orderkey") % 3 != 0).select(
+        "o_orderkey", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_day"))
+    out = joins.latest_left_join(
+        li, o, "l_orderkey",
+        ["ship_day", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
+        ["order_day"], right_key="o_orderkey")
+    return out.select("l_orderkey", "l_linenumber", "ship_day", "o_orderstatus")
+
+
+# ================================================================ dims
+@register("apply_rules")
+def q_apply_rules(spark, sf):
+    tagged = dims.apply_rules(clog(spark, sf), dt.rules(spark))
+    return tagged.select("sink_table", "table", "type", "ts",
+                         F.col("data").getItem("id").alias("id"))
+
+
+@register("prune_columns")
+def q_prune_columns(spark, sf):
+    pruned = dims.prune_columns(dims.apply_rules(clog(spark, sf), dt.rules(spark)))
+    return pruned.select("sink_table", F.col("data").getItem("id").alias("pk"), "ts", "type",
+                         F.explode("data").alias("column", "value"))
+
+
+@register("maintain_dims")
+def q_maintain_dims(spark, sf):
+    return dims.dim_long(dims.maintain_dims(clog(spark, sf), dt.rules(spark)))
+
+
+# ================================================================ reports
+GMV_DAY = 19970315
+UV_DAY = 20240115
+
+
+def province_metrics_table(spark, sf):
+    return metrics.province_order_metrics(settled_lines(spark, sf), dt.province_table(spark, sf))
+
+
+@register("gmv_report")
+def q_gmv_report(spark, sf):
+    return reports.gmv_report(province_metrics_table(spark, sf), GMV_DAY)
+
+
+@register("uv_by_channel_report")
+def q_uv_by_channel_report(spark, sf):
+    return reports.uv_by_channel_report(metrics.channel_metrics(page_log(spark, sf)), UV_DAY)
+
+
+@register("count_by_key")
+def q_count_by_key(spark, sf):
+    carts = clog(spark, sf).where(F.col("table") == "cart_info").select(
+        F.col("data").getItem("id").alias("id"), "ts", "type", "data")
+    cur = dedupe.latest_by_key(carts, ["id"], ["ts", "type"], payload="data")
+    return reports.count_by_key(cur.select(F.col("data").getItem("user_id").alias("user_id")),
+                                "user_id")
+
+
+@register("chart_json")
+def q_chart_json(spark, sf):
+    return reports.chart_json(q_uv_by_channel_report(spark, sf))
