@@ -673,7 +673,8 @@ cart_all AS (
          CAST(l_suppkey AS VARCHAR) AS user_id
   FROM lb),
 cur AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, type DESC) AS rn
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, type DESC,
+                                                             user_id DESC) AS rn
                  FROM cart_all) WHERE rn = 1)
 SELECT user_id, count(*) AS cnt FROM cur GROUP BY user_id""")
 

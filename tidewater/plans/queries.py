@@ -486,10 +486,10 @@ def q_uv_by_channel_report(spark, sf):
 @register("count_by_key")
 def q_count_by_key(spark, sf):
     carts = clog(spark, sf).where(F.col("table") == "cart_info").select(
-        F.col("data").getItem("id").alias("id"), "ts", "type", "data")
-    cur = dedupe.latest_by_key(carts, ["id"], ["ts", "type"], payload="data")
-    return reports.count_by_key(cur.select(F.col("data").getItem("user_id").alias("user_id")),
-                                "user_id")
+        F.col("data").getItem("id").alias("id"), "ts", "type", "data",
+        F.col("data").getItem("user_id").alias("user_id"))
+    cur = dedupe.latest_by_key(carts, ["id"], ["ts", "type", "user_id"], payload="data")
+    return reports.count_by_key(cur.select("user_id"), "user_id")
 
 
 @register("chart_json")
