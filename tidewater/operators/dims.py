@@ -79,5 +79,6 @@ def maintain_dims(log: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def dim_long(dims: DataFrame) -> DataFrame:
-    """One row per (sink table, key, column) of a dimension table, for inspection."""
-    return dims.select("sink_table", "pk", F.explode("data").alias("column", "value"))
+    """One row per (sink table, key, non-null column) of a dimension table."""
+    return (dims.select("sink_table", "pk", F.explode("data").alias("column", "value"))
+            .where(F.col("value").isNotNull()))

@@ -455,8 +455,9 @@ def q_apply_rules(spark, sf):
 @register("prune_columns")
 def q_prune_columns(spark, sf):
     pruned = dims.prune_columns(dims.apply_rules(clog(spark, sf), dt.rules(spark)))
-    return pruned.select("sink_table", F.col("data").getItem("id").alias("pk"), "ts", "type",
-                         F.explode("data").alias("column", "value"))
+    return (pruned.select("sink_table", F.col("data").getItem("id").alias("pk"), "ts", "type",
+                          F.explode("data").alias("column", "value"))
+            .where(F.col("value").isNotNull()))
 
 
 @register("maintain_dims")

@@ -37,9 +37,36 @@ PAGE_OF_EVENT = {
 }
 
 
+_MEMO: dict[tuple, DataFrame] = {}
+
+
+def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """Reuse an input DataFrame (its file listing and analysed plan) within one
+    application. Lazy plans only: no data is cached."""
+    k = (spark.sparkContext.applicationId, *key)
+    if k not in _MEMO:
+        _MEMO[k] = build()
+    return _MEMO[k]
+
+
+def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has task slots.
+
+    A large table stored as one file/row group is read by a single task, and all
+    per-row work up to the first shuffle would run there. On a cluster, scans of big
+    tables already have thousands of splits and this adds nothing. Filters and column
+    pruning still reach the scan (Catalyst pushes them below the repartition).
+    """
+    slots = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     use_session_zone(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _memo(spark, ("table", sf_dir, name),
+                 lambda: spread(spark, spark.read.parquet(f"{sf_dir}/{name}.parquet")))
 
 
 def _k() -> Column:
@@ -117,8 +144,10 @@ def _click_struct_cols() -> list[Column]:
 
 def click_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed click-log records (clean rows only) plus the topic ``offset``."""
-    ev = _events(spark, sf_dir).where(~_is_dirty())
-    return ev.select(*_click_struct_cols(), F.col("event_id").alias("offset"))
+    def build():
+        ev = _events(spark, sf_dir).where(~_is_dirty())
+        return ev.select(*_click_struct_cols(), F.col("event_id").alias("offset"))
+    return _memo(spark, ("click_log", sf_dir), build)
 
 
 def raw_click_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,9 +247,9 @@ def _fmt_s(sec: Column) -> Column:
 
 
 def _map(**kv: Column) -> Column:
-    """A data map holding only the keys whose value is not null."""
-    m = F.create_map(*[x for k, v in kv.items() for x in (F.lit(k), _txt(v))])
-    return F.map_filter(m, lambda _k, v: v.isNotNull())
+    """A data map; columns without a value are present with a null value, as in the
+    JSON change records (reading ``data[k]`` gives null either way)."""
+    return F.create_map(*[x for k, v in kv.items() for x in (F.lit(k), _txt(v))])
 
 
 def _old(**kv) -> Column:
@@ -366,12 +395,15 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     Built as a union of per-table branches with a literal ``table``: a filter on the
     table name prunes every other branch, so each operator scans only its source.
     """
-    parts = (_order_parts(spark, sf_dir) + _line_parts(spark, sf_dir)
-             + _user_parts(spark, sf_dir) + _event_parts(spark, sf_dir))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    def build():
+        parts = (_order_parts(spark, sf_dir) + _line_parts(spark, sf_dir)
+                 + _user_parts(spark, sf_dir) + _event_parts(spark, sf_dir))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+    use_session_zone(spark)
+    return _memo(spark, ("change_log", sf_dir), build)
 
 
 # ============================================================================ dimensions
