@@ -496,3 +496,35 @@ def q_count_by_key(spark, sf):
 @register("chart_json")
 def q_chart_json(spark, sf):
     return reports.chart_json(q_uv_by_channel_report(spark, sf))
+
+
+# ================================================================ streaming forms
+# Rows-only checks at the driver; tests compare them with the batch forms.
+
+def _stream_input(spark, sf, name):
+    from tidewater.streaming import jobs
+    folder = jobs.land_page_log(spark, page_log(spark, sf), name)
+    return jobs.read_topic_stream(spark, folder)
+
+
+@register("stream_unique_visitor")
+def q_stream_unique_visitor(spark, sf):
+    from tidewater.streaming import jobs
+    s = _stream_input(spark, sf, "uv")
+    return jobs.run_to_table(spark, jobs.unique_visitor_stream(s), "unique_visitor").select(
+        "offset", "mid", "ts", "is_new")
+
+
+@register("stream_user_jump")
+def q_stream_user_jump(spark, sf):
+    from tidewater.streaming import jobs
+    s = _stream_input(spark, sf, "uj")
+    return jobs.run_to_table(spark, jobs.user_jump_stream(s), "user_jump").select(
+        "offset", "mid", "ts")
+
+
+@register("stream_channel_metrics")
+def q_stream_channel_metrics(spark, sf):
+    from tidewater.streaming import jobs
+    s = _stream_input(spark, sf, "cm")
+    return jobs.run_to_table(spark, jobs.channel_metrics_stream(s), "channel_metrics")
