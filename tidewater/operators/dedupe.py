@@ -21,13 +21,21 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
 
 
 def settle_latest(df: DataFrame, key: str, ts_ms: str, delay_ms: int = 2_000,
-                  order_cols: Sequence[str] | None = None) -> DataFrame:
+                  order_cols: Sequence[str] | None = None,
+                  firsts: DataFrame | None = None) -> DataFrame:
     """One row per key (T1): the latest row among those arriving within ``delay_ms`` of
     the key's first row (event-time form of the reference's processing-time timer;
     later rows never emit). A per-key minimum (partial aggregation) is joined back,
-    then a ``max_by`` aggregation picks the row."""
+    then a ``max_by`` aggregation picks the row.
+
+    ``firsts`` (key, first ts) may be given when a narrower upstream table has the same
+    first times (e.g. the raw line stream under a wide join), so the wide input is not
+    computed twice."""
     order_cols = list(order_cols or [ts_ms])
-    first = df.groupBy(key).agg(F.min(ts_ms).alias("_tw_first"))
+    if firsts is None:
+        first = df.groupBy(key).agg(F.min(ts_ms).alias("_tw_first"))
+    else:
+        first = firsts.toDF(key, "_tw_first")
     within = (df.join(first, key)
               .where(F.col(ts_ms) <= F.col("_tw_first") + F.lit(delay_ms))
               .drop("_tw_first"))

@@ -263,8 +263,12 @@ LINE_ORDER = ["detail_ts", "sku_id", "source_id", "order_price", "sku_num",
 
 def settled_lines(spark, sf, delay_ms: int = 2_000):
     lines = trade.order_add(wide(spark, sf)).withColumn("_ts_ms", F.col("detail_ts") * 1000)
+    # A line's first order-wide row is its first change record (a line belongs to one
+    # order), so first times come from the narrow line stream, not the wide join.
+    firsts = (trade.order_lines(clog(spark, sf)).groupBy("order_detail_id")
+              .agg(F.min(F.col("detail_ts") * 1000)))
     return dedupe.settle_latest(lines, "order_detail_id", "_ts_ms", delay_ms,
-                                ["_ts_ms", *LINE_ORDER[1:]]).drop("_ts_ms")
+                                ["_ts_ms", *LINE_ORDER[1:]], firsts=firsts).drop("_ts_ms")
 
 
 @register("payment_detail")
@@ -342,9 +346,12 @@ def q_first_per_key_gap(spark, sf):
 @register("latest_by_key")
 def q_latest_by_key(spark, sf):
     carts = clog(spark, sf).where(F.col("table") == "cart_info").select(
-        F.col("data").getItem("id").alias("id"), "ts", "type", "data")
-    cur = dedupe.latest_by_key(carts, ["id"], ["ts", "type"], payload="data")
-    return cur.select("id", "ts", "type", F.col("data").getItem("sku_num").alias("sku_num"))
+        F.col("data").getItem("id").alias("id"), "ts", "type", "data",
+        F.col("data").getItem("sku_num").alias("sku_num"),
+        F.col("data").getItem("sku_id").alias("sku_id"))
+    cur = dedupe.latest_by_key(carts, ["id"], ["ts", "type", "sku_num", "sku_id"],
+                               payload="data")
+    return cur.select("id", "ts", "type", "sku_num")
 
 
 # ---------------------------------------------------------------- trade metrics
