@@ -20,3 +20,21 @@ def test_stream_equals_batch(spark, stream_name, batch_name, max_pending):
     brows = {tuple(r) for r in b.collect()}
     assert srows <= brows
     assert len(brows) - len(srows) <= max_pending
+
+
+def test_fan_out_foreach_batch(spark):
+    import uuid
+
+    from tidewater.session import ensure_checkpoint_dir
+    from tidewater.sources import driver_tables as dt
+    from tidewater.streaming import jobs
+
+    base = f"{ensure_checkpoint_dir(spark)}/fanout-{uuid.uuid4().hex[:8]}"
+    dt.raw_click_log(spark, SF).select("value").write.text(f"{base}/raw")
+    jobs.run_fan_out(spark, f"{base}/raw", f"{base}/out")
+    counts = {n: spark.read.parquet(f"{base}/out/{n}").count()
+              for n in ("page", "start", "error", "display", "action", "dirty")}
+    batch = REGISTRY["split_dirty"](spark, SF)
+    assert counts["dirty"] == batch.where("kind = 'dirty'").count()
+    assert counts["page"] == REGISTRY["fan_out_page"](spark, SF).count()
+    assert counts["display"] == REGISTRY["explode_displays"](spark, SF).count()

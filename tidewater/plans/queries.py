@@ -40,13 +40,14 @@ def _mid_ts(df: DataFrame) -> list:
 
 @register("split_dirty")
 def q_split_dirty(spark, sf):
-    clean, dirty = logs.split_dirty(dt.raw_click_log(spark, sf))
-    return clean.select(F.lit("clean").alias("kind"), "offset",
-                        F.col("common.mid").alias("mid"), "ts",
-                        F.lit(None).cast("string").alias("raw")).unionByName(
-        dirty.select(F.lit("dirty").alias("kind"), "offset",
-                     F.lit(None).cast("string").alias("mid"),
-                     F.lit(None).cast("long").alias("ts"), F.col("value").alias("raw")))
+    # One parse, both sides tagged in the same pass.
+    p = logs.parse_json(dt.raw_click_log(spark, sf), logs.schemas.CLICK_LOG)
+    dirty = F.col("is_dirty")
+    return p.select(
+        F.when(dirty, F.lit("dirty")).otherwise(F.lit("clean")).alias("kind"), "offset",
+        F.when(~dirty, F.col("_rec.common.mid")).alias("mid"),
+        F.when(~dirty, F.col("_rec.ts")).alias("ts"),
+        F.when(dirty, F.col("value")).alias("raw"))
 
 
 @register("fan_out_page")

@@ -99,3 +99,38 @@ def run_to_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 def land_page_log(spark: SparkSession, page: DataFrame, name: str) -> str:
     base = f"{ensure_checkpoint_dir(spark)}/topics/{name}-{uuid.uuid4().hex[:8]}"
     return land_topic(flat_page(page).select(*FLAT_COLS), base)
+
+
+def fan_out_writer(root: str):
+    """``foreachBatch`` function writing the five log outputs of one micro-batch (T17,
+    S10): the batch is persisted once, each output is appended to its own folder with
+    the batch id as a partition (dynamic overwrite makes a replayed batch idempotent),
+    then the batch is released. Memory held is bounded by one micro-batch."""
+    from tidewater.operators.logs import fan_out_log, split_dirty
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        batch.persist()
+        try:
+            clean, dirty = split_dirty(batch)
+            outs = fan_out_log(clean)
+            outs["dirty"] = dirty
+            for name, df in outs.items():
+                (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+                 .write.mode("overwrite").partitionBy("batch_id")
+                 .parquet(f"{root}/{name}"))
+        finally:
+            batch.unpersist()
+    return write
+
+
+def run_fan_out(spark: SparkSession, raw_folder: str, root: str) -> None:
+    """Route a raw click-log topic (text files) into page/start/error/display/action and
+    dirty tables under ``root``, all available input, one checkpointed query."""
+    from tidewater.sources.topics import read_topic
+    raw = read_topic(spark, raw_folder, stream=True)
+    q = (raw.writeStream.foreachBatch(fan_out_writer(root))
+         .option("checkpointLocation", f"{root}/_checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
