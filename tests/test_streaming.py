@@ -38,3 +38,13 @@ def test_fan_out_foreach_batch(spark):
     assert counts["dirty"] == batch.where("kind = 'dirty'").count()
     assert counts["page"] == REGISTRY["fan_out_page"](spark, SF).count()
     assert counts["display"] == REGISTRY["explode_displays"](spark, SF).count()
+
+
+def test_keyword_metrics_stream_sql(spark):
+    s = REGISTRY["stream_keyword_metrics"](spark, SF)
+    b = REGISTRY["keyword_metrics"](spark, SF).select(*s.columns)
+    srows = {tuple(r) for r in s.collect()}
+    brows = {tuple(r) for r in b.collect()}
+    assert srows <= brows
+    last = max(r[0] for r in brows)
+    assert {r for r in brows if r[0] != last} <= srows  # only the last open window is held

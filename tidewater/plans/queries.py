@@ -536,3 +536,17 @@ def q_stream_channel_metrics(spark, sf):
     from tidewater.streaming import jobs
     s = _stream_input(spark, sf, "cm")
     return jobs.run_to_table(spark, jobs.channel_metrics_stream(s), "channel_metrics")
+
+
+@register("stream_keyword_metrics")
+def q_stream_keyword_metrics(spark, sf):
+    from tidewater.streaming import jobs
+    from tidewater.session import ensure_checkpoint_dir
+    import uuid
+    rows = search_page_log(spark, sf).select(
+        "ts", "offset", F.col("page.last_page_id").alias("last_page_id"),
+        F.col("page.item").alias("item"), F.col("page.item_type").alias("item_type"))
+    folder = jobs.land_topic(
+        rows, f"{ensure_checkpoint_dir(spark)}/topics/search-{uuid.uuid4().hex[:8]}")
+    return jobs.run_to_table(spark, jobs.keyword_metrics_stream(spark, folder),
+                             "keyword_metrics")

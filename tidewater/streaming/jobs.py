@@ -134,3 +134,32 @@ def run_fan_out(spark: SparkSession, raw_folder: str, root: str) -> None:
          .option("checkpointLocation", f"{root}/_checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+KEYWORD_SQL = """
+SELECT date_format(window.start, 'yyyy-MM-dd HH:mm:ss') AS stt,
+       date_format(window.end, 'yyyy-MM-dd HH:mm:ss') AS edt,
+       'search' AS source, keyword, count(*) AS keyword_count
+FROM (
+  SELECT window(rt, '{length}') AS window, keyword
+  FROM {view}
+  LATERAL VIEW explode(regexp_extract_all(lower(item), '{pattern}', 0)) w AS keyword
+  WHERE item IS NOT NULL AND last_page_id = 'search' AND item_type = 'keyword')
+GROUP BY window, keyword
+"""
+
+
+def keyword_metrics_stream(spark: SparkSession, folder: str, length: str = "10 seconds",
+                           view: str = "page_log_stream") -> DataFrame:
+    """Keyword counts per window over a page-log stream, in SQL (S5, T12, A4): the page
+    table keeps item fields and ts, computes ``rt`` (seconds precision) and a 2 s
+    watermark, and the words come from a lateral explode of the built-in tokenizer."""
+    from tidewater.functions.text import WORD_PATTERN
+    src = (spark.readStream.schema(
+        "ts long, offset long, last_page_id string, item string, item_type string")
+        .parquet(folder)
+        .withColumn("rt", F.timestamp_seconds(F.floor(F.col("ts") / 1000)))
+        .withWatermark("rt", "2 seconds"))
+    src.createOrReplaceTempView(view)
+    pattern = WORD_PATTERN.replace("\\", "\\\\")
+    return spark.sql(KEYWORD_SQL.format(length=length, view=view, pattern=pattern))
