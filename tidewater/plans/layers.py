@@ -1,0 +1,29 @@
+"""Layer tables: materialise an intermediate layer once per query.
+
+A plan that fans out (an aggregate joined back to its input, neighbour lookups, unions
+of several derived streams) re-evaluates its input subtree for every branch. The
+reference writes every warehouse layer to a topic; here a layer is written as a parquet
+table under the shared folder named by ``spark.checkpoint.dir`` and read back, which
+evaluates it once, cuts the lineage (a lost executor recomputes from the table, not from
+the raw inputs) and keeps column pruning and filter pushdown for the readers.
+"""
+
+from __future__ import annotations
+
+import os
+import uuid
+
+from pyspark.sql import DataFrame
+
+from tidewater.session import ensure_checkpoint_dir
+
+ENABLED = os.environ.get("TIDEWATER_MATERIALIZE", "1") == "1"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    if not ENABLED:
+        return df
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/layers/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -376,7 +376,11 @@ def q_order_metrics(spark, sf):
 def q_payment_metrics(spark, sf):
     log = clog(spark, sf)
     lines = trade.order_add(trade.order_wide(log, dt.dictionary(spark)))
-    pays = trade.payment_detail(cdc.payment_success_rows(log), lines, dt.dictionary(spark))
+    # The payment facts feed a neighbour lookup (two branches): written once as a layer
+    # table instead of evaluating the wide join twice.
+    from tidewater.plans.layers import materialize
+    pays = materialize(trade.payment_detail(cdc.payment_success_rows(log), lines,
+                                            dt.dictionary(spark)), "payment_detail")
     pays = dedupe.first_per_key_gap(pays.withColumn("_ts_ms", F.col("ts") * 1000),
                                     "order_detail_id", "_ts_ms", 5_000).drop("_ts_ms")
     return metrics.payment_metrics(trade.pay_unique_and_new(pays))

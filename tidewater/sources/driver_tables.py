@@ -21,6 +21,8 @@ Fixed recipe values (click log, from ``events``; ``k`` is the ``props.k`` value
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +51,10 @@ def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
     return _MEMO[k]
 
 
+# Below this many rows one task is cheaper than a round-robin shuffle.
+SPREAD_MIN_ROWS = int(os.environ.get("TIDEWATER_SPREAD_MIN_ROWS", "125000"))
+
+
 def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Spread a scan that yields fewer splits than the cluster has task slots.
 
@@ -58,7 +64,7 @@ def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     pruning still reach the scan (Catalyst pushes them below the repartition).
     """
     slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
+    if df.rdd.getNumPartitions() < slots and df.count() >= SPREAD_MIN_ROWS:
         return df.repartition(slots)
     return df
 
