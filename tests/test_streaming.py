@@ -48,3 +48,14 @@ def test_keyword_metrics_stream_sql(spark):
     assert srows <= brows
     last = max(r[0] for r in brows)
     assert {r for r in brows if r[0] != last} <= srows  # only the last open window is held
+
+
+@pytest.mark.parametrize("stream_name,batch_name", [
+    ("stream_fix_new_flag", "fix_new_flag"),
+    ("stream_login_unique_and_back", "login_unique_and_back"),
+    ("stream_first_per_key_gap", "first_per_key_gap"),
+])
+def test_more_state_machines(spark, stream_name, batch_name):
+    s = REGISTRY[stream_name](spark, SF)
+    b = REGISTRY[batch_name](spark, SF).select(*s.columns)
+    assert {tuple(r) for r in s.collect()} == {tuple(r) for r in b.collect()}

@@ -554,3 +554,54 @@ def q_stream_keyword_metrics(spark, sf):
         rows, f"{ensure_checkpoint_dir(spark)}/topics/search-{uuid.uuid4().hex[:8]}")
     return jobs.run_to_table(spark, jobs.keyword_metrics_stream(spark, folder),
                              "keyword_metrics")
+
+
+@register("stream_fix_new_flag")
+def q_stream_fix_new_flag(spark, sf):
+    from tidewater.streaming import jobs
+    from tidewater.streaming.processors import FLAT_COLS
+    log = dt.click_log(spark, sf)  # all clean records, start records included
+    folder = jobs.land_topic(jobs.flat_page(log).select(*FLAT_COLS),
+                             f"{_scratch(spark)}/topics/clicks-{_uid()}")
+    s = jobs.read_topic_stream(spark, folder)
+    return jobs.run_to_table(spark, jobs.new_flag_stream(s), "fix_new_flag").select(
+        "offset", "mid", "ts", "is_new")
+
+
+@register("stream_login_unique_and_back")
+def q_stream_login_unique_and_back(spark, sf):
+    from tidewater.streaming import jobs
+    rows = logs.login_rows(page_log(spark, sf)).select(
+        F.col("common.uid").alias("uid"), "ts", "offset",
+        F.timestamp_millis("ts").alias("event_time"))
+    folder = jobs.land_topic(rows, f"{_scratch(spark)}/topics/logins-{_uid()}")
+    s = (spark.readStream.schema("uid string, ts long, offset long, event_time timestamp")
+         .parquet(folder).withWatermark("event_time", "2 seconds"))
+    return jobs.run_to_table(spark, jobs.login_stream(s), "login").select(
+        "offset", "uid", "ts", "dt", "uu_ct", "back_ct")
+
+
+@register("stream_first_per_key_gap")
+def q_stream_first_per_key_gap(spark, sf):
+    from tidewater.streaming import jobs
+    cols = "order_detail_id string, ts long, sku_id string, source_id string, " \
+           "order_price string, sku_num string, split_activity_amount string, " \
+           "split_coupon_amount string, detail_ts long, event_time timestamp"
+    od = trade.order_lines(clog(spark, sf)).select(
+        "order_detail_id", (F.col("detail_ts") * 1000).alias("ts"), *LINE_ORDER[1:7],
+        "detail_ts", F.timestamp_seconds("detail_ts").alias("event_time"))
+    folder = jobs.land_topic(od, f"{_scratch(spark)}/topics/lines-{_uid()}")
+    s = spark.readStream.schema(cols).parquet(folder).withWatermark("event_time", "2 seconds")
+    out = jobs.gap_stream(s, "order_detail_id", 30 * 86_400_000, ["ts", *LINE_ORDER[1:7]], cols)
+    return jobs.run_to_table(spark, out, "first_per_key_gap").select(
+        "order_detail_id", "detail_ts", "sku_id", "order_price")
+
+
+def _scratch(spark):
+    from tidewater.session import ensure_checkpoint_dir
+    return ensure_checkpoint_dir(spark)
+
+
+def _uid():
+    import uuid
+    return uuid.uuid4().hex[:8]

@@ -22,6 +22,7 @@ Fixed recipe values (click log, from ``events``; ``k`` is the ``props.k`` value
 from __future__ import annotations
 
 import os
+from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,8 +52,20 @@ def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
     return _MEMO[k]
 
 
-# Below this many rows one task is cheaper than a round-robin shuffle.
-SPREAD_MIN_ROWS = int(os.environ.get("TIDEWATER_SPREAD_MIN_ROWS", "125000"))
+# Inputs smaller than this on disk stay one task: light tables read by several plan
+# branches would pay one round-robin shuffle per branch for little per-row work.
+SPREAD_MIN_BYTES = int(os.environ.get("TIDEWATER_SPREAD_MIN_BYTES", str(1 << 20)))
+
+
+def _local_bytes(df: DataFrame) -> int | None:
+    """On-disk size of a file-backed DataFrame when its files are local, else None."""
+    total = 0
+    for f in df.inputFiles():
+        u = urlparse(f)
+        if u.scheme not in ("", "file"):
+            return None
+        total += os.path.getsize(u.path)
+    return total
 
 
 def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -60,11 +73,15 @@ def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
 
     A large table stored as one file/row group is read by a single task, and all
     per-row work up to the first shuffle would run there. On a cluster, scans of big
-    tables already have thousands of splits and this adds nothing. Filters and column
-    pruning still reach the scan (Catalyst pushes them below the repartition).
+    tables already have thousands of splits and this adds nothing (remote files are
+    never spread). Filters and column pruning still reach the scan (Catalyst pushes
+    them below the repartition).
     """
     slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots and df.count() >= SPREAD_MIN_ROWS:
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    size = _local_bytes(df)
+    if size is not None and size >= SPREAD_MIN_BYTES:
         return df.repartition(slots)
     return df
 

@@ -163,3 +163,30 @@ def keyword_metrics_stream(spark: SparkSession, folder: str, length: str = "10 s
     src.createOrReplaceTempView(view)
     pattern = WORD_PATTERN.replace("\\", "\\\\")
     return spark.sql(KEYWORD_SQL.format(length=length, view=view, pattern=pattern))
+
+
+def new_flag_stream(stream: DataFrame) -> DataFrame:
+    """New-visitor flag repair over a click-record stream (T2, streaming)."""
+    from tidewater.streaming.processors import NewFlagProcessor
+    return stream.groupBy("mid").transformWithStateInPandas(
+        NewFlagProcessor(), FLAT_SCHEMA, "Append", "EventTime",
+        eventTimeColumnName="event_time")
+
+
+def login_stream(stream: DataFrame, back_days: int = 8) -> DataFrame:
+    """Daily-unique and back-flow logins over a stream of login rows (T4, streaming)."""
+    from tidewater.streaming.processors import LOGIN_SCHEMA, LoginProcessor
+    return stream.groupBy("uid").transformWithStateInPandas(
+        LoginProcessor(back_days), LOGIN_SCHEMA, "Append", "EventTime",
+        eventTimeColumnName="event_time")
+
+
+def gap_stream(stream: DataFrame, key: str, gap_ms: int, sort_cols: list[str],
+               out_schema: str) -> DataFrame:
+    """Burst-first rows per key over a stream (T1b, streaming); ``stream`` has ``ts``
+    (epoch ms) and an ``event_time`` column with a watermark."""
+    from tidewater.streaming.processors import GapProcessor
+    out_cols = [c.strip().split(" ")[0] for c in out_schema.split(",")]
+    return stream.groupBy(key).transformWithStateInPandas(
+        GapProcessor(gap_ms, sort_cols, out_cols), out_schema, "Append", "EventTime",
+        eventTimeColumnName="event_time")

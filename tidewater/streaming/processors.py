@@ -109,3 +109,101 @@ class JumpProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class NewFlagProcessor(StatefulProcessor):
+    """Repair ``is_new`` per device (T2): the first record fixes an anchor day (its own
+    day when it claims new, else the day before); later '1' records on another day
+    become '0'. The anchor is never changed, as in the reference (no TTL)."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.anchor = handle.getValueState("anchor", "day long")
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        df = _sorted(rows)
+        anchor = self.anchor.get()[0] if self.anchor.exists() else None
+        fixed = []
+        for ts, flag in zip(df["ts"], df["is_new"]):
+            d = int(ts) // DAY_MS
+            if anchor is None:
+                anchor = d if flag == "1" else d - 1
+            fixed.append("0" if flag == "1" and d != anchor else flag)
+        self.anchor.update((anchor,))
+        df = df.assign(is_new=fixed)
+        yield df[FLAT_COLS]
+
+    def close(self) -> None:
+        pass
+
+
+LOGIN_SCHEMA = ("uid string, ts long, offset long, event_time timestamp, dt string, "
+                "uu_ct long, back_ct long")
+
+
+class LoginProcessor(StatefulProcessor):
+    """First login of every (user, day), flagged back-flow when the previous login day
+    is ``back_days`` or more whole days earlier (T4). No TTL, as in the reference."""
+
+    def __init__(self, back_days: int = 8):
+        self.back_days = back_days
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last_day = handle.getValueState("last_day", "day long")
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        df = _sorted(rows)
+        last = self.last_day.get()[0] if self.last_day.exists() else None
+        out = []
+        for ts, off, et in zip(df["ts"], df["offset"], df["event_time"]):
+            d = int(ts) // DAY_MS
+            if last is None or d != last:
+                back = 1 if last is not None and d - last >= self.back_days else 0
+                out.append((key[0], int(ts), int(off), et,
+                            pd.Timestamp(d * DAY_MS, unit="ms").strftime("%Y-%m-%d"), 1, back))
+                last = d
+        if last is not None:
+            self.last_day.update((last,))
+        if out:
+            yield pd.DataFrame(out, columns=["uid", "ts", "offset", "event_time", "dt",
+                                             "uu_ct", "back_ct"])
+
+    def close(self) -> None:
+        pass
+
+
+class GapProcessor(StatefulProcessor):
+    """Rows that start a new burst of their key (T1b): emitted when no row of the key
+    came in the previous ``gap_ms`` (the reference's state TTL is refreshed by every
+    read). An event-time timer at last + gap clears the state."""
+
+    def __init__(self, gap_ms: int, sort_cols: list[str], out_cols: list[str]):
+        self.gap_ms = gap_ms
+        self.sort_cols = sort_cols
+        self.out_cols = out_cols
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "ts long")
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        df = pd.concat(list(rows), ignore_index=True).sort_values(self.sort_cols, kind="stable")
+        last = self.last.get()[0] if self.last.exists() else None
+        keep = []
+        for i, ts in zip(df.index, df["ts"]):
+            if last is None or int(ts) - last >= self.gap_ms:
+                keep.append(i)
+            if last is not None:
+                self.handle.deleteTimer(last + self.gap_ms)
+            last = int(ts)
+            self.handle.registerTimer(last + self.gap_ms)
+        self.last.update((last,))
+        if keep:
+            yield df.loc[keep, self.out_cols]
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues,
+                           expiredTimerInfo: ExpiredTimerInfo):
+        self.last.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
