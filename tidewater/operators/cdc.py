@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.time import DATE_FMT, text_to_date
+from tidewater.functions.time import text_to_date
 
 
 def d(key: str) -> Column:
@@ -139,6 +139,6 @@ def comment_rows(log: DataFrame) -> DataFrame:
                        keep=("ts",))
 
 
-__all__ = ["DATE_FMT", "change_rows", "cart_add", "favor_add", "coupon_get", "coupon_order",
+__all__ = ["change_rows", "cart_add", "favor_add", "coupon_get", "coupon_order",
            "coupon_pay", "user_register", "payment_success_rows", "refund_order_rows",
            "refund_rows", "comment_rows", "old_has_key", "old_value_present", "d"]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidewater.functions.sequence import time_bucket, with_next
 from tidewater.functions.text import tokenize
 from tidewater.functions.time import ms_to_ts, s_to_ts, tumble, window_text
-from tidewater.operators.logs import search_keywords, session_starts
+from tidewater.operators.logs import search_keywords
 from tidewater.operators.visitors import (NEIGHBOUR_BUCKET_MS, ORDER,
                                           daily_unique_visitor)
 

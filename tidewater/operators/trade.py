@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.sequence import first_per_group
 from tidewater.functions.time import first_token, text_to_ts
-from tidewater.operators.cdc import change_rows, d, old_value_present
+from tidewater.operators.cdc import change_rows, old_value_present
 
 DETAIL_FIELDS = ["id", "order_id", "sku_id", "sku_name", "order_price", "sku_num",
                  "create_time", "source_type", "source_id", "split_total_amount",

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater import schemas
 from tidewater.operators import logs, metrics, visitors
 from tidewater.sources import driver_tables as dt
 
@@ -32,7 +33,7 @@ def page_log(spark: SparkSession, sf: str) -> DataFrame:
     return logs.fan_out_log(fixed_log(spark, sf))["page"]
 
 
-def _mid_ts(df: DataFrame) -> list:
+def _mid_ts() -> list:
     return [F.col("offset"), F.col("common.mid").alias("mid"), F.col("ts")]
 
 
@@ -41,7 +42,7 @@ def _mid_ts(df: DataFrame) -> list:
 @register("split_dirty")
 def q_split_dirty(spark, sf):
     # One parse, both sides tagged in the same pass.
-    p = logs.parse_json(dt.raw_click_log(spark, sf), logs.schemas.CLICK_LOG)
+    p = logs.parse_json(dt.raw_click_log(spark, sf), schemas.CLICK_LOG)
     dirty = F.col("is_dirty")
     return p.select(
         F.when(dirty, F.lit("dirty")).otherwise(F.lit("clean")).alias("kind"), "offset",
@@ -91,7 +92,7 @@ def q_explode_actions(spark, sf):
 @register("fix_new_flag")
 def q_fix_new_flag(spark, sf):
     raw = dt.click_log(spark, sf).select("offset", F.col("common.is_new").alias("is_new_raw"))
-    fixed = fixed_log(spark, sf).select(*_mid_ts(None), F.col("common.is_new").alias("is_new"))
+    fixed = fixed_log(spark, sf).select(*_mid_ts(), F.col("common.is_new").alias("is_new"))
     return fixed.join(raw, "offset")
 
 
@@ -100,29 +101,29 @@ def q_fix_new_flag(spark, sf):
 @register("session_starts")
 def q_session_starts(spark, sf):
     return logs.session_starts(page_log(spark, sf)).select(
-        *_mid_ts(None), F.col("page.page_id").alias("page_id"))
+        *_mid_ts(), F.col("page.page_id").alias("page_id"))
 
 
 @register("daily_unique_visitor")
 def q_daily_unique_visitor(spark, sf):
     return visitors.daily_unique_visitor(page_log(spark, sf)).select(
-        *_mid_ts(None), F.col("common.is_new").alias("is_new"))
+        *_mid_ts(), F.col("common.is_new").alias("is_new"))
 
 
 @register("user_jump")
 def q_user_jump(spark, sf):
-    return visitors.user_jump(page_log(spark, sf)).select(*_mid_ts(None))
+    return visitors.user_jump(page_log(spark, sf)).select(*_mid_ts())
 
 
 @register("user_jump_10m")
 def q_user_jump_10m(spark, sf):
-    return visitors.user_jump(page_log(spark, sf), within_ms=600_000).select(*_mid_ts(None))
+    return visitors.user_jump(page_log(spark, sf), within_ms=600_000).select(*_mid_ts())
 
 
 @register("page_daily_unique")
 def q_page_daily_unique(spark, sf):
     return visitors.page_daily_unique(page_log(spark, sf)).select(
-        *_mid_ts(None), "home_uv_ct", "good_detail_uv_ct")
+        *_mid_ts(), "home_uv_ct", "good_detail_uv_ct")
 
 
 @register("login_unique_and_back")
