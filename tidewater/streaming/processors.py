@@ -37,7 +37,8 @@ class DailyFirstProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues: TimerValues):
         df = _sorted(rows)
-        last = self.last_day.get()[0] if self.last_day.exists() else None
+        held = self.last_day.get()
+        last = None if held is None else held[0]
         keep = []
         for i, ts in zip(df.index, df["ts"]):
             d = int(ts) // DAY_MS
@@ -81,7 +82,7 @@ class JumpProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues: TimerValues):
         df = _sorted(rows)
-        pending = self.pending.get() if self.pending.exists() else None
+        pending = self.pending.get()
         out = []
         for r in df[FLAT_COLS[:-1]].itertuples(index=False, name=None):
             if pending is not None:
@@ -121,7 +122,8 @@ class NewFlagProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues: TimerValues):
         df = _sorted(rows)
-        anchor = self.anchor.get()[0] if self.anchor.exists() else None
+        held = self.anchor.get()
+        anchor = None if held is None else held[0]
         fixed = []
         for ts, flag in zip(df["ts"], df["is_new"]):
             d = int(ts) // DAY_MS
@@ -152,7 +154,8 @@ class LoginProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues: TimerValues):
         df = _sorted(rows)
-        last = self.last_day.get()[0] if self.last_day.exists() else None
+        held = self.last_day.get()
+        last = None if held is None else held[0]
         out = []
         for ts, off, et in zip(df["ts"], df["offset"], df["event_time"]):
             d = int(ts) // DAY_MS
@@ -186,16 +189,20 @@ class GapProcessor(StatefulProcessor):
         self.last = handle.getValueState("last", "ts long")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues):
+        # State and timer calls are round trips to the state server: one read, one
+        # write and at most one timer swap per key and batch.
         df = pd.concat(list(rows), ignore_index=True).sort_values(self.sort_cols, kind="stable")
-        last = self.last.get()[0] if self.last.exists() else None
+        held = self.last.get()
+        prev = None if held is None else held[0]
+        last = prev
         keep = []
         for i, ts in zip(df.index, df["ts"]):
             if last is None or int(ts) - last >= self.gap_ms:
                 keep.append(i)
-            if last is not None:
-                self.handle.deleteTimer(last + self.gap_ms)
             last = int(ts)
-            self.handle.registerTimer(last + self.gap_ms)
+        if prev is not None:
+            self.handle.deleteTimer(prev + self.gap_ms)
+        self.handle.registerTimer(last + self.gap_ms)
         self.last.update((last,))
         if keep:
             yield df.loc[keep, self.out_cols]
