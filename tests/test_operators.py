@@ -131,13 +131,13 @@ def change(spark, rows):
 
 def test_cart_add_and_coupon_key_presence(spark):
     log = change(spark, [
-        ("gmall", "cart_info", "insert", 1, {"id": "1", "sku_num": "2"}, None),
-        ("gmall", "cart_info", "update", 2, {"id": "2", "sku_num": "5"}, {"sku_num": "3"}),
-        ("gmall", "cart_info", "update", 3, {"id": "3", "sku_num": "5"}, {"sku_num": "7"}),
-        ("gmall", "cart_info", "update", 4, {"id": "4", "sku_num": "5"}, {"is_checked": "1"}),
-        ("gmall", "coupon_use", "update", 5, {"id": "5", "using_time": "2024-01-01 00:00:00"},
+        ("shop", "cart_info", "insert", 1, {"id": "1", "sku_num": "2"}, None),
+        ("shop", "cart_info", "update", 2, {"id": "2", "sku_num": "5"}, {"sku_num": "3"}),
+        ("shop", "cart_info", "update", 3, {"id": "3", "sku_num": "5"}, {"sku_num": "7"}),
+        ("shop", "cart_info", "update", 4, {"id": "4", "sku_num": "5"}, {"is_checked": "1"}),
+        ("shop", "coupon_use", "update", 5, {"id": "5", "using_time": "2024-01-01 00:00:00"},
          {"using_time": None}),
-        ("gmall", "coupon_use", "update", 6, {"id": "6"}, {"coupon_status": "1"}),
+        ("shop", "coupon_use", "update", 6, {"id": "6"}, {"coupon_status": "1"}),
     ])
     got = {r["id"]: r["sku_num"] for r in cdc.cart_add(log).collect()}
     assert got == {"1": 2, "2": 2}
@@ -146,9 +146,9 @@ def test_cart_add_and_coupon_key_presence(spark):
 
 def test_favor_add_limited_to_table(spark):
     log = change(spark, [
-        ("gmall", "favor_info", "insert", 1, {"id": "1"}, None),
-        ("gmall", "favor_info", "update", 2, {"id": "2", "is_cancel": "0"}, {"is_cancel": "1"}),
-        ("gmall", "other", "update", 3, {"id": "3", "is_cancel": "0"}, {"is_cancel": "1"}),
+        ("shop", "favor_info", "insert", 1, {"id": "1"}, None),
+        ("shop", "favor_info", "update", 2, {"id": "2", "is_cancel": "0"}, {"is_cancel": "1"}),
+        ("shop", "other", "update", 3, {"id": "3", "is_cancel": "0"}, {"is_cancel": "1"}),
     ])
     assert sorted(r["id"] for r in cdc.favor_add(log).collect()) == ["1", "2"]
 
@@ -166,15 +166,15 @@ def test_order_wide_inner_and_left(spark):
     from tidewater.operators import trade
     from tidewater.sources.driver_tables import dictionary
     log = change(spark, [
-        ("gmall", "order_detail", "insert", 1,
+        ("shop", "order_detail", "insert", 1,
          {"id": "10", "order_id": "1", "source_type": "2401", "order_price": "44.88",
           "sku_num": "2"}, None),
-        ("gmall", "order_detail", "insert", 1,
+        ("shop", "order_detail", "insert", 1,
          {"id": "11", "order_id": "1", "source_type": "2405"}, None),  # no dictionary entry
-        ("gmall", "order_detail", "insert", 1, {"id": "12", "order_id": "9",
+        ("shop", "order_detail", "insert", 1, {"id": "12", "order_id": "9",
                                                 "source_type": "2401"}, None),  # no order
-        ("gmall", "order_info", "insert", 1, {"id": "1", "user_id": "7"}, None),
-        ("gmall", "order_detail_activity", "insert", 1,
+        ("shop", "order_info", "insert", 1, {"id": "1", "user_id": "7"}, None),
+        ("shop", "order_detail_activity", "insert", 1,
          {"order_detail_id": "10", "activity_id": "3"}, None),
     ])
     rows = trade.order_wide(log, dictionary(spark)).collect()

@@ -229,7 +229,7 @@ def attach_search_items(page_rows: DataFrame, spark: SparkSession, sf_dir: str)
 #   {used_time: null}, 2 old {coupon_status: '1401'}; favor updates: k % 3 = 0 is_cancel
 #   1 -> 0, 1 is_cancel 0 -> 1, 2 old {create_time}; comment appraise '120' || (1 + k % 5)
 
-DATABASE = "gmall"
+DATABASE = "shop"
 
 # The code dictionary (one code of each family is left out on purpose).
 DICTIONARY_ROWS = [
