@@ -230,7 +230,9 @@ def q_refund_order_rows(spark, sf):
 
 
 def wide(spark, sf):
-    return trade.order_wide(clog(spark, sf), dt.dictionary(spark))
+    # the analysed plan is reused within the application; no data is cached
+    return dt._memo(spark, ("order_wide", sf),
+                    lambda: trade.order_wide(clog(spark, sf), dt.dictionary(spark)))
 
 
 WIDE_COLS = ["order_detail_id", "order_id", "user_id", "province_id", "sku_id", "sku_num",
@@ -307,9 +309,12 @@ def q_lookup_join(spark, sf):
 
 
 def product(spark, sf):
-    t = dt.product_tables(spark, sf)
-    return dims.product_dim(t["sku_info"], t["spu_info"], t["base_trademark"],
-                            t["base_category3"], t["base_category2"], t["base_category1"])
+    def build():
+        t = dt.product_tables(spark, sf)
+        return dims.product_dim(t["sku_info"], t["spu_info"], t["base_trademark"],
+                                t["base_category3"], t["base_category2"],
+                                t["base_category1"])
+    return dt._memo(spark, ("product_dim", sf), build)
 
 
 @register("enrich_product")
