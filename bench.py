@@ -35,7 +35,8 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = os.environ.get("BENCH_QUERIES")
     names = names.split(",") if names else HEADLINE
-    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=4 * cpus)
+    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=4 * cpus,
+                      conf={"spark.driver.memory": "16g"})
     times: dict[str, float] = {}
     for name in names:
         q = REGISTRY[name]

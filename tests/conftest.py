@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -9,6 +10,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from tidewater.session import get_spark
-    s = get_spark(master="local[*]", shuffle_partitions=8)
+    s = get_spark(master="local[*]", shuffle_partitions=8, conf={
+        "spark.driver.memory": "8g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tidewater-tests-")})
     yield s
     s.stop()

@@ -1,6 +1,6 @@
 """Time conversions used across the warehouse.
 
-Everything follows the session zone (see ``session.use_session_zone``).
+Everything follows the session zone.
 """
 
 from __future__ import annotations

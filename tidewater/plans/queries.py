@@ -230,9 +230,7 @@ def q_refund_order_rows(spark, sf):
 
 
 def wide(spark, sf):
-    # the analysed plan is reused within the application; no data is cached
-    return dt._memo(spark, ("order_wide", sf),
-                    lambda: trade.order_wide(clog(spark, sf), dt.dictionary(spark)))
+    return trade.order_wide(clog(spark, sf), dt.dictionary(spark))
 
 
 WIDE_COLS = ["order_detail_id", "order_id", "user_id", "province_id", "sku_id", "sku_num",
@@ -314,7 +312,7 @@ def product(spark, sf):
         return dims.product_dim(t["sku_info"], t["spu_info"], t["base_trademark"],
                                 t["base_category3"], t["base_category2"],
                                 t["base_category1"])
-    return dt._memo(spark, ("product_dim", sf), build)
+    return build()
 
 
 @register("enrich_product")
@@ -384,7 +382,7 @@ def q_payment_metrics(spark, sf):
     lines = trade.order_add(trade.order_wide(log, dt.dictionary(spark)))
     # The payment facts feed a neighbour lookup (two branches): written once as a layer
     # table instead of evaluating the wide join twice.
-    from tidewater.plans.layers import materialize
+    from tidewater.session import materialize
     pays = materialize(trade.payment_detail(cdc.payment_success_rows(log), lines,
                                             dt.dictionary(spark)), "payment_detail")
     pays = dedupe.first_per_key_gap(pays.withColumn("_ts_ms", F.col("ts") * 1000),

@@ -21,14 +21,10 @@ Fixed recipe values (click log, from ``events``; ``k`` is the ``props.k`` value
 
 from __future__ import annotations
 
-import os
-from urllib.parse import urlparse
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater import schemas
-from tidewater.session import use_session_zone
 
 # Page of each event type.
 PAGE_OF_EVENT = {
@@ -40,56 +36,8 @@ PAGE_OF_EVENT = {
 }
 
 
-_MEMO: dict[tuple, DataFrame] = {}
-
-
-def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
-    """Reuse an input DataFrame (its file listing and analysed plan) within one
-    application. Lazy plans only: no data is cached."""
-    k = (spark.sparkContext.applicationId, *key)
-    if k not in _MEMO:
-        _MEMO[k] = build()
-    return _MEMO[k]
-
-
-# Inputs smaller than this on disk stay one task: light tables read by several plan
-# branches would pay one round-robin shuffle per branch for little per-row work.
-SPREAD_MIN_BYTES = int(os.environ.get("TIDEWATER_SPREAD_MIN_BYTES", str(1 << 20)))
-
-
-def _local_bytes(df: DataFrame) -> int | None:
-    """On-disk size of a file-backed DataFrame when its files are local, else None."""
-    total = 0
-    for f in df.inputFiles():
-        u = urlparse(f)
-        if u.scheme not in ("", "file"):
-            return None
-        total += os.path.getsize(u.path)
-    return total
-
-
-def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has task slots.
-
-    A large table stored as one file/row group is read by a single task, and all
-    per-row work up to the first shuffle would run there. On a cluster, scans of big
-    tables already have thousands of splits and this adds nothing (remote files are
-    never spread). Filters and column pruning still reach the scan (Catalyst pushes
-    them below the repartition).
-    """
-    slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
-        return df
-    size = _local_bytes(df)
-    if size is not None and size >= SPREAD_MIN_BYTES:
-        return df.repartition(slots)
-    return df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    use_session_zone(spark)
-    return _memo(spark, ("table", sf_dir, name),
-                 lambda: spread(spark, spark.read.parquet(f"{sf_dir}/{name}.parquet")))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _k() -> Column:
@@ -170,7 +118,7 @@ def click_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
         ev = _events(spark, sf_dir).where(~_is_dirty())
         return ev.select(*_click_struct_cols(), F.col("event_id").alias("offset"))
-    return _memo(spark, ("click_log", sf_dir), build)
+    return build()
 
 
 def raw_click_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,8 +202,7 @@ DICTIONARY_ROWS = [
 
 def dictionary(spark: SparkSession) -> DataFrame:
     """The ``base_dic`` lookup table (fixed codes)."""
-    return _memo(spark, ("dictionary",),
-                 lambda: spark.createDataFrame(DICTIONARY_ROWS, schemas.DICTIONARY))
+    return spark.createDataFrame(DICTIONARY_ROWS, schemas.DICTIONARY)
 
 
 def _txt(c) -> Column:
@@ -426,8 +373,7 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         for p in parts[1:]:
             out = out.unionByName(p)
         return out
-    use_session_zone(spark)
-    return _memo(spark, ("change_log", sf_dir), build)
+    return build()
 
 
 # ============================================================================ dimensions
@@ -484,4 +430,4 @@ RULE_ROWS = [
 
 
 def rules(spark: SparkSession) -> DataFrame:
-    return _memo(spark, ("rules",), lambda: spark.createDataFrame(RULE_ROWS, schemas.RULES))
+    return spark.createDataFrame(RULE_ROWS, schemas.RULES)
