@@ -85,7 +85,8 @@ def powers(base: int, n: int) -> np.ndarray:
     b = np.uint64(base)
     while done < n:
         step = min(done, n - done)
-        out[done:done + step] = out[:step] * (out[done - 1] * b)
+        top = np.uint64(int(out[done - 1]) * int(b) & 0xFFFFFFFFFFFFFFFF)
+        out[done:done + step] = out[:step] * top
         done += step
     return out[:n]
 
