@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import langid, packing
+from tidewater.llm import jaccard_join, langid, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -37,3 +37,36 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.train(docs.where(~out))
     return (langid.identify(docs.select("doc_id", "text"), model)
             .select("doc_id", out.alias("held_out"), "lang_pred", "score"))
+
+
+@_query
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (jaccard_join.classes(_table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_shingles", "component_id"))
+
+
+ORACLE["op9_ngram_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)])
+    END AS s FROM words),
+sizes AS (SELECT doc_id, len(s) AS n FROM shingles),
+items AS (SELECT doc_id, unnest(s) AS x FROM shingles),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * c >= 80 * (p.n + q.n - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, at) AS (
+  SELECT doc_id, doc_id FROM sizes
+  UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.at)
+SELECT s.doc_id, CAST(s.n AS BIGINT) AS n_shingles, min(r.at) AS component_id
+FROM sizes s JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.n
+"""
