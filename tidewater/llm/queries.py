@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import jaccard_join, langid, packing
+from tidewater.llm import decontaminate, jaccard_join, langid, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -64,9 +64,15 @@ links AS (
   SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
   WHERE 100 * c >= 80 * (p.n + q.n - c)),
 edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-reach(doc_id, at) AS (
+reach(doc_id, node) AS (
   SELECT doc_id, doc_id FROM sizes
-  UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.at)
-SELECT s.doc_id, CAST(s.n AS BIGINT) AS n_shingles, min(r.at) AS component_id
+  UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.node)
+SELECT s.doc_id, CAST(s.n AS BIGINT) AS n_shingles, min(r.node) AS component_id
 FROM sizes s JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.n
 """
+
+
+@_query
+def op10_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(_table(spark, sf_dir, "documents"),
+                              _table(spark, sf_dir, "benchmark"))
