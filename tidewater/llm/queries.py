@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, jaccard_join, langid, packing
+from tidewater.llm import decontaminate, jaccard_join, langid, packing, repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -76,3 +76,8 @@ FROM sizes s JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.n
 def op10_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(_table(spark, sf_dir, "documents"),
                               _table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(_table(spark, sf_dir, "documents"), 400)
