@@ -310,9 +310,9 @@ def _pair_batch(found: set[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def classes(docs: DataFrame, k: int = WORDS, threshold: int = 80) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, th (hash of the text), n_shingles
-    and component_id (the smallest doc_id that links reach). ``threshold`` in percent, 52 to
-    100."""
+    """One row per row of ``docs`` (doc_id, text): doc_id, th (hash of the text), n_shingles,
+    component_id (the smallest doc_id that links reach) and root (a number of the component;
+    null without words). ``threshold`` in percent, 52 to 100."""
     spark = start(docs)
     docs = docs.select("doc_id", "text").withColumn("th", F.xxhash64("text"))
     sets = materialize(_sets(docs, k), "sets")
@@ -402,7 +402,8 @@ def classes(docs: DataFrame, k: int = WORDS, threshold: int = 80) -> DataFrame:
 def _named(own: DataFrame, roots: DataFrame) -> DataFrame:
     """The smallest doc_id of each row's component. A class of very many rows is spread."""
     empty = own.where("n = 0").select("doc_id", "th", F.col("n").alias("n_shingles"),
-                                      F.col("doc_id").alias("component_id"))
+                                      F.col("doc_id").alias("component_id"),
+                                      F.lit(None).cast("long").alias("root"))
     d = own.where("n > 0").withColumn("part", part_of(["doc_id", "th"], SPREAD))
     small = d.groupBy("gid", "part").agg(F.min("doc_id").alias("least"))
     per_class = small.groupBy("gid").agg(F.min("least").alias("least"))
@@ -410,7 +411,8 @@ def _named(own: DataFrame, roots: DataFrame) -> DataFrame:
                .select("gid", "least", F.coalesce("root", "gid").alias("root")))
     per_root = with_group_total(to_root, ["root"], ["gid"],
                                 {"component_id": (F.min("least"), F.min("component_id"))})
-    back = small.select("gid", "part").join(per_root.select("gid", "component_id"), "gid")
+    back = small.select("gid", "part").join(
+        per_root.select("gid", "component_id", "root"), "gid")
     return (d.join(back, ["gid", "part"])
-            .select("doc_id", "th", F.col("n").alias("n_shingles"), "component_id")
+            .select("doc_id", "th", F.col("n").alias("n_shingles"), "component_id", "root")
             .unionByName(empty))
