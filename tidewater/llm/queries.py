@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, jaccard_join, langid, packing, repeats
+from tidewater.llm import decontaminate, jaccard_join, langid, packing, repeats, warc
+from tidewater.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -81,3 +82,24 @@ def op10_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.report(_table(spark, sf_dir, "documents"), 400)
+
+
+@_query
+def op3_warc_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    warc.write(warc.with_revisits(_table(spark, sf_dir, "pages"), 0), path)
+    return warc.read(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op3_warc_boundary_chain"] = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS h,
+         min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+SELECT page_id, CAST(octet_length(b) AS BIGINT) AS payload_bytes, """ + " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(h, {10 * i + 1}, 10)"
+    f" AS BIGINT) >> {5 * (7 - j)}) & 31 AS BIGINT) + 1, 1)"
+    for i in range(4) for j in range(8)) + """ AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM p
+"""
