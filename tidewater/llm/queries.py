@@ -9,7 +9,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, jaccard_join, langid, packing, repeats, warc
+from tidewater.llm import (
+    decontaminate,
+    jaccard_join,
+    langid,
+    packing,
+    repeats,
+    sharding,
+    warc,
+)
 from tidewater.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +111,10 @@ SELECT page_id, CAST(octet_length(b) AS BIGINT) AS payload_bytes, """ + " || ".j
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> first THEN first END AS refers_to FROM p
 """
+
+
+@_query
+def op7_vector_bin_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(_table(spark, sf_dir, "documents"), 16).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
