@@ -16,6 +16,7 @@ from tidewater.llm import (
     packing,
     repeats,
     sharding,
+    topk_search,
     warc,
 )
 from tidewater.session import shared_path
@@ -118,3 +119,24 @@ def op7_vector_bin_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_table(spark, sf_dir, "documents"), 16).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@_query
+def op1_maxscore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return topk_search.search(rows, rows.where(F.col("vec_id") % 50 == 0), 5, 256)
+
+
+ORACLE["op1_maxscore_topk"] = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum([p[1] * p[2] FOR p IN [[a, q.e[i]] FOR a, i IN c.e]]) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5
+"""
