@@ -13,6 +13,7 @@ from tidewater.llm import (
     decontaminate,
     jaccard_join,
     langid,
+    licenses,
     packing,
     repeats,
     sharding,
@@ -140,3 +141,11 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 5
 """
+
+
+@_query
+def op4_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op4_license_digests"] = licenses.oracle()
