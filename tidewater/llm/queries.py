@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm import (
     decontaminate,
+    extraction,
     jaccard_join,
     langid,
     licenses,
@@ -149,3 +150,8 @@ def op4_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op4_license_digests"] = licenses.oracle()
+
+
+@_query
+def op8_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(_table(spark, sf_dir, "pages"))
