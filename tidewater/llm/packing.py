@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import chunks, group_rank, start
 from tidewater.session import materialize
 
-CACHE_WORDS = 300_000  # encoded words that a Python worker keeps
+CACHE_WORDS = 500_000  # encoded words that a Python worker keeps
 CHUNK_CHARS = 1_000_000  # text that a worker splits into words at once
 # White space of str.split() that the tokenizer's \s does not hold.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
@@ -48,11 +48,25 @@ class _Encoder:
 
         self.tok = Tokenizer.from_file(path)
         self.seen: dict[str, bytes] = {}
+        vocab = self.tok.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)  # tokens that end a word
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        out = self.tok.encode_batch(words, add_special_tokens=False)
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        out = self.tok.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, "<u4").tobytes() for e in out]
 
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Words of letters alone, each one word to the tokenizer too: encoded as one text
+        and parted after the tokens that end a word."""
+        ids = np.asarray(self.tok.encode_batch_fast([" ".join(words)],
+                                                    add_special_tokens=False)[0].ids, "<u4")
+        end = np.flatnonzero(self.ends[ids]) + 1
+        if len(end) != len(words):
+            return self._encode(words)
+        data, cut = ids.tobytes(), [0, *(4 * end).tolist()]
+        return [data[a:b] for a, b in zip(cut, cut[1:], strict=False)]
+
     def texts(self, texts: list[str]) -> list[bytes]:
         split = [None if _ODD_SPACE.search(t) else t.split() for t in texts]
         need: set[str] = set()
@@ -71,7 +85,10 @@ class _Encoder:
                 c = w[:-1]
             core[w] = c.lower() if c.isascii() else c
         todo = [c for c in {*core.values(), ",", "."} if c not in seen]
-        seen.update(zip(todo, self._encode(todo), strict=True))
+        plain = [c for c in todo if c.isalpha()]
+        seen.update(zip(plain, self._letters(plain), strict=True))
+        other = [c for c in todo if not c.isalpha()]
+        seen.update(zip(other, self._encode(other), strict=True))
         for w in new:
             c = core[w]
             tail = seen[w[-1]] if len(c) < len(w) else b""
