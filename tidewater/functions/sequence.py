@@ -45,18 +45,37 @@ def first_per_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     aggregated before the shuffle and a hot group costs no single-task sort.
     """
     cols = df.columns
-    row = F.struct(*[F.col(c) for c in cols])
     pick = F.max_by if last else F.min_by
-    return (df.groupBy(*group_cols)
-            .agg(pick(row, _order_struct(order_cols)).alias("_tw_row"))
-            .select("_tw_row.*"))
+    # Group columns come from the grouping, so the result is known to be partitioned by
+    # them and a later grouping on the same key needs no exchange.
+    named = [g for g in group_cols if isinstance(g, str) and g in cols]
+    packed = [c for c in cols if c not in named]
+    if not packed:
+        return df.select(*cols).distinct()
+    rows = (df.groupBy(*group_cols)
+            .agg(pick(F.struct(*[F.col(c) for c in packed]), _order_struct(order_cols))
+                 .alias("_tw_row")))
+    return rows.select(*[F.col(c) if c in named else F.col("_tw_row").getField(c).alias(c)
+                         for c in cols])
+
+
+def join_per_group(df: DataFrame, small: DataFrame, keys: Sequence[str],
+                   spread_by: Sequence[str], parts: int = 64) -> DataFrame:
+    """Left join of one ``small`` row per key to ``df``, spread over ``parts`` per key: the
+    small row goes to each (key, part) that occurs, so a hot key fills no task."""
+    part = F.pmod(F.xxhash64(*spread_by), F.lit(parts))
+    rows = df.withColumn("_tw_part", part)
+    there = rows.select(*keys, "_tw_part").distinct().join(small, list(keys))
+    return (_null_safe_join(rows, there, [*keys, "_tw_part"], "left").drop("_tw_part"))
 
 
 def _neighbour(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
                fields: Sequence[str], bucket: Column, prefix: str, forward: bool) -> DataFrame:
     shift = F.lead if forward else F.lag
     in_w = Window.partitionBy(*keys, _B).orderBy(*order_cols)
-    rows = df.withColumn(_B, bucket)
+    # An explicit exchange: rows that come partitioned by the key alone would satisfy the
+    # window as they are and leave a hot key in one task.
+    rows = df.withColumn(_B, bucket).repartition(*keys, _B)
     for f in fields:
         rows = rows.withColumn(f"_tw_in_{f}", shift(F.col(f)).over(in_w))
     rows = rows.withColumn(_HAS, shift(F.lit(True)).over(in_w))

@@ -53,10 +53,10 @@ def product_dim(sku: DataFrame, spu: DataFrame, trademark: DataFrame, cat3: Data
 def apply_rules(log: DataFrame, rules: DataFrame) -> DataFrame:
     """Rows whose table has a rule and whose type is insert/update/bootstrap-insert,
     tagged with ``sink_table``, ``sink_columns`` and ``sink_pk`` (J11, P22). Deletes and
-    unconfigured tables are dropped. Rules are a small fixed table: broadcast."""
-    r = F.broadcast(rules.select(
+    unconfigured tables are dropped."""
+    r = rules.select(
         F.col("source_table").alias("_src"), "sink_table", "sink_columns",
-        F.coalesce(F.col("sink_pk"), F.lit("id")).alias("sink_pk")))
+        F.coalesce(F.col("sink_pk"), F.lit("id")).alias("sink_pk"))
     return (log.where(F.col("type").isin(*ACCEPTED_TYPES))
             .join(r, F.col("table") == r["_src"], "inner").drop("_src"))
 

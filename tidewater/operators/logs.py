@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater import schemas
-from tidewater.functions.sequence import first_per_group
+from tidewater.functions.sequence import first_per_group, join_per_group
 from tidewater.functions.time import DATE_FMT, ms_to_date
 
 CORRUPT = "_corrupt_record"
@@ -57,7 +57,7 @@ def fix_new_flag(log: DataFrame, order_cols: Sequence[str] = ("ts", "offset")) -
 
     The first record of a ``mid`` fixes an anchor day: its own day when it claims to be
     new, else the day before. Later records claiming ``is_new='1'`` on another day become
-    '0'. The anchor is a per-device aggregate (pre-aggregated, skew safe) joined back.
+    '0'. The anchor is a per-device aggregate, joined back in parts of a device's rows.
     """
     order_cols = list(order_cols)
     day = ms_to_date(F.col("ts"))
@@ -70,11 +70,13 @@ def fix_new_flag(log: DataFrame, order_cols: Sequence[str] = ("ts", "offset")) -
         F.when(F.col("_isn") == "1", ms_to_date(F.col("ts")))
         .otherwise(F.date_format(F.date_sub(F.to_date(ms_to_date(F.col("ts"))), 1), DATE_FMT))
         .alias("_anchor"))
-    joined = log.join(anchor, log["common.mid"] == anchor["_mid"], "left")
-    fixed = (F.when((F.col("common.is_new") == "1") & (day != F.col("_anchor")), F.lit("0"))
-             .otherwise(F.col("common.is_new")))
-    return joined.withColumn("common", F.col("common").withField("is_new", fixed)).drop(
-        "_mid", "_anchor")
+    # Only rows that claim to be new can change; the others pass.
+    claims = F.coalesce(F.col("common.is_new") == "1", F.lit(False))
+    checked = join_per_group(log.where(claims).withColumn("_mid", F.col("common.mid")), anchor,
+                             ["_mid"], order_cols)
+    fixed = F.when(day != F.col("_anchor"), F.lit("0")).otherwise(F.col("common.is_new"))
+    checked = checked.withColumn("common", F.col("common").withField("is_new", fixed))
+    return checked.select(*log.columns).unionByName(log.where(~claims))
 
 
 def fan_out_log(log: DataFrame) -> dict[str, DataFrame]:

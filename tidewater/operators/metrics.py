@@ -26,7 +26,7 @@ MONEY = "decimal(16,2)"
 
 def money_sum(c) -> Column:
     col = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(F.sum(col.cast(MONEY)), F.lit(0).cast(MONEY)).cast("double")
+    return F.coalesce(F.sum(col.try_cast(MONEY)), F.lit(0).cast(MONEY)).cast("double")
 
 
 def windowed(df: DataFrame, event_time: Column, keys: Sequence, aggs: Sequence[Column],

@@ -1,7 +1,7 @@
 """Trade facts built by joining change streams with each other and with the code
 dictionary (J1-J5, P13, P14, T5-T7).
 
-The dictionary is a fixed code list, so broadcasting it is size-bounded. Joins between
+The planner broadcasts the dictionary by its measured size. Joins between
 change streams are left to the planner (sort-merge at scale, AQE converts a small side
 to broadcast at run time from measured sizes and splits skewed partitions).
 """
@@ -27,8 +27,8 @@ def order_lines(log: DataFrame) -> DataFrame:
     """order_detail inserts with ``split_original_amount`` = price x number, decimal
     text with scale 4 (F5)."""
     od = change_rows(log, "order_detail", ("insert",), DETAIL_FIELDS, keep=("ts",))
-    orig = (F.col("order_price").cast("decimal(16,2)")
-            * F.col("sku_num").cast("decimal(16,2)")).cast("string")
+    orig = (F.col("order_price").try_cast("decimal(16,2)")
+            * F.col("sku_num").try_cast("decimal(16,2)")).cast("string")
     return (od.withColumnRenamed("id", "order_detail_id")
             .withColumnRenamed("create_time", "order_create_time")
             .withColumnRenamed("ts", "detail_ts")
@@ -40,7 +40,7 @@ def order_wide(log: DataFrame, dic: DataFrame) -> DataFrame:
     activity and coupon lines (left, by line id), source-type name (inner lookup).
 
     Line-keyed joins run first so the line stream is shuffled by line id once, then
-    joined to the order changes; the dictionary lookup is a broadcast.
+    joined to the order changes; the dictionary lookup comes last.
     """
     od = order_lines(log)
     oa = change_rows(log, "order_detail_activity", ("insert",),
@@ -52,7 +52,7 @@ def order_wide(log: DataFrame, dic: DataFrame) -> DataFrame:
     oi = (change_rows(log, "order_info", ("insert", "update"), ORDER_FIELDS,
                       keep=("type", "old", "ts"))
           .withColumnRenamed("id", "_oid").withColumnRenamed("ts", "change_ts"))
-    names = F.broadcast(dic.select(F.col("dic_code"), F.col("dic_name").alias("source_type_name")))
+    names = dic.select(F.col("dic_code"), F.col("dic_name").alias("source_type_name"))
     lines = (od.join(names, od["source_type"] == names["dic_code"], "inner").drop("dic_code")
              .join(oa, "order_detail_id", "left")
              .join(oc, "order_detail_id", "left"))
@@ -73,8 +73,8 @@ def order_cancel(wide: DataFrame) -> DataFrame:
 def payment_detail(payments: DataFrame, lines: DataFrame, dic: DataFrame) -> DataFrame:
     """Paid order lines (J2): payments x order lines (inner, on order id) x payment-type
     name (inner lookup)."""
-    names = F.broadcast(dic.select(F.col("dic_code"),
-                                   F.col("dic_name").alias("payment_type_name")))
+    names = dic.select(F.col("dic_code"),
+                                   F.col("dic_name").alias("payment_type_name"))
     pay = payments.join(names, payments["payment_type"] == names["dic_code"], "inner")
     ln = lines.select("order_detail_id", F.col("order_id").alias("_oid"), "user_id", "sku_id",
                       "province_id", "activity_id", "activity_rule_id", "coupon_id",
@@ -93,10 +93,10 @@ def payment_detail(payments: DataFrame, lines: DataFrame, dic: DataFrame) -> Dat
 def refund_wide(refunds: DataFrame, refund_orders: DataFrame, dic: DataFrame) -> DataFrame:
     """Refunds (J3): refund rows, left join the refunded-order changes (province), left
     lookups of the refund type and reason names (the dictionary used twice)."""
-    rt = F.broadcast(dic.select(F.col("dic_code").alias("_rt"),
-                                F.col("dic_name").alias("refund_type_name")))
-    rr = F.broadcast(dic.select(F.col("dic_code").alias("_rr"),
-                                F.col("dic_name").alias("refund_reason_type_name")))
+    rt = dic.select(F.col("dic_code").alias("_rt"),
+                                F.col("dic_name").alias("refund_type_name"))
+    rr = dic.select(F.col("dic_code").alias("_rr"),
+                                F.col("dic_name").alias("refund_reason_type_name"))
     ro = refund_orders.select(F.col("id").alias("_oid"), "province_id")
     out = (refunds.join(ro, refunds["order_id"] == ro["_oid"], "left")
            .join(rt, refunds["refund_type"] == rt["_rt"], "left")
@@ -110,7 +110,7 @@ def refund_wide(refunds: DataFrame, refund_orders: DataFrame, dic: DataFrame) ->
 
 def comment_wide(comments: DataFrame, dic: DataFrame) -> DataFrame:
     """Comments with the appraise name (J4, left lookup)."""
-    names = F.broadcast(dic.select(F.col("dic_code"), F.col("dic_name").alias("appraise_name")))
+    names = dic.select(F.col("dic_code"), F.col("dic_name").alias("appraise_name"))
     out = comments.join(names, comments["appraise"] == names["dic_code"], "left")
     return out.select("id", "user_id", "sku_id", "order_id",
                       F.date_format(text_to_ts("create_time"), "yyyy-MM-dd").alias("date_id"),
@@ -119,8 +119,8 @@ def comment_wide(comments: DataFrame, dic: DataFrame) -> DataFrame:
 
 def cart_wide(carts: DataFrame, dic: DataFrame) -> DataFrame:
     """Cart additions with the source-type name (J5, inner lookup)."""
-    names = F.broadcast(dic.select(F.col("dic_code"),
-                                   F.col("dic_name").alias("source_type_name")))
+    names = dic.select(F.col("dic_code"),
+                                   F.col("dic_name").alias("source_type_name"))
     return carts.join(names, carts["source_type"] == names["dic_code"], "inner").drop("dic_code")
 
 

@@ -592,10 +592,10 @@ ORACLE["interval_join_10m"] = interval_sql(600_000)
 for _how, _kw in (("inner", "JOIN"), ("left", "LEFT JOIN"), ("right", "RIGHT JOIN"),
                   ("full", "FULL OUTER JOIN")):
     ORACLE[f"equi_join_{_how}"] = """
-SELECT c.c_custkey, c.c_name, o.o_orderkey, o.o_custkey
-FROM (SELECT c_custkey, c_name FROM customer WHERE c_custkey % 3 <> 0) c
-""" + _kw + """ (SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 5 <> 0) o
-ON c.c_custkey = o.o_custkey"""
+SELECT c.c_custkey, c.c_name, o.o_orderkey, o.customer_ref
+FROM customer c
+""" + _kw + """ (SELECT o_orderkey, o_custkey * 2 AS customer_ref FROM orders) o
+ON c.c_custkey = o.customer_ref"""
 
 ORACLE["latest_left_join"] = """
 WITH l AS (
@@ -605,8 +605,12 @@ WITH l AS (
              l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) AS rn
     FROM lineitem) WHERE rn = 1)
 SELECT l.l_orderkey, l.l_linenumber, l.ship_day, o.o_orderstatus
-FROM l LEFT JOIN (SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 3 <> 0) o
-ON l.l_orderkey = o.o_orderkey"""
+FROM l LEFT JOIN (
+  SELECT * FROM (
+    SELECT o_orderkey + o_orderkey // 2 AS order_ref, o_orderstatus,
+           row_number() OVER (PARTITION BY o_orderkey + o_orderkey // 2) AS rn FROM orders)
+  WHERE rn = 1) o
+ON l.l_orderkey = o.order_ref"""
 
 # ================================================================ dims
 ROUTED = """routed AS (
@@ -686,3 +690,10 @@ ORACLE["chart_json"] = _CH_REPORT.replace(
     "{'name': 'uj', 'data': list(uj_ct ORDER BY ch)}]}}) AS VARCHAR) AS json FROM (\n"
     "SELECT ch, CAST(sum(uv_ct) AS BIGINT) AS uv_ct, CAST(sum(uj_ct) AS BIGINT) AS uj_ct FROM cm"
 ).replace("GROUP BY ch", "GROUP BY ch)")
+
+# ================================================================ day-long windows
+
+for _name in ("login_metrics", "page_uv_metrics", "register_metrics", "cart_user_metrics",
+              "order_metrics", "province_order_metrics", "spu_order_metrics"):
+    ORACLE[f"{_name}_1d"] = (ORACLE[_name].replace("// 10000) * 10000", "// 86400000) * 86400000")
+                             .replace("* 86400000 + 10000)", "* 86400000 + 86400000)"))

@@ -408,6 +408,27 @@ def q_refund_metrics(spark, sf):
     return metrics.refund_metrics(refunds, product(spark, sf))
 
 
+# Day-long windows, in which sums and distinct counts have many rows.
+DAILY = {
+    "login_metrics": lambda spark, sf: metrics.login_metrics(
+        visitors.login_unique_and_back(page_log(spark, sf)), "1 day"),
+    "page_uv_metrics": lambda spark, sf: metrics.page_uv_metrics(
+        visitors.page_daily_unique(page_log(spark, sf)), "1 day"),
+    "register_metrics": lambda spark, sf: metrics.register_metrics(
+        cdc.user_register(clog(spark, sf)), "1 day"),
+    "cart_user_metrics": lambda spark, sf: metrics.cart_user_metrics(
+        trade.cart_daily_unique(cdc.cart_add(clog(spark, sf))), "1 day"),
+    "order_metrics": lambda spark, sf: metrics.order_metrics(
+        trade.order_unique_and_new(settled_lines(spark, sf)), "1 day"),
+    "province_order_metrics": lambda spark, sf: metrics.province_order_metrics(
+        settled_lines(spark, sf), dt.province_table(spark, sf), "1 day"),
+    "spu_order_metrics": lambda spark, sf: metrics.spu_order_metrics(
+        settled_lines(spark, sf), product(spark, sf), "1 day"),
+}
+for _name, _build in DAILY.items():
+    register(f"{_name}_1d")(_build)
+
+
 # ================================================================ joins of the samples
 from tidewater.operators import joins, reports  # noqa: E402
 
@@ -435,11 +456,12 @@ def q_interval_join_10m(spark, sf):
 
 
 def _equi(spark, sf, how: str):
-    c = dt.table(spark, sf, "customer").where(F.col("c_custkey") % 3 != 0).select(
-        "c_custkey", "c_name")
-    o = dt.table(spark, sf, "orders").where(F.col("o_orderkey") % 5 != 0).select(
-        "o_orderkey", "o_custkey")
-    return joins.equi_join(c, o, "c_custkey", "o_custkey", how)
+    # Orders refer to customers by twice their key here: odd customers have no order, and
+    # orders of the upper half no customer, so every kind of join differs.
+    c = dt.table(spark, sf, "customer").select("c_custkey", "c_name")
+    o = dt.table(spark, sf, "orders").select(
+        "o_orderkey", (F.col("o_custkey") * 2).alias("customer_ref"))
+    return joins.equi_join(c, o, "c_custkey", "customer_ref", how)
 
 
 for _how in ("inner", "left", "right", "full"):
@@ -451,12 +473,13 @@ def q_latest_left_join(spark, sf):
     li = dt.table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("ship_day"))
-    o = dt.table(spark, sf, "orders").where(F.col("o_orderkey") % 3 != 0).select(
-        "o_orderkey", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_day"))
+    # Orders by one and a half of their key: some lines find none.
+    o = dt.table(spark, sf, "orders").select(
+        F.expr("o_orderkey + o_orderkey div 2").alias("order_ref"), "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_day"))
     out = joins.latest_left_join(
         li, o, "l_orderkey",
         ["ship_day", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
-        ["order_day"], right_key="o_orderkey")
+        ["order_day"], right_key="order_ref")
     return out.select("l_orderkey", "l_linenumber", "ship_day", "o_orderstatus")
 
 

@@ -138,9 +138,10 @@ def attach_search_items(page_rows: DataFrame, spark: SparkSession, sf_dir: str)
     """Give search-result pages their searched text: the whole text of document
     ``offset % number_of_documents`` (page.item), item_type 'keyword'."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    n_docs = docs.count()  # parquet footer count; a scalar, not data
-    searched = page_rows.where(F.col("page.last_page_id") == "search")
-    joined = searched.join(docs, (F.col("offset") % F.lit(n_docs)) == F.col("doc_id"), "left")
+    total = docs.agg(F.count(F.lit(1)).alias("_docs"))  # one row
+    searched = page_rows.where(F.col("page.last_page_id") == "search").join(total, F.lit(True))
+    joined = searched.join(docs, (F.col("offset") % F.col("_docs")) == F.col("doc_id"),
+                           "left").drop("_docs")
     return joined.withColumn(
         "page", F.col("page").withField("item", F.col("text"))
                              .withField("item_type", F.when(F.col("text").isNotNull(),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.time import window_text
-from tidewater.session import ensure_checkpoint_dir
+from tidewater.session import ensure_checkpoint_dir, ship_package
 from tidewater.streaming.processors import (FLAT_COLS, FLAT_SCHEMA, DailyFirstProcessor,
                                             JumpProcessor)
 
@@ -87,6 +87,7 @@ def channel_metrics_stream(stream: DataFrame, length: str = "10 seconds",
 def run_to_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Run a streaming DataFrame over everything available (``availableNow``) into a
     parquet table under the checkpoint folder, and return that table."""
+    ship_package(spark)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     base = f"{ensure_checkpoint_dir(spark)}/streams/{name}-{uuid.uuid4().hex[:8]}"
     q = (df.writeStream.format("parquet").outputMode("append")
@@ -109,8 +110,6 @@ def fan_out_writer(root: str):
     from tidewater.operators.logs import fan_out_log, split_dirty
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         batch.persist()
         try:
             clean, dirty = split_dirty(batch)
@@ -118,7 +117,8 @@ def fan_out_writer(root: str):
             outs["dirty"] = dirty
             for name, df in outs.items():
                 (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-                 .write.mode("overwrite").partitionBy("batch_id")
+                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("batch_id")
                  .parquet(f"{root}/{name}"))
         finally:
             batch.unpersist()
