@@ -40,6 +40,7 @@ EQUIVALENT = [
     ("programme", "program"),
     ("recognised", "recognized"),
     ("sub license", "sublicense"),
+    ("sublicence", "sublicense"),
     ("utilisation", "utilization"),
     ("whilst", "while"),
     ("wilful", "willful"),
