@@ -181,3 +181,70 @@ def test_order_wide_inner_and_left(spark):
     assert [(r["order_detail_id"], r["activity_id"], r["coupon_id"], r["source_type_name"],
              r["split_original_amount"]) for r in rows] == \
         [("10", "3", None, "user search", "89.7600")]
+
+
+def test_rule_changes_with_deletes(spark):
+    from tidewater.operators import dims
+
+    def rec(table, op, cols="id"):
+        rule = (f'{{"source_table":"{table}","sink_table":"dim_{table}","sink_columns":"{cols}",'
+                '"sink_pk":"id","sink_extend":null}')
+        before, after = ("null", rule) if op == "c" else (rule, rule if op == "u" else "null")
+        return f'{{"before":{before},"after":{after},"op":"{op}"}}'
+
+    rows = [(0, rec("a", "c")), (1, rec("b", "c")), (2, rec("a", "u", "id,name")),
+            (3, rec("b", "d")), (4, "not json"), (5, None), (6, rec("c", "d")), (7, rec("c", "c"))]
+    df = spark.createDataFrame(rows, "offset long, value string")
+    got = {r.source_table: r.sink_columns for r in dims.read_rules(df).collect()}
+    assert got == {"a": "id,name", "c": "id"}
+
+
+def test_change_log_text(spark):
+    from tidewater.operators.cdc import old_has_key, read_change_log
+    rows = [('{"database":"d","table":"t","type":"update","ts":5,"data":{"id":"1"},'
+             '"old":{"k":null}}',), ('{"table":"t","type":"insert","ts":6,"data":{"id":"2"}}',),
+            ("{broken",), ("",), (None,)]
+    df = spark.createDataFrame(rows, "value string")
+    got = read_change_log(df).select("ts", "data", old_has_key("k").alias("has")).collect()
+    assert sorted((r.ts, r.data["id"], bool(r.has)) for r in got) == [(5, "1", True),
+                                                                    (6, "2", False)]
+
+
+def test_fractional_times(spark):
+    from tidewater.functions.time import not_earlier
+    rows = [("2022-04-01 11:10:55.04Z", "2022-04-01 11:10:55.040Z", True),
+            ("2022-04-01 11:10:55.4Z", "2022-04-01 11:10:55.04Z", True),
+            ("2022-04-01 11:10:55.04Z", "2022-04-01 11:10:55.1Z", False),
+            ("bad", "2022-04-01 11:10:55.1Z", None)]
+    df = spark.createDataFrame(rows, "a string, b string, want boolean")
+    assert all(r.got == r.want for r in df.select(
+        not_earlier("a", "b").alias("got"), "want").collect())
+
+
+def test_reports_on_a_stored_metric_table(spark):
+    import uuid
+
+    from tidewater.operators import reports
+    from tidewater.session import ensure_checkpoint_dir
+    from tidewater.sources import topics
+    path = f"{ensure_checkpoint_dir(spark)}/m-{uuid.uuid4().hex[:8]}"
+    rows = [("2024-01-15 00:00:00", "2024-01-15 00:00:10", 2.5),
+            ("2024-01-15 00:00:10", "2024-01-15 00:00:20", 4.0),
+            ("2024-01-16 00:00:00", "2024-01-16 00:00:10", 9.0)]
+    df = spark.createDataFrame(rows, "stt string, edt string, order_amount double")
+    for _ in range(2):  # a replayed batch replaces itself
+        topics.write_metrics(df, path, df.columns, batch_id=3)
+    stored = topics.read_metrics(spark, path)
+    assert stored.count() == 3 and "processed_at" in stored.columns
+    report = reports.gmv_report(stored, 20240115)
+    assert report.first().gmv == 6.5
+    assert reports.gmv_json(report).first().json == '{"status":0,"msg":"","data":6.5}'
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan
+    assert reports.gmv_report(stored).first().gmv is None  # today has no rows
+
+
+def test_bad_money_does_not_stop_a_metric(spark):
+    from tidewater.operators.metrics import money_sum
+    df = spark.createDataFrame([("1.25",), ("n/a",), (None,)], "x string")
+    assert df.agg(money_sum("x").alias("s")).first().s == 1.25

@@ -1,33 +1,87 @@
-"""Streaming forms equal the batch forms on the same input, except rows still held at
-the end of input (a pending jump whose timeout has not passed, the last open window)."""
+"""Streams over several micro-batches: carried state, rows out of order, late rows. (Whole
+tables are compared with SQL in test_oracle.py.)"""
 
-import pytest
+import uuid
+
+from pyspark.sql import functions as F
 
 from tidewater.plans.queries import REGISTRY
+from tidewater.session import ensure_checkpoint_dir
+from tidewater.streaming import jobs
+from tidewater.streaming.processors import FLAT_COLS, FLAT_SCHEMA, day_of
 
 SF = "/root/testdata/sf0.001"
+DAY = 86_400_000
 
 
-@pytest.mark.parametrize("stream_name,batch_name,max_pending", [
-    ("stream_unique_visitor", "daily_unique_visitor", 0),
-    ("stream_user_jump", "user_jump", 5),
-    ("stream_channel_metrics", "channel_metrics", 2),
-])
-def test_stream_equals_batch(spark, stream_name, batch_name, max_pending):
-    s = REGISTRY[stream_name](spark, SF)
-    b = REGISTRY[batch_name](spark, SF).select(*s.columns)
-    srows = {tuple(r) for r in s.collect()}
-    brows = {tuple(r) for r in b.collect()}
-    assert srows <= brows
-    assert len(brows) - len(srows) <= max_pending
+def batches(spark, files):
+    """A topic with one file per micro-batch; rows (mid, ts, last_page_id[, is_new])."""
+    folder = f"{ensure_checkpoint_dir(spark)}/topic-{uuid.uuid4().hex[:8]}"
+    n = 0
+    for i, rows in enumerate(files):
+        full = []
+        for mid, ts, page, *flag in rows:
+            full.append((mid, ts, n, page, "v", "c", "a", flag[0] if flag else "0", 1))
+            n += 1
+        df = spark.createDataFrame(full, FLAT_SCHEMA.replace(", event_time timestamp", ""))
+        (df.withColumn("event_time", F.timestamp_millis("ts")).select(*FLAT_COLS).coalesce(1)
+         .write.mode("append").parquet(folder))
+    return jobs.read_topic_stream(spark, folder, files_per_trigger=1)
 
 
-def test_fan_out_foreach_batch(spark):
-    import uuid
+def run(spark, stream, cols):
+    return sorted(tuple(r) for r in jobs.run_to_table(spark, stream, "t").select(*cols).collect())
+
+
+def test_daily_visitor_over_batches(spark):
+    files = [[("a", 1000, None)], [("b", 2 * DAY, None)], [("a", 2 * DAY + 5000, None)],
+             [("a", 2 * DAY + 9000, None)], [("a", 2 * DAY + 20_000, None)],
+             [("z", 3 * DAY + 10_000, None)], [("a", 3 * DAY + 30_000, None)],
+             [("z", 9 * DAY, None)]]
+    out = run(spark, jobs.unique_visitor_stream(batches(spark, files)), ["mid", "ts"])
+    assert out == [("a", 1000), ("a", 2 * DAY + 5000), ("a", 3 * DAY + 30_000),
+                   ("b", 2 * DAY), ("z", 3 * DAY + 10_000)]
+
+
+def test_first_of_a_day_arrives_second(spark):
+    files = [[("a", 6000, None)], [("a", 5000, None)], [("z", DAY, None)]]
+    out = run(spark, jobs.unique_visitor_stream(batches(spark, files)), ["mid", "ts"])
+    assert out == [("a", 5000)]
+
+
+def test_jumps_out_of_order_and_late(spark):
+    files = [[("a", 6000, "home")], [("a", 5000, None)],  # the start arrives after its page
+             [("b", 7000, None)], [("c", 40_000, None)], [("c", 45_000, None)],
+             [("b", 8000, "home")],  # later than the watermark: dropped
+             [("c", 47_000, "x")], [("z", 90_000, "x")]]
+    out = run(spark, jobs.user_jump_stream(batches(spark, files)), ["mid", "ts"])
+    assert out == [("b", 7000), ("c", 40_000)]
+
 
-    from tidewater.session import ensure_checkpoint_dir
+def test_jump_bound_is_reached_exactly(spark):
+    files = [[("a", 5000, None)], [("a", 15_000, "x")], [("b", 16_000, None)],
+             [("b", 25_999, "x")], [("z", 90_000, "x")]]
+    out = run(spark, jobs.user_jump_stream(batches(spark, files)), ["mid", "ts"])
+    assert out == [("a", 5000)]
+
+
+def test_new_flag_over_batches(spark):
+    files = [[("a", DAY + 2000, None, "1")], [("a", DAY + 1000, None, "0")],
+             [("b", DAY + 3000, None, "1")], [("b", 2 * DAY, None, "1")],
+             [("z", 3 * DAY, None, "0")]]
+    out = run(spark, jobs.new_flag_stream(batches(spark, files)), ["mid", "ts", "is_new"])
+    # a's first record claims no new visitor, so its later claim is on another day
+    assert out == [("a", DAY + 1000, "0"), ("a", DAY + 2000, "0"), ("b", DAY + 3000, "1"),
+                   ("b", 2 * DAY, "0")]
+
+
+def test_days_follow_the_zone():
+    assert day_of(0, "UTC") == 0 and day_of(-1, "UTC") == -1
+    assert day_of(0, "America/New_York") == -1 and day_of(DAY - 1, "Asia/Tokyo") == 1
+
+
+def test_fan_out_foreach_batch(spark):
     from tidewater.sources import driver_tables as dt
-    from tidewater.streaming import jobs
 
     base = f"{ensure_checkpoint_dir(spark)}/fanout-{uuid.uuid4().hex[:8]}"
     dt.raw_click_log(spark, SF).select("value").write.text(f"{base}/raw")
@@ -38,24 +92,3 @@ def test_fan_out_foreach_batch(spark):
     assert counts["dirty"] == batch.where("kind = 'dirty'").count()
     assert counts["page"] == REGISTRY["fan_out_page"](spark, SF).count()
     assert counts["display"] == REGISTRY["explode_displays"](spark, SF).count()
-
-
-def test_keyword_metrics_stream_sql(spark):
-    s = REGISTRY["stream_keyword_metrics"](spark, SF)
-    b = REGISTRY["keyword_metrics"](spark, SF).select(*s.columns)
-    srows = {tuple(r) for r in s.collect()}
-    brows = {tuple(r) for r in b.collect()}
-    assert srows <= brows
-    last = max(r[0] for r in brows)
-    assert {r for r in brows if r[0] != last} <= srows  # only the last open window is held
-
-
-@pytest.mark.parametrize("stream_name,batch_name", [
-    ("stream_fix_new_flag", "fix_new_flag"),
-    ("stream_login_unique_and_back", "login_unique_and_back"),
-    ("stream_first_per_key_gap", "first_per_key_gap"),
-])
-def test_more_state_machines(spark, stream_name, batch_name):
-    s = REGISTRY[stream_name](spark, SF)
-    b = REGISTRY[batch_name](spark, SF).select(*s.columns)
-    assert {tuple(r) for r in s.collect()} == {tuple(r) for r in b.collect()}

@@ -33,10 +33,6 @@ def ms_to_date(ms) -> Column:
     return F.date_format(ms_to_ts(ms), DATE_FMT)
 
 
-def ms_to_datetime(ms) -> Column:
-    return F.date_format(ms_to_ts(ms), DATETIME_FMT)
-
-
 def text_to_ts(text) -> Column:
     """'yyyy-MM-dd HH:mm:ss' or 'yyyy-MM-dd' text -> timestamp; bad text -> null."""
     t = col_(text)
@@ -49,6 +45,17 @@ def text_to_ms(text) -> Column:
     return F.unix_millis(text_to_ts(text))
 
 
+def fraction_ts(text) -> Column:
+    """'yyyy-MM-dd HH:mm:ss.f..Z' text, with any number of decimals, -> timestamp (F15): .04
+    and .040 are the same time. Bad text -> null."""
+    return F.regexp_replace(col_(text), "Z$", "").try_cast("timestamp")
+
+
+def not_earlier(a, b) -> Column:
+    """Whether text time ``a`` is not before ``b``, compared as times."""
+    return fraction_ts(a) >= fraction_ts(b)
+
+
 def text_to_date(text) -> Column:
     """'yyyy-MM-dd HH:mm:ss' -> 'yyyy-MM-dd' (F7)."""
     return F.date_format(text_to_ts(text), DATE_FMT)
@@ -59,15 +66,6 @@ def first_token(text) -> Column:
     return F.substring_index(col_(text), " ", 1)
 
 
-def fmt_ts(ts) -> Column:
-    return F.date_format(col_(ts), DATETIME_FMT)
-
-
-def day_int(ts) -> Column:
-    """Day as integer yyyyMMdd."""
-    return F.date_format(col_(ts), DAY_INT_FMT).cast("int")
-
-
 def today_int() -> Column:
     """Default report day: today as yyyyMMdd."""
     return F.date_format(F.current_date(), DAY_INT_FMT).cast("int")

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater import schemas
+
 ACCEPTED_TYPES = ("insert", "update", "bootstrap-insert")
 
 
@@ -50,6 +52,18 @@ def product_dim(sku: DataFrame, spu: DataFrame, trademark: DataFrame, cat3: Data
                   "category1_id", "left"))
 
 
+def read_rules(changes: DataFrame, value: str = "value", offset: str = "offset") -> DataFrame:
+    """Current rules from a topic of rule changes, JSON text ``{before, after, op}`` (S7): the
+    latest change of each source table counts; one without ``after`` deletes its rule, and
+    text that is no change is skipped."""
+    c = F.from_json(F.col(value), schemas.RULE_CHANGE)
+    rows = changes.select(c.alias("c"), F.col(offset).alias("_at")).where(
+        F.col("c.after").isNotNull() | F.col("c.before").isNotNull())
+    source = F.coalesce("c.after.source_table", "c.before.source_table")
+    last = rows.groupBy(source.alias("_src")).agg(F.max_by("c.after", "_at").alias("r"))
+    return last.where(F.col("r").isNotNull()).select("r.*")
+
+
 def apply_rules(log: DataFrame, rules: DataFrame) -> DataFrame:
     """Rows whose table has a rule and whose type is insert/update/bootstrap-insert,
     tagged with ``sink_table``, ``sink_columns`` and ``sink_pk`` (J11, P22). Deletes and

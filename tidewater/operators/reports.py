@@ -5,23 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.functions.time import today_int
+
 
 def _day_of_stt() -> F.Column:
     return F.regexp_replace(F.substring("stt", 1, 10), "-", "").cast("int")
 
 
-def gmv_report(province_metrics: DataFrame, day: int) -> DataFrame:
+def _one_day(metrics: DataFrame, day: int | None) -> DataFrame:
+    """Rows of a day (yyyyMMdd; today by default, F19). A stored metric table is partitioned
+    by ``dt``, so the filter on it reads that day's files alone."""
+    if "dt" not in metrics.columns:
+        return metrics.where(_day_of_stt() == (today_int() if day is None else F.lit(day)))
+    if day is None:
+        return metrics.where(F.col("dt") == F.date_format(F.current_date(), "yyyy-MM-dd"))
+    d = str(day)
+    return metrics.where(F.col("dt") == F.lit(f"{d[:4]}-{d[4:6]}-{d[6:]}"))
+
+
+def gmv_report(province_metrics: DataFrame, day: int | None = None) -> DataFrame:
     """Total order amount of one day (yyyyMMdd) of the province metric table (A12); one
     row, null when the day has no rows. Summed in decimal so the total does not depend
     on the order of the windows."""
-    rows = province_metrics.where(_day_of_stt() == F.lit(day))
-    return rows.agg(F.sum(F.col("order_amount").cast("decimal(18,2)")).cast("double")
+    rows = _one_day(province_metrics, day)
+    return rows.agg(F.sum(F.col("order_amount").try_cast("decimal(18,2)")).cast("double")
                     .alias("gmv"))
 
 
-def uv_by_channel_report(channel_metrics: DataFrame, day: int) -> DataFrame:
+def gmv_json(report: DataFrame) -> DataFrame:
+    """Payload of the total (F23): ``{"status":0,"msg":"","data":number}``; 0 without rows."""
+    body = F.struct(F.lit(0).alias("status"), F.lit("").alias("msg"),
+                    F.coalesce("gmv", F.lit(0.0)).alias("data"))
+    return report.select(F.to_json(body).alias("json"))
+
+
+def uv_by_channel_report(channel_metrics: DataFrame, day: int | None = None) -> DataFrame:
     """Visitors and bounces per channel for one day of the channel metric table."""
-    rows = channel_metrics.where(_day_of_stt() == F.lit(day))
+    rows = _one_day(channel_metrics, day)
     return rows.groupBy("ch").agg(F.sum("uv_ct").alias("uv_ct"), F.sum("uj_ct").alias("uj_ct"))
 
 

@@ -691,9 +691,55 @@ ORACLE["chart_json"] = _CH_REPORT.replace(
     "SELECT ch, CAST(sum(uv_ct) AS BIGINT) AS uv_ct, CAST(sum(uj_ct) AS BIGINT) AS uj_ct FROM cm"
 ).replace("GROUP BY ch", "GROUP BY ch)")
 
+ORACLE["change_log_json"] = ORACLE["order_cancel"]
+
 # ================================================================ day-long windows
 
 for _name in ("login_metrics", "page_uv_metrics", "register_metrics", "cart_user_metrics",
               "order_metrics", "province_order_metrics", "spu_order_metrics"):
     ORACLE[f"{_name}_1d"] = (ORACLE[_name].replace("// 10000) * 10000", "// 86400000) * 86400000")
                              .replace("* 86400000 + 10000)", "* 86400000 + 86400000)"))
+
+# ================================================================ streams
+#
+# A stream gives out what lies before its last watermark: the largest event time of its rows
+# less the delay. Rows wait until the watermark has passed them; windows until their end.
+
+
+def _passed(cond: str = "TRUE", table: str = "plog", delay: int = 2000) -> str:
+    return f"(SELECT max(ts) FROM {table} WHERE {cond}) - {delay}"
+
+
+_START = "last_page_id IS NULL"
+
+ORACLE["stream_unique_visitor"] = with_clog(", " + UV + f"""
+SELECT "offset", mid, ts, is_new FROM uvr WHERE ts < {_passed(_START)}""")
+
+ORACLE["stream_user_jump"] = with_clog(f""",
+nx AS (
+  SELECT *, lead(ts) OVER w AS nts, lead(last_page_id) OVER w AS nlp
+  FROM plog WINDOW w AS (PARTITION BY mid ORDER BY ts, "offset"))
+SELECT "offset", mid, ts FROM nx
+WHERE {_START} AND ts < {_passed()} AND CASE WHEN nts IS NOT NULL AND nts < {_passed()}
+  THEN nlp IS NULL OR nts - ts >= 10000 ELSE ts + 10000 <= {_passed()} END""")
+
+ORACLE["stream_fix_new_flag"] = with_clog(f"""
+SELECT "offset", mid, ts, is_new FROM flog WHERE ts < {_passed(table='clog')}""")
+
+ORACLE["stream_login_unique_and_back"] = with_clog(", " + LOGIN + f"""
+SELECT "offset", uid, ts, dt, uu_ct, back_ct FROM lg
+WHERE ts < {_passed("uid IS NOT NULL AND " + _START)}""")
+
+ORACLE["stream_first_per_key_gap"] = (
+    "SELECT * FROM (" + ORACLE["first_per_key_gap"] + ") WHERE detail_ts * 1000 < ("
+    + with_cdc(" SELECT max(detail_ts) FROM od") + ") * 1000 - 2000")
+
+ORACLE["stream_channel_metrics"] = channel_sql(10_000).replace(
+    "0, 0, 0, 0 FROM uvr)", f"0, 0, 0, 0 FROM uvr WHERE ts < {_passed(_START)})").replace(
+    "FROM r GROUP BY ALL",
+    f"FROM r WHERE (ts // 10000) * 10000 + 10000 <= {_passed(delay=13000)} GROUP BY ALL")
+
+ORACLE["stream_keyword_metrics"] = ORACLE["keyword_metrics"].replace(
+    "FROM words GROUP BY ALL",
+    "FROM words WHERE (ts // 10000) * 10000 + 10000 <= "
+    "(SELECT max(ts // 1000) * 1000 - 2000 FROM srch) GROUP BY ALL")

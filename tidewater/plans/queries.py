@@ -483,6 +483,17 @@ def q_latest_left_join(spark, sf):
     return out.select("l_orderkey", "l_linenumber", "ship_day", "o_orderstatus")
 
 
+# ================================================================ change log as text
+@register("change_log_json")
+def q_change_log_json(spark, sf):
+    """Cancelled orders from the change log's JSON text."""
+    log = clog(spark, sf)
+    raw = log.select(F.to_json(F.struct(*log.columns), {"ignoreNullFields": "false"})
+                     .alias("value"))
+    out = trade.order_cancel(trade.order_wide(cdc.read_change_log(raw), dt.dictionary(spark)))
+    return out.select(*q_order_cancel(spark, sf).columns)
+
+
 # ================================================================ dims
 @register("apply_rules")
 def q_apply_rules(spark, sf):
@@ -538,7 +549,7 @@ def q_chart_json(spark, sf):
 
 
 # ================================================================ streaming forms
-# Rows-only checks at the driver; tests compare them with the batch forms.
+# The oracles restrict the batch results to what the last watermark lets through.
 
 def _stream_input(spark, sf, name):
     from tidewater.streaming import jobs
@@ -565,8 +576,14 @@ def q_stream_user_jump(spark, sf):
 @register("stream_channel_metrics")
 def q_stream_channel_metrics(spark, sf):
     from tidewater.streaming import jobs
-    s = _stream_input(spark, sf, "cm")
-    return jobs.run_to_table(spark, jobs.channel_metrics_stream(s), "channel_metrics")
+    pages = jobs.land_page_log(spark, page_log(spark, sf), "cm")
+    topics = []
+    for name, job in (("cm_uv", jobs.unique_visitor_stream), ("cm_uj", jobs.user_jump_stream)):
+        jobs.prepare(spark)
+        topics.append(jobs.run_to_folder(job(jobs.read_topic_stream(spark, pages)),
+                                         f"{_scratch(spark)}/streams/{name}-{_uid()}"))
+    return jobs.run_to_table(spark, jobs.channel_metrics_stream(spark, pages, *topics),
+                             "channel_metrics")
 
 
 @register("stream_keyword_metrics")

@@ -73,13 +73,3 @@ DICTIONARY = T.StructType([
     T.StructField("parent_code", S),
 ])
 
-# Order wide fact: one row per (order line, order change).
-ORDER_WIDE_COLUMNS = [
-    "order_detail_id", "order_id", "sku_id", "sku_name", "order_price", "sku_num",
-    "order_create_time", "source_type", "source_id", "split_original_amount",
-    "split_total_amount", "split_activity_amount", "split_coupon_amount", "detail_ts",
-    "total_amount", "order_status", "user_id", "province_id", "activity_reduce_amount",
-    "coupon_reduce_amount", "original_total_amount", "operate_time", "type", "old",
-    "activity_id", "activity_rule_id", "activity_create_time", "coupon_id",
-    "coupon_use_id", "coupon_create_time", "source_type_name", "change_ts",
-]

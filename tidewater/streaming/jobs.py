@@ -38,45 +38,56 @@ def land_topic(df: DataFrame, folder: str) -> str:
     return folder
 
 
-def read_topic_stream(spark: SparkSession, folder: str, delay: str = "2 seconds") -> DataFrame:
-    """File-backed page topic as a stream with a bounded out-of-orderness watermark
-    (T10)."""
-    return (spark.readStream.schema(FLAT_SCHEMA).parquet(folder)
+def read_topic_stream(spark: SparkSession, folder: str, delay: str = "2 seconds",
+                      files_per_trigger: int | None = None) -> DataFrame:
+    """File-backed page topic as a stream with a bounded out-of-orderness watermark.
+    ``files_per_trigger`` bounds a micro-batch, and so what a key holds."""
+    return (_files(spark, FLAT_SCHEMA, files_per_trigger).parquet(folder)
             .withWatermark("event_time", delay))
 
 
+def _files(spark: SparkSession, schema: str, files_per_trigger: int | None):
+    r = spark.readStream.schema(schema)
+    return r if files_per_trigger is None else r.option("maxFilesPerTrigger", files_per_trigger)
+
+
+def _zone(df: DataFrame) -> str:
+    return df.sparkSession.conf.get("spark.sql.session.timeZone")
+
+
 def unique_visitor_stream(stream: DataFrame) -> DataFrame:
     """First session start of every (device, day) (T8, streaming)."""
     starts = stream.where(F.col("last_page_id").isNull())
     return starts.groupBy("mid").transformWithStateInPandas(
-        DailyFirstProcessor(), FLAT_SCHEMA, "Append", "EventTime",
-        eventTimeColumnName="event_time")
+        DailyFirstProcessor(_zone(stream)), FLAT_SCHEMA, "Append", "EventTime")
 
 
 def user_jump_stream(stream: DataFrame, within_ms: int = 10_000) -> DataFrame:
     """Bounced session starts (T9, streaming) with an event-time timeout."""
     return stream.groupBy("mid").transformWithStateInPandas(
-        JumpProcessor(within_ms), FLAT_SCHEMA, "Append", "EventTime",
-        eventTimeColumnName="event_time")
+        JumpProcessor(within_ms), FLAT_SCHEMA, "Append", "EventTime")
 
 
-def channel_metrics_stream(stream: DataFrame, length: str = "10 seconds",
-                           within_ms: int = 10_000) -> DataFrame:
-    """Channel metrics (A1) over a stream: page measures, unique visitors and jumps
-    unioned, then one windowed aggregation emitted when the watermark closes it."""
+def channel_metrics_stream(spark: SparkSession, pages: str, visitors: str, jumps: str,
+                           length: str = "10 seconds", delay: str = "13 seconds",
+                           files_per_trigger: int | None = None) -> DataFrame:
+    """Channel metrics (A1) over three topics - pages, unique visitors, jumps - unioned, then
+    one windowed aggregation emitted when the watermark closes it. The watermark of 13 s
+    (T11) covers the 2 s of lateness, the 10 s that a jump is held, and one second."""
     zero = F.lit(0).cast("long")
     one = F.lit(1).cast("long")
     keys = ["event_time", "vc", "ch", "ar", "is_new"]
-    pages = stream.select(*keys, zero.alias("uv"),
-                          F.col("last_page_id").isNull().cast("long").alias("sv"),
-                          one.alias("pv"), F.col("during_time").alias("dur"), zero.alias("uj"))
-    uv = unique_visitor_stream(stream).select(*keys, one.alias("uv"), zero.alias("sv"),
-                                              zero.alias("pv"), zero.alias("dur"),
-                                              zero.alias("uj"))
-    uj = user_jump_stream(stream, within_ms).select(*keys, zero.alias("uv"), zero.alias("sv"),
-                                                    zero.alias("pv"), zero.alias("dur"),
-                                                    one.alias("uj"))
-    rows = pages.unionByName(uv).unionByName(uj)
+    measures = {
+        pages: {"sv": F.col("last_page_id").isNull().cast("long"), "pv": one,
+                "dur": F.col("during_time")},
+        visitors: {"uv": one}, jumps: {"uj": one}}
+    rows = None
+    for folder, own in measures.items():
+        part = (_files(spark, FLAT_SCHEMA, files_per_trigger).parquet(folder)
+                .select(*keys, *[own.get(c, zero).alias(c)
+                                 for c in ("uv", "sv", "pv", "dur", "uj")]))
+        rows = part if rows is None else rows.unionByName(part)
+    rows = rows.withWatermark("event_time", delay)
     g = rows.groupBy(F.window("event_time", length).alias("win"), "vc", "ch", "ar", "is_new").agg(
         F.sum("uv").alias("uv_ct"), F.sum("sv").alias("sv_ct"), F.sum("pv").alias("pv_ct"),
         F.coalesce(F.sum("dur"), zero).alias("dur_sum"), F.sum("uj").alias("uj_ct"))
@@ -84,17 +95,29 @@ def channel_metrics_stream(stream: DataFrame, length: str = "10 seconds",
                     "pv_ct", "dur_sum", "uj_ct")
 
 
+def prepare(spark: SparkSession) -> None:
+    """What stateful streams need of the session: the package on the executors and a state
+    store that holds lists and timers."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
 def run_to_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Run a streaming DataFrame over everything available (``availableNow``) into a
     parquet table under the checkpoint folder, and return that table."""
-    ship_package(spark)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    prepare(spark)
     base = f"{ensure_checkpoint_dir(spark)}/streams/{name}-{uuid.uuid4().hex[:8]}"
+    return spark.read.schema(df.schema).parquet(run_to_folder(df, base))
+
+
+def run_to_folder(df: DataFrame, base: str) -> str:
+    """Run a streaming DataFrame over everything available; the folder of its rows, which
+    another stream can read as a topic."""
     q = (df.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", f"{base}/_checkpoint")
          .trigger(availableNow=True).start(f"{base}/out"))
     q.awaitTermination()
-    return spark.read.schema(df.schema).parquet(f"{base}/out")
+    return f"{base}/out"
 
 
 def land_page_log(spark: SparkSession, page: DataFrame, name: str) -> str:
@@ -169,16 +192,14 @@ def new_flag_stream(stream: DataFrame) -> DataFrame:
     """New-visitor flag repair over a click-record stream (T2, streaming)."""
     from tidewater.streaming.processors import NewFlagProcessor
     return stream.groupBy("mid").transformWithStateInPandas(
-        NewFlagProcessor(), FLAT_SCHEMA, "Append", "EventTime",
-        eventTimeColumnName="event_time")
+        NewFlagProcessor(_zone(stream)), FLAT_SCHEMA, "Append", "EventTime")
 
 
 def login_stream(stream: DataFrame, back_days: int = 8) -> DataFrame:
     """Daily-unique and back-flow logins over a stream of login rows (T4, streaming)."""
     from tidewater.streaming.processors import LOGIN_SCHEMA, LoginProcessor
     return stream.groupBy("uid").transformWithStateInPandas(
-        LoginProcessor(back_days), LOGIN_SCHEMA, "Append", "EventTime",
-        eventTimeColumnName="event_time")
+        LoginProcessor(back_days, _zone(stream)), LOGIN_SCHEMA, "Append", "EventTime")
 
 
 def gap_stream(stream: DataFrame, key: str, gap_ms: int, sort_cols: list[str],
@@ -186,7 +207,5 @@ def gap_stream(stream: DataFrame, key: str, gap_ms: int, sort_cols: list[str],
     """Burst-first rows per key over a stream (T1b, streaming); ``stream`` has ``ts``
     (epoch ms) and an ``event_time`` column with a watermark."""
     from tidewater.streaming.processors import GapProcessor
-    out_cols = [c.strip().split(" ")[0] for c in out_schema.split(",")]
     return stream.groupBy(key).transformWithStateInPandas(
-        GapProcessor(gap_ms, sort_cols, out_cols), out_schema, "Append", "EventTime",
-        eventTimeColumnName="event_time")
+        GapProcessor(gap_ms, out_schema, sort_cols), out_schema, "Append", "EventTime")

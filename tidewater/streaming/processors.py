@@ -1,13 +1,17 @@
-"""Stateful processors for the streaming forms of the per-device state machines.
+"""Stateful processors for the streaming forms of the per-key state machines.
 
-Used with ``groupBy(key).transformWithStateInPandas(.., timeMode="EventTime")``. Rows of
-one key inside a micro-batch are not ordered, so each handler sorts them by
-(ts, offset) first. State is cleared by event-time timers, never by wall-clock TTL.
+Used with ``groupBy(key).transformWithStateInPandas(.., timeMode="EventTime")``. Rows wait in
+list state until the watermark has passed them and are then handled in (ts, ...) order, so
+neither the order of arrival nor the cut into micro-batches shows in the result. A key holds
+the rows of the lateness bound and of one micro-batch; streams bound the latter by files per
+trigger. Days follow the zone that the caller gives.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime
+from zoneinfo import ZoneInfo
 
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, StatefulProcessor,
@@ -20,197 +24,242 @@ FLAT_SCHEMA = ("mid string, ts long, offset long, last_page_id string, vc string
                "ch string, ar string, is_new string, during_time long, event_time timestamp")
 
 
-def _sorted(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    df = pd.concat(list(rows), ignore_index=True)
-    return df.sort_values(["ts", "offset"], kind="stable")
+def fields_of(schema: str) -> list[tuple[str, str]]:
+    """(name, type) of each column of a schema text, event_time left out."""
+    out = [tuple(c.split()) for c in schema.split(",")]
+    return [(n, t) for n, t in out if n != "event_time"]
 
 
-class DailyFirstProcessor(StatefulProcessor):
-    """First row of every (key, day) (T8 and the other "last active day" states).
+def day_of(ts_ms: int, zone: str) -> int:
+    """Days since 1970-01-01 of an epoch-ms time in a zone."""
+    if zone == "UTC":
+        return ts_ms // DAY_MS
+    return datetime.fromtimestamp(ts_ms / 1000, ZoneInfo(zone)).toordinal() - 719_163
 
-    Value state: the day last emitted. A timer at the start of the following day plus
-    one day clears it, which bounds state to active keys."""
+
+class OrderedProcessor(StatefulProcessor):
+    """Hands each key's rows to ``advance`` in event order, behind the watermark."""
+
+    def __init__(self, schema: str, sort: list[str], zone: str = "UTC"):
+        self.fields = fields_of(schema)
+        self.names = [n for n, _ in self.fields]
+        self.at = {n: i for i, n in enumerate(self.names)}
+        self.sort = [self.at[c] for c in sort]
+        self.zone = zone
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last_day = handle.getValueState("last_day", "day long")
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues):
-        df = _sorted(rows)
-        held = self.last_day.get()
-        last = None if held is None else held[0]
-        keep = []
-        for i, ts in zip(df.index, df["ts"]):
-            d = int(ts) // DAY_MS
-            if last is None or d != last:
-                keep.append(i)
-                last = d
-        if last is not None:
-            self.last_day.update((last,))
-            self.handle.registerTimer((last + 2) * DAY_MS)
-        if keep:
-            yield df.loc[keep, FLAT_COLS]
+        self.waiting = handle.getListState(
+            "waiting", ", ".join(f"{n} {t}" for n, t in self.fields))
+        self.setup(handle)
+
+    def setup(self, handle: StatefulProcessorHandle) -> None:
+        raise NotImplementedError
+
+    def advance(self, key, rows: list[tuple], watermark: int) -> list[tuple]:
+        """Rows to emit, given the next rows in order; all rows before the watermark have
+        been seen."""
+        raise NotImplementedError
+
+    def output(self, out: list[tuple]) -> pd.DataFrame:
+        df = pd.DataFrame(out, columns=self.names)
+        df["event_time"] = pd.to_datetime(df["ts"], unit="ms")
+        return df
+
+    def _rows(self, df: pd.DataFrame) -> list[tuple]:
+        cols = []
+        for n, t in self.fields:
+            whole = t in ("long", "int")
+            cols.append([None if pd.isna(v) else (int(v) if whole else v) for v in df[n]])
+        return list(zip(*cols, strict=True))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues):
+        first = None
+        for df in rows:
+            new = self._rows(df)
+            if new:
+                self.waiting.appendList(new)
+                low = min(r[self.at["ts"]] for r in new)
+                first = low if first is None else min(first, low)
+        if first is not None:
+            self.handle.registerTimer(first + 1)
+        return iter([])
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo):
-        self.last_day.clear()
-        return iter([])
+        watermark = timerValues.getCurrentWatermarkInMs()
+        ts = self.at["ts"]
+        held = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
+        ready = [r for r in held if r[ts] < watermark]
+        if ready:
+            rest = [r for r in held if r[ts] >= watermark]
+            if rest:
+                self.waiting.put(rest)
+                self.handle.registerTimer(min(r[ts] for r in rest) + 1)
+            else:
+                self.waiting.clear()
+        ready.sort(key=lambda r: tuple((r[i] is not None, r[i]) if r[i] is not None
+                                       else (False, 0) for i in self.sort))
+        out = self.advance(key, ready, watermark)
+        if out:
+            yield self.output(out)
 
     def close(self) -> None:
         pass
 
 
-class JumpProcessor(StatefulProcessor):
-    """Bounced session starts (T9): a pending session start is emitted when the next
-    row is another session start within ``within_ms`` (match), or when nothing follows
-    for ``within_ms`` (timer at ts + within_ms, or a later row past the bound); it is
-    dropped when a non-start row follows in time."""
+class DailyFirstProcessor(OrderedProcessor):
+    """First row of every (key, day) (T8 and the other "last active day" states). The day
+    last emitted is forgotten once the watermark is two days past its start."""
+
+    def __init__(self, zone: str = "UTC"):
+        super().__init__(FLAT_SCHEMA, ["ts", "offset"], zone)
+
+    def setup(self, handle: StatefulProcessorHandle) -> None:
+        self.last_day = handle.getValueState("last_day", "day long")
+
+    def advance(self, key, rows, watermark):
+        held = self.last_day.get()
+        last = None if held is None else held[0]
+        out = []
+        for r in rows:
+            d = day_of(r[self.at["ts"]], self.zone)
+            if d != last:
+                out.append(r)
+                last = d
+        if out:
+            self.last_day.update((last,))
+            self.handle.registerTimer((last + 3) * DAY_MS)
+        elif last is not None and watermark >= (last + 3) * DAY_MS:
+            self.last_day.clear()  # no row of that day or the day after can still come
+        return out
+
+
+class JumpProcessor(OrderedProcessor):
+    """Bounced session starts (T9): a session start is emitted when the next row is another
+    session start, or when no row follows within ``within_ms``; it is dropped when another
+    page follows in time."""
 
     def __init__(self, within_ms: int = 10_000):
+        super().__init__(FLAT_SCHEMA, ["ts", "offset"])
         self.within_ms = within_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+    def setup(self, handle: StatefulProcessorHandle) -> None:
         self.pending = handle.getValueState(
-            "pending", "mid string, ts long, offset long, last_page_id string, vc string, "
-                       "ch string, ar string, is_new string, during_time long")
+            "pending", ", ".join(f"{n} {t}" for n, t in self.fields))
 
-    def _emit(self, p: tuple) -> pd.DataFrame:
-        row = dict(zip(FLAT_COLS[:-1], p))
-        row["event_time"] = pd.Timestamp(row["ts"], unit="ms")
-        return pd.DataFrame([row], columns=FLAT_COLS)
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues):
-        df = _sorted(rows)
-        pending = self.pending.get()
+    def advance(self, key, rows, watermark):
+        ts, page = self.at["ts"], self.at["last_page_id"]
+        held = self.pending.get()
+        pending = None if held is None else tuple(held)
         out = []
-        for r in df[FLAT_COLS[:-1]].itertuples(index=False, name=None):
-            if pending is not None:
-                gap = r[1] - pending[1]
-                if gap >= self.within_ms or r[3] is None or pd.isna(r[3]):
-                    out.append(self._emit(pending))
-                self.handle.deleteTimer(pending[1] + self.within_ms)
-                pending = None
-            if r[3] is None or pd.isna(r[3]):
-                pending = tuple(None if (isinstance(v, float) and pd.isna(v)) else v for v in r)
-                self.handle.registerTimer(pending[1] + self.within_ms)
-        if pending is not None:
-            self.pending.update(pending)
-        else:
+        for r in rows:
+            if pending is not None and (r[page] is None
+                                        or r[ts] - pending[ts] >= self.within_ms):
+                out.append(pending)
+            pending = r if r[page] is None else None
+        if pending is not None and watermark >= pending[ts] + self.within_ms:
+            out.append(pending)
+            pending = None
+        if pending is None:
             self.pending.clear()
-        if out:
-            yield pd.concat(out, ignore_index=True)
-
-    def handleExpiredTimer(self, key, timerValues: TimerValues,
-                           expiredTimerInfo: ExpiredTimerInfo):
-        if self.pending.exists():
-            p = self.pending.get()
-            self.pending.clear()
-            yield self._emit(p)
-
-    def close(self) -> None:
-        pass
+        else:
+            self.pending.update(pending)
+            self.handle.registerTimer(pending[ts] + self.within_ms)
+        return out
 
 
-class NewFlagProcessor(StatefulProcessor):
+class NewFlagProcessor(OrderedProcessor):
     """Repair ``is_new`` per device (T2): the first record fixes an anchor day (its own
     day when it claims new, else the day before); later '1' records on another day
     become '0'. The anchor is never changed, as in the reference (no TTL)."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
+    def __init__(self, zone: str = "UTC"):
+        super().__init__(FLAT_SCHEMA, ["ts", "offset"], zone)
+
+    def setup(self, handle: StatefulProcessorHandle) -> None:
         self.anchor = handle.getValueState("anchor", "day long")
 
-    def handleInputRows(self, key, rows, timerValues: TimerValues):
-        df = _sorted(rows)
+    def advance(self, key, rows, watermark):
+        if not rows:
+            return []
         held = self.anchor.get()
         anchor = None if held is None else held[0]
-        fixed = []
-        for ts, flag in zip(df["ts"], df["is_new"]):
-            d = int(ts) // DAY_MS
+        flag, out = self.at["is_new"], []
+        for r in rows:
+            d = day_of(r[self.at["ts"]], self.zone)
             if anchor is None:
-                anchor = d if flag == "1" else d - 1
-            fixed.append("0" if flag == "1" and d != anchor else flag)
+                anchor = d if r[flag] == "1" else d - 1
+            fixed = "0" if r[flag] == "1" and d != anchor else r[flag]
+            out.append((*r[:flag], fixed, *r[flag + 1:]))
         self.anchor.update((anchor,))
-        df = df.assign(is_new=fixed)
-        yield df[FLAT_COLS]
-
-    def close(self) -> None:
-        pass
+        return out
 
 
+LOGIN_IN = "uid string, ts long, offset long, event_time timestamp"
 LOGIN_SCHEMA = ("uid string, ts long, offset long, event_time timestamp, dt string, "
                 "uu_ct long, back_ct long")
 
 
-class LoginProcessor(StatefulProcessor):
+class LoginProcessor(OrderedProcessor):
     """First login of every (user, day), flagged back-flow when the previous login day
     is ``back_days`` or more whole days earlier (T4). No TTL, as in the reference."""
 
-    def __init__(self, back_days: int = 8):
+    def __init__(self, back_days: int = 8, zone: str = "UTC"):
+        super().__init__(LOGIN_IN, ["ts", "offset"], zone)
         self.back_days = back_days
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
+    def setup(self, handle: StatefulProcessorHandle) -> None:
         self.last_day = handle.getValueState("last_day", "day long")
 
-    def handleInputRows(self, key, rows, timerValues: TimerValues):
-        df = _sorted(rows)
+    def advance(self, key, rows, watermark):
         held = self.last_day.get()
         last = None if held is None else held[0]
         out = []
-        for ts, off, et in zip(df["ts"], df["offset"], df["event_time"]):
-            d = int(ts) // DAY_MS
-            if last is None or d != last:
-                back = 1 if last is not None and d - last >= self.back_days else 0
-                out.append((key[0], int(ts), int(off), et,
-                            pd.Timestamp(d * DAY_MS, unit="ms").strftime("%Y-%m-%d"), 1, back))
+        for r in rows:
+            d = day_of(r[self.at["ts"]], self.zone)
+            if d != last:
+                back = int(last is not None and d - last >= self.back_days)
+                out.append((*r, datetime.fromordinal(d + 719_163).strftime("%Y-%m-%d"), 1, back))
                 last = d
-        if last is not None:
-            self.last_day.update((last,))
         if out:
-            yield pd.DataFrame(out, columns=["uid", "ts", "offset", "event_time", "dt",
-                                             "uu_ct", "back_ct"])
+            self.last_day.update((last,))
+        return out
 
-    def close(self) -> None:
-        pass
+    def output(self, out):
+        df = pd.DataFrame(out, columns=[*self.names, "dt", "uu_ct", "back_ct"])
+        df["event_time"] = pd.to_datetime(df["ts"], unit="ms")
+        return df[["uid", "ts", "offset", "event_time", "dt", "uu_ct", "back_ct"]]
 
 
-class GapProcessor(StatefulProcessor):
+class GapProcessor(OrderedProcessor):
     """Rows that start a new burst of their key (T1b): emitted when no row of the key
     came in the previous ``gap_ms`` (the reference's state TTL is refreshed by every
-    read). An event-time timer at last + gap clears the state."""
+    read). The last time is forgotten when the watermark is ``gap_ms`` past it."""
 
-    def __init__(self, gap_ms: int, sort_cols: list[str], out_cols: list[str]):
+    def __init__(self, gap_ms: int, schema: str, sort: list[str]):
+        super().__init__(schema, sort)
         self.gap_ms = gap_ms
-        self.sort_cols = sort_cols
-        self.out_cols = out_cols
+        self.out_cols = [c.split()[0] for c in schema.split(",")]
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+    def setup(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "ts long")
 
-    def handleInputRows(self, key, rows, timerValues: TimerValues):
-        # State and timer calls are round trips to the state server: one read, one
-        # write and at most one timer swap per key and batch.
-        df = pd.concat(list(rows), ignore_index=True).sort_values(self.sort_cols, kind="stable")
+    def advance(self, key, rows, watermark):
+        ts = self.at["ts"]
         held = self.last.get()
-        prev = None if held is None else held[0]
-        last = prev
-        keep = []
-        for i, ts in zip(df.index, df["ts"]):
-            if last is None or int(ts) - last >= self.gap_ms:
-                keep.append(i)
-            last = int(ts)
-        if prev is not None:
-            self.handle.deleteTimer(prev + self.gap_ms)
-        self.handle.registerTimer(last + self.gap_ms)
-        self.last.update((last,))
-        if keep:
-            yield df.loc[keep, self.out_cols]
-
-    def handleExpiredTimer(self, key, timerValues: TimerValues,
-                           expiredTimerInfo: ExpiredTimerInfo):
-        self.last.clear()
-        return iter([])
-
-    def close(self) -> None:
-        pass
+        last = None if held is None else held[0]
+        out = []
+        for r in rows:
+            if last is None or r[ts] - last >= self.gap_ms:
+                out.append(r)
+            last = r[ts]
+        if rows:
+            self.last.update((last,))
+            self.handle.registerTimer(last + self.gap_ms)
+        elif last is not None and watermark >= last + self.gap_ms:
+            self.last.clear()
+        return out
+
+    def output(self, out):
+        return super().output(out)[self.out_cols]
