@@ -27,25 +27,51 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import unicodedata
+
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import mix, start
-from tidewater.llm.shingles import WORDS, chain, word_hashes
+from tidewater.llm.common import chunks, mix, start
+from tidewater.llm.shingles import WORDS, chain, hash_spans, spans
 
 BLOCKS = 8
 RADIUS = 24
-_NOT_WORD = regex.compile(r"[^\p{L}\p{M}\p{N}]+")
+CHUNK_CHARS = 1 << 18  # characters hashed at once
+_HINT_BITS = 20
 _BITS = np.array([bin(i).count("1") for i in range(256)], np.uint8)
-
-
-def words(text: str | None) -> np.ndarray:
-    """Hashes of the words of a text."""
-    clean = _NOT_WORD.sub(" ", (text or "").lower())
-    return word_hashes(clean.encode("utf-8", "replace"))
+_STATE: dict = {}
+
+
+def _fold() -> np.ndarray:
+    """Code point -> lower-case letter, mark or digit, or space."""
+    if "fold" not in _STATE:
+        fold = np.full(0x110000, 32, np.uint32)
+        for i in range(0x110000):
+            c = chr(i)
+            if unicodedata.category(c)[0] in "LMN":
+                low = c.lower()
+                fold[i] = ord(low) if len(low) == 1 else i
+        _STATE["fold"] = fold
+    return _STATE["fold"]
+
+
+def words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of the texts in order, and where each text's begin (one more
+    than texts)."""
+    fold, out, edges, done = _fold(), [], [0], 0
+    for lo, hi in chunks([len(t or "") for t in texts], CHUNK_CHARS):
+        part = [t or "" for t in texts[lo:hi]]
+        ends = np.cumsum([len(t) + 1 for t in part])
+        c = fold[np.frombuffer((" ".join(part) + " ").encode("utf-32-le", "surrogatepass"),
+                               "<u4")]
+        s, e = spans(c == 32)
+        out.append(hash_spans(c, s, e))
+        edges += (done + np.searchsorted(s, ends)).tolist()
+        done += len(s)
+    return (np.concatenate(out) if out else np.empty(0, np.uint64)), np.asarray(edges)
 
 
 def _signs(h: np.ndarray) -> np.ndarray:
@@ -63,10 +89,11 @@ class Items:
     """Benchmark items and the multi-index of their fingerprints."""
 
     def __init__(self, ids: list, texts: list[str | None], k: int, radius: int):
-        self.k, self.radius = k, radius
+        self.k, self.radius, self.hint = k, radius, {}
         self.ids, self.size, self.counts, prints = [], [], [], []
-        for i, t in zip(ids, texts, strict=True):
-            w = words(t)
+        every, edge = words(texts)
+        for n, i in enumerate(ids):
+            w = every[edge[n]:edge[n + 1]]
             if not len(w):
                 continue
             s = chain(w, min(k, len(w)))
@@ -77,10 +104,14 @@ class Items:
         self.prints = np.asarray(prints, np.uint8).reshape(-1, BLOCKS)
         self.by_size: dict[int, np.ndarray] = {
             n: np.flatnonzero(np.asarray(self.size) == n) for n in sorted(set(self.size))}
-        self.known = {kk: np.unique(np.concatenate(
-            [self.counts[j][0] for j in range(len(self.ids))
-             if min(k, self.size[j]) == kk] or [np.empty(0, np.uint64)]))
-            for kk in {min(k, n) for n in self.size}}
+        # known[kk]: shingles of kk words in order, and the items that have them
+        self.known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for kk in sorted({min(k, n) for n in self.size}):
+            own = [j for j, n in enumerate(self.size) if min(k, n) == kk]
+            h = np.concatenate([self.counts[j][0] for j in own])
+            item = np.repeat(own, [len(self.counts[j][0]) for j in own])
+            order = np.argsort(h, kind="stable")
+            self.known[kk] = h[order], item[order]
         # near[n][block][value]: items of n words with a block within radius // BLOCKS bits
         step = radius // BLOCKS
         close = _BITS[np.arange(256)[:, None] ^ np.arange(256)[None, :]] <= step
@@ -100,33 +131,64 @@ class Items:
                     for j in found:
                         yield int(at), int(j)
 
-    def matches(self, text: str | None, threshold: int):
-        """(item, similarity, first word, words, distance) of each item that a window of
-        the text matches, by its best window."""
-        w = words(text)
-        best: dict[int, tuple] = {}
-        for kk, known in self.known.items():
+    def _hits(self, w: np.ndarray, kk: int) -> tuple[np.ndarray, np.ndarray]:
+        """Shingles of ``kk`` words, and the places of those that an item has."""
+        s, known = chain(w, kk), self.known[kk][0]
+        if kk not in self.hint:
+            self.hint[kk] = np.zeros(1 << _HINT_BITS, bool)
+            self.hint[kk][(known >> np.uint64(64 - _HINT_BITS)).astype(np.int64)] = True
+        at = np.flatnonzero(self.hint[kk][(s >> np.uint64(64 - _HINT_BITS)).astype(np.int64)])
+        return s, at[known[np.minimum(np.searchsorted(known, s[at]), len(known) - 1)] == s[at]]
+
+    def matches(self, texts: list[str | None], threshold: int) -> Iterator[tuple]:
+        """(text, item, similarity, first word, words, distance) of each item that a window
+        of a text matches, by its best window."""
+        w, edge = words(texts)
+        best: dict[tuple[int, int], tuple] = {}
+        for kk in self.known:
             if len(w) < kk:
                 continue
-            s = chain(w, kk)
-            hit = np.flatnonzero(np.isin(s, known))
-            if not len(hit):
-                continue
-            for n in self.by_size:
-                if min(self.k, n) == kk:
-                    self._windows(w, s, hit, n, kk, threshold, best)
-        return [(self.ids[j], *v) for j, v in sorted(best.items())]
-
-    def _windows(self, w, s, hit, n, kk, threshold, best) -> None:
-        """Windows of n words that hold a known shingle."""
-        wide = min(n, len(w)) - kk + 1  # shingles of a window
+            s, hit = self._hits(w, kk)
+            owner = np.searchsorted(edge, hit, "right") - 1
+            whole = hit + kk <= edge[owner + 1]  # not across two texts
+            hit, owner = hit[whole], owner[whole]
+            # One row per place and item that has its shingle; an item counts in a text with
+            # as many such places as its threshold needs.
+            known, item = self.known[kk]
+            first = np.searchsorted(known, s[hit], "left")
+            many = np.searchsorted(known, s[hit], "right") - first
+            which = item[np.repeat(first - np.r_[0, np.cumsum(many)[:-1]], many)
+                         + np.arange(many.sum())] if len(hit) else np.empty(0, np.int64)
+            place, owner = np.repeat(hit, many), np.repeat(owner, many)
+            size = np.diff(edge)[owner]
+            n = np.asarray(self.size)[which]
+            need = -(-threshold * (np.minimum(n, size) - kk + 1) // 100)
+            key = owner * len(self.ids) + which
+            _, back, count = np.unique(key, return_inverse=True, return_counts=True)
+            fine = count[back.ravel()] >= need
+            place, owner, n = place[fine], owner[fine], n[fine]
+            for i, m in sorted(set(zip(owner.tolist(), n.tolist(), strict=True))):
+                own = np.unique(place[(owner == i) & (n == m)]) - edge[i]
+                self._windows(i, int(edge[i + 1] - edge[i]), s[edge[i]:edge[i + 1] - kk + 1],
+                              own, m, kk, threshold, best)
+        for (i, j), found in sorted(best.items()):
+            yield (i, self.ids[j], *found)
+
+    def _windows(self, text, size, s, hit, n, kk, threshold, best) -> None:
+        """Windows of n words that hold a known shingle, in a text of ``size`` words."""
+        wide = min(n, size) - kk + 1  # shingles of a window
         last = len(s) - wide
         # A window that shares fewer of its shingles cannot reach the threshold.
         need = -(-threshold * wide // 100)
-        held = np.zeros(len(s) + 1, np.int64)
-        np.cumsum(np.isin(np.arange(len(s)), hit), out=held[1:])
-        begin = np.arange(last + 1)
-        begin = begin[held[begin + wide] - held[begin] >= need]
+        if len(hit) < need:
+            return
+        # Starts of windows with at least that many: from the place that brings the need-th
+        # known shingle in to the place that loses the first.
+        lo = np.maximum(hit[need - 1:] - wide + 1, 0)
+        hi = np.minimum(hit[:len(hit) - need + 1], last)
+        begin = np.unique(np.concatenate(
+            [np.arange(a, b + 1) for a, b in zip(lo, hi, strict=True) if a <= b]
+            or [np.empty(0, np.int64)]))
         if not len(begin):
             return
         for lo in range(0, len(begin), 4096):
@@ -145,9 +207,9 @@ class Items:
                                   self.counts[j])
                 if sim[0] * 100 >= threshold * sim[1]:
                     value = sim[0] / sim[1]
-                    if j not in best or value > best[j][0]:
+                    if (text, j) not in best or value > best[text, j][0]:
                         far = int(_BITS[prints[at] ^ self.prints[j]].sum())
-                        best[j] = (value, i, min(n, len(w)), far)
+                        best[text, j] = (value, i, min(n, size), far)
 
 
 def _similarity(a, b) -> tuple[int, int]:
@@ -216,13 +278,9 @@ def _rows(shared, k, threshold, radius):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(*shared.value, k, radius)
         for b in batches:
-            at, rows = [], []
-            for i, t in enumerate(b.column("text").to_pylist()):
-                for m in items.matches(t, threshold):
-                    at.append(i)
-                    rows.append(m)
+            rows = list(items.matches(b.column("text").to_pylist(), threshold))
             if rows:
-                item, sim, first, n, far = zip(*rows, strict=True)
+                at, item, sim, first, n, far = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").take(pa.array(at, pa.int64())), pa.array(item),
                      pa.array(sim, pa.float64()), pa.array(first, pa.int64()),
@@ -235,6 +293,7 @@ def _filter(shared, k, threshold, radius):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(*shared.value, k, radius)
         for b in batches:
-            keep = [not items.matches(t, threshold) for t in b.column("text").to_pylist()]
-            yield b.filter(pa.array(keep, pa.bool_()))
+            keep = np.ones(b.num_rows, bool)
+            keep[[m[0] for m in items.matches(b.column("text").to_pylist(), threshold)]] = False
+            yield b.filter(pa.array(keep))
     return run

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from tidewater.llm.common import mix, powers
+from tidewater.llm.common import chunks, mix, powers
 
 WORDS = 5
 _B = 0x100000001B3
@@ -32,12 +32,17 @@ def lower(data: bytes) -> np.ndarray:
 
 
 def word_spans(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    gap = (b == 32) | ((b >= 9) & (b <= 13))
+    return spans((b == 32) | ((b >= 9) & (b <= 13)))
+
+
+def spans(gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of every run without a gap."""
     edge = np.diff(np.r_[True, gap, True].astype(np.int8))
     return np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
 
 
-def _hashes(b: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+def hash_spans(b: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """64-bit hash of every range of a sequence of small numbers."""
     up, down = _pow(len(b) + 1)
     total = np.zeros(len(b) + 1, np.uint64)
     np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[:len(b)], out=total[1:])
@@ -49,11 +54,11 @@ def word_hashes(data: bytes) -> np.ndarray:
     b = lower(data)
     s, e = word_spans(b)
     if len(b) <= _PIECE or not len(s):
-        return _hashes(b, s, e)
+        return hash_spans(b, s, e)
     out, i = [], 0
     while i < len(s):  # by whole words; one word may be longer than a piece
         j = max(int(np.searchsorted(e, s[i] + _PIECE, "right")), i + 1)
-        out.append(_hashes(b[s[i]:e[j - 1]], s[i:j] - s[i], e[i:j] - s[i]))
+        out.append(hash_spans(b[s[i]:e[j - 1]], s[i:j] - s[i], e[i:j] - s[i]))
         i = j
     return np.concatenate(out)
 
@@ -77,3 +82,45 @@ def shingle_list(w: np.ndarray, k: int = WORDS) -> np.ndarray:
 def shingle_set(text: str | None, k: int = WORDS) -> np.ndarray:
     """Sorted distinct shingle hashes of a text."""
     return np.unique(shingle_list(word_hashes((text or "").encode("utf-8", "replace")), k))
+
+
+def shingle_sets(texts: list[str | None], k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes of many texts at once: all hashes, and where each
+    text's begin (one more than texts)."""
+    parts, sizes = [], []
+    for lo, hi in chunks([len(t or "") for t in texts], _PIECE >> 2):
+        if hi - lo == 1:
+            s = shingle_set(texts[lo], k)
+            parts.append(s)
+            sizes.append(np.asarray([len(s)]))
+            continue
+        data = [(t or "").encode("utf-8", "replace") for t in texts[lo:hi]]
+        ends = np.cumsum([len(d) + 1 for d in data])
+        b = lower(b" ".join(data) + b" ")
+        s, e = word_spans(b)
+        w = hash_spans(b, s, e)
+        edge = np.r_[0, np.searchsorted(s, ends)]  # words of each text
+        n = np.diff(edge)
+        owner = np.repeat(np.arange(hi - lo), n)
+        if len(w) >= k:
+            fine = np.flatnonzero(owner[:len(w) - k + 1] == owner[k - 1:])
+            h, own = chain(w, k)[fine], owner[fine]
+        else:
+            h, own = np.empty(0, np.uint64), np.empty(0, np.int64)
+        at = np.r_[0, np.cumsum(np.bincount(own, minlength=hi - lo))]
+        for i in range(hi - lo):
+            h[at[i]:at[i + 1]].sort()
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (own[1:] != own[:-1])
+        h, own = h[new], own[new]
+        short = np.flatnonzero((n > 0) & (n < k))
+        if len(short):
+            few = np.asarray([chain(w[edge[i]:edge[i + 1]], int(n[i]))[0] for i in short],
+                             np.uint64)
+            place = np.searchsorted(own, short)
+            h, own = np.insert(h, place, few), np.insert(own, place, short)
+        parts.append(h)
+        sizes.append(np.bincount(own, minlength=hi - lo))
+    if not parts:
+        return np.empty(0, np.uint64), np.zeros(1, np.int64)
+    return np.concatenate(parts), np.r_[0, np.cumsum(np.concatenate(sizes))]
