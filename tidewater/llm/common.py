@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -64,6 +66,37 @@ def with_group_total(df: DataFrame, key: Sequence[str], spread_by: Sequence[str]
     return d.join(back, [*key, "_gt_part"]).drop("_gt_part")
 
 
+FILTER_BITS = 1 << 26  # bits of the filter of wanted rows
+
+
+def wanted_filter(want: DataFrame, column: str) -> Broadcast:
+    """A filter of fixed size over the hashes in ``column`` (long): says of a row that it may
+    be wanted, or that it is not."""
+    bit = F.pmod(F.col(column), F.lit(FILTER_BITS)) + 1  # the functions count from 1
+    filled = (want.select(column).distinct().groupBy(F.bitmap_bucket_number(bit).alias("b"))
+              .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")))
+    seen = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in filled.toLocalIterator():  # at most FILTER_BITS bits, whatever the corpus
+        part = np.frombuffer(r.bits, np.uint8)
+        at = (r.b - 1) * len(part)
+        seen[at:at + len(part)] |= part[:max(0, len(seen) - at)]
+    return want.sparkSession.sparkContext.broadcast(seen)
+
+
+def maybe_wanted(df: DataFrame, seen: Broadcast, column: str, wanted: bool = True) -> DataFrame:
+    """Rows of ``df`` that may be wanted, or those that certainly are not. Spares an exchange
+    most rows; what follows decides exactly."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = seen.value
+        for b in batches:
+            at = b.column(column).to_numpy(zero_copy_only=False) % FILTER_BITS
+            found = (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+            yield b.filter(pa.array(found == wanted))
+
+    return df.mapInArrow(run, df.schema)
+
+
 # ---- numpy helpers used inside tasks --------------------------------------------------
 
 M1 = np.uint64(0xBF58476D1CE4E5B9)
