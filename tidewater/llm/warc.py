@@ -55,14 +55,20 @@ def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     d = (pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload"))
          .withColumn("payload_bytes", F.octet_length("payload").cast("long"))
          .withColumn("_key", F.sha2(_bytes(F.col("payload")), 256)))
-    d = with_group_total(d, ["_key"], ["page_id", "url"],
-                         {"_first": (F.min("page_id"), F.min("_first"))})
-    again = ((F.col("payload_bytes") >= min_bytes) & F.col("_first").isNotNull()
-             & ~F.col("page_id").eqNullSafe(F.col("_first")))
+    small = with_group_total(
+        d.where(F.col("payload_bytes") >= min_bytes).select("page_id", "_key"), ["_key"],
+        ["page_id"], {"_first": (F.min("page_id"), F.min("_first"))})
+    # Only the revisits are joined back: the planner broadcasts their written table by its
+    # size, and moves the payloads only where they are many.
+    again = materialize(
+        small.where(F.col("_first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first")))
+        .select(F.col("page_id").alias("_id"), F.col("_key").alias("_k"), "_first").distinct(),
+        "revisits")
+    d = d.join(again, (d["_key"] == again["_k"]) & d["page_id"].eqNullSafe(again["_id"]), "left")
     return (d.withColumn("payload_digest", base32_of_hex(F.sha1(_bytes(F.col("payload")))))
-            .withColumn("record_type", F.when(again, "revisit").otherwise("response"))
-            .withColumn("refers_to", F.when(again, F.col("_first")))
-            .drop("_key", "_first"))
+            .withColumn("record_type", F.when(F.col("_first").isNotNull(), "revisit")
+                        .otherwise("response"))
+            .withColumnRenamed("_first", "refers_to").drop("_key", "_k", "_id"))
 
 
 def _uri(url: Column) -> Column:
