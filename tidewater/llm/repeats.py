@@ -33,7 +33,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import SPREAD, eq, mix, part_of, powers, start
+from tidewater.llm.common import (
+    SPREAD,
+    eq,
+    maybe_wanted,
+    mix,
+    part_of,
+    powers,
+    start,
+    wanted_filter,
+)
 from tidewater.session import materialize
 
 GRAM = 64
@@ -138,7 +147,7 @@ def suffix_ranks(text: np.ndarray) -> list[np.ndarray]:
         after = np.zeros(n, np.int64)
         after[:n - step] = rank[step:] + 1
         key = rank * (n + 1) + after
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         new = np.zeros(n, np.int64)
         new[1:] = np.cumsum(key[order[1:]] != key[order[:-1]])
         rank = np.empty(n, np.int64)
@@ -221,6 +230,8 @@ def _fetch(docs: DataFrame, want: DataFrame) -> DataFrame:
     """Bytes of the wanted segments (doc_id, th, anchor, h, g, begin, size)."""
     per_doc = want.groupBy("doc_id", "th").agg(
         F.collect_list(F.struct("anchor", "h", "g", "begin", "size")).alias("segs"))
+    per_doc = materialize(per_doc, "wanted")
+    docs = maybe_wanted(docs, wanted_filter(per_doc, "th"), "th")
     both = per_doc.join(docs, eq(per_doc, docs, ["doc_id", "th"])).select("text", "segs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,10 +308,14 @@ def _counted(parts: DataFrame, length: int) -> DataFrame:
                     (F.col("at") + length).cast("int").alias("hi")))
 
 
-def repeats(docs: DataFrame, length: int = 400, group: int = 512) -> DataFrame:
+def repeats(docs: DataFrame, length: int = 400, group: int = 2048) -> DataFrame:
     """Repeated ranges: doc_id, th, spans (begin and end bytes, not merged), one row per
     document row content that has any. ``docs``: doc_id, text, th (hash of the text)."""
     rows = materialize(_all_segments(docs, length), "segments")
+    # Most anchors occur once; their segments go no further.
+    twice = materialize(rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"))
+                        .where("c > 1").select("anchor"), "anchors")
+    rows = materialize(rows.join(twice, "anchor", "left_semi"), "candidates")
     key = ["anchor", "h", "g"]
     rows = rows.withColumn("part", part_of(["doc_id", "th", "begin"], SPREAD))
     some = rows.groupBy(*key, "part").agg(
@@ -358,13 +373,19 @@ def _cut(data: bytes, spans) -> tuple[bytes, int]:
 def _with_spans(docs: DataFrame, length: int, group: int) -> DataFrame:
     start(docs)
     docs = docs.withColumn("th", F.xxhash64("text"))
-    found = repeats(docs.select("doc_id", "text", "th"), length, group)
-    found = found.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "spans")
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_id"])
-                     & (docs["th"] == found["_th"]), "left").drop("_id", "_th", "th")
-
-
-def report(docs: DataFrame, length: int = 400, group: int = 512) -> DataFrame:
+    found = materialize(
+        repeats(docs.select("doc_id", "text", "th"), length, group)
+        .select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "spans"), "spans")
+    seen = wanted_filter(found, "_th")
+    some = maybe_wanted(docs, seen, "th")
+    some = some.join(found, some["doc_id"].eqNullSafe(found["_id"])
+                     & (some["th"] == found["_th"]), "left").drop("_id", "_th", "th")
+    rest = maybe_wanted(docs, seen, "th", wanted=False).drop("th")
+    none = F.lit(None).cast(found.schema["spans"].dataType)
+    return some.unionByName(rest.withColumn("spans", none))
+
+
+def report(docs: DataFrame, length: int = 400, group: int = 2048) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans (maximal removed runs) and
     kept_sha256 (of the remaining bytes)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -387,7 +408,7 @@ def report(docs: DataFrame, length: int = 400, group: int = 512) -> DataFrame:
         run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def without_repeats(docs: DataFrame, length: int = 400, group: int = 512) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = 400, group: int = 2048) -> DataFrame:
     """``docs``, all columns, with the repeated strings cut out of ``text``. Of a character
     that a removed range splits, no byte stays."""
     names = docs.columns
