@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -134,3 +135,13 @@ def chunks(sizes: Sequence[int], most: int) -> Iterator[tuple[int, int]]:
         total += s
     if begin < len(sizes):
         yield begin, len(sizes)
+
+
+def bounded(batches: Iterator[pa.RecordBatch], column: str = "text",
+            most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in batches of about ``most`` bytes of ``column``, so that what a
+    task derives from a batch stays small."""
+    for b in batches:
+        sizes = pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False)
+        for lo, hi in chunks(sizes.tolist(), most):
+            yield b.slice(lo, hi - lo)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import chunks, mix, start
+from tidewater.llm.common import bounded, chunks, mix, start
 from tidewater.llm.shingles import WORDS, chain, hash_spans, spans
 
 BLOCKS = 8
@@ -277,7 +277,7 @@ def _run(docs, benchmark, k, threshold, radius, block_items, block_bytes, keep)
 def _rows(shared, k, threshold, radius):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(*shared.value, k, radius)
-        for b in batches:
+        for b in bounded(batches):
             rows = list(items.matches(b.column("text").to_pylist(), threshold))
             if rows:
                 at, item, sim, first, n, far = zip(*rows, strict=True)
@@ -292,7 +292,7 @@ def _rows(shared, k, threshold, radius):
 def _filter(shared, k, threshold, radius):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(*shared.value, k, radius)
-        for b in batches:
+        for b in bounded(batches):
             keep = np.ones(b.num_rows, bool)
             keep[[m[0] for m in items.matches(b.column("text").to_pylist(), threshold)]] = False
             yield b.filter(pa.array(keep))

@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import (
     SPREAD,
+    bounded,
     eq,
     maybe_wanted,
     mix,
@@ -139,7 +140,7 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
         total = np.zeros(SLOTS, np.int64)
         names = ["kind", "doc_id", "th", "gid", "n", "sig", "block", "counts"]
         id_type = None
-        for b in batches:
+        for b in bounded(batches):
             id_type = b.schema.field("doc_id").type
             h, at = shingle_sets(b.column("text").to_pylist(), k)
             total += np.bincount(_slot(h), minlength=SLOTS)
@@ -197,7 +198,7 @@ def _postings(docs: DataFrame, levels, k: int, threshold: int) -> DataFrame:
         level = levels.value
         groups: set[int] = set()
         classes: set[int] = set()
-        for b in batches:
+        for b in bounded(batches):
             h, at = shingle_sets(b.column("text").to_pylist(), k)
             lv = level[_slot(h)]
             size = np.diff(at)
@@ -318,7 +319,7 @@ def _verify(pairs: DataFrame, names: DataFrame, docs: DataFrame, k: int) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, of, last = np.empty(0, np.uint64), None, None
-        for x in batches:
+        for x in bounded(batches):
             h, at = shingle_sets(x.column("text").to_pylist(), k)
             out = []
             for i, (b, part, side, gid) in enumerate(zip(

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import (
     SPREAD,
+    bounded,
     eq,
     maybe_wanted,
     mix,
@@ -116,7 +117,7 @@ def _all_segments(docs: DataFrame, length: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in bounded(batches):
             rows, cols = [], []
             for i, t in enumerate(b.column("text").to_pylist()):
                 if t and 4 * len(t) >= length:
@@ -235,7 +236,7 @@ def _fetch(docs: DataFrame, want: DataFrame) -> DataFrame:
     both = per_doc.join(docs, eq(per_doc, docs, ["doc_id", "th"])).select("text", "segs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in bounded(batches):
             texts = b.column("text")
             for i, segs in enumerate(b.column("segs")):
                 data = _data(texts[i].as_py())
@@ -391,7 +392,7 @@ def report(docs: DataFrame, length: int = 400, group: int = 2048) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in bounded(batches):
             out = []
             for t, s in zip(b.column("text").to_pylist(), b.column("spans"), strict=True):
                 data = _data(t)
@@ -414,7 +415,7 @@ def without_repeats(docs: DataFrame, length: int = 400, group: int = 2048) -> Da
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in bounded(batches):
             texts = []
             for t, s in zip(b.column("text").to_pylist(), b.column("spans"), strict=True):
                 own = s.as_py()
