@@ -386,13 +386,6 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 # province = nation (id n_nationkey, name n_name).
 
 def product_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    k = (spark.sparkContext.applicationId, "product_tables", sf_dir)
-    if k not in _MEMO:
-        _MEMO[k] = _product_tables(spark, sf_dir)
-    return _MEMO[k]
-
-
-def _product_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     p = table(spark, sf_dir, "part")
     c3 = F.concat(F.col("p_type"), F.lit("-"), (F.col("p_size") % 5).cast("string"))
     sku = p.select(F.col("p_partkey").cast("string").alias("id"),
