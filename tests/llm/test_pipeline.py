@@ -49,3 +49,22 @@ def test_language_stage_drops_what_it_rejects(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = {r.doc_id: r.lang for r in corpus_pipeline.language_id(spark, df, SF).collect()}
     assert set(got) == {*range(20), 53} and got[53] == "en"
+
+
+def test_passages_of_51_words_are_cut_whatever_their_bytes(spark):
+    def words(tag, n):
+        return " ".join(f"{tag}{i}" for i in range(n))
+
+    planted, short, long = words("p", 51), words("q", 50), "ab" * 250
+    assert len(planted) < 400
+    rows = [(k, f"{words(f'a{k}x', 70)} {planted}{' ' * k}\n{words(f'b{k}x', 40)} {short} "
+                f"{words(f'c{k}x', 9)} z{k} {long}", "en", "s", 1) for k in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, "
+                                     "n_chars long")
+    got = corpus_pipeline.suffix_array_dedup(spark, df, SF).collect()
+    assert len(got) == 3
+    for r in got:
+        k = r.doc_id
+        assert r.text.split() == (f"{words(f'a{k}x', 70)} {words(f'b{k}x', 40)} {short} "
+                                  f"{words(f'c{k}x', 9)} z{k}").split()
+        assert r.n_chars == len(r.text)

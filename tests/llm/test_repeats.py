@@ -80,3 +80,20 @@ def test_run_index_is_compressed():
     text = np.asarray(list(b"abracadabra" * 50) + [0]) + 1
     index = repeats.RunIndex(text)
     assert index.lengths.sum() == len(text) and len(index.symbols) < len(text) / 10
+
+
+@pytest.mark.parametrize("group", [2048, 1])
+def test_runs_of_words_against_brute_force(spark, group):
+    rows = corpus(3)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    n = 12
+    data = [(i, (t or "").split()) for i, t in rows]
+    seen = Counter(tuple(w[k:k + n]) for _, w in data for k in range(len(w) - n + 1))
+    want = []
+    for i, w in data:
+        gone = {k + j for k in range(len(w) - n + 1) if seen[tuple(w[k:k + n])] > 1
+                for j in range(n)}
+        want.append((i, [x for k, x in enumerate(w) if k not in gone]))
+    got = repeats.without_repeats(df, 100_000, group, words=n).collect()
+    assert sorted(((r.doc_id, (r.text or "").split()) for r in got), key=str) \
+        == sorted(want, key=str)

@@ -19,6 +19,9 @@ work is dealt out so that all equal strings of that length meet in one place:
    spreads over all tasks.
 5. The repeated ranges go back to all copies of a segment and are merged per document.
 
+The same is done over words instead of bytes (``words``): a word is a run of bytes without
+ASCII white space, known by a 64-bit hash, so white space between words does not count.
+
 Defined cases: a null text is empty; texts shorter than ``length`` keep all bytes; repeated
 rows are repeats of each other; an empty table gives an empty result; a null doc_id is kept.
 """
@@ -26,7 +29,8 @@ rows are repeats of each other; an empty table gives an empty result; a null doc
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +40,7 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import (
     SPREAD,
     bounded,
+    chunks,
     eq,
     maybe_wanted,
     mix,
@@ -47,6 +52,7 @@ from tidewater.llm.common import (
 from tidewater.session import materialize
 
 GRAM = 64
+WORD_GRAM = 8
 _PIECE = 1 << 20  # windows handled at once
 _INDEX_BYTES = 1 << 18  # text of one index
 _BASES = (0x100000001B3, 0x9E3779B97F4A7C15)
@@ -54,11 +60,12 @@ _POW: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
 
 
 def _pow(n: int):
+    """Powers for ``n`` symbols at least; those of longer texts serve shorter ones, too."""
     size = 1 << max(n, 2).bit_length()
-    if size not in _POW:
+    if max(_POW, default=0) < size:
         _POW.clear()
         _POW[size] = [(powers(b, size), powers(pow(b, -1, 1 << 64), size)) for b in _BASES]
-    return _POW[size]
+    return next(iter(_POW.values()))
 
 
 def _prefix(b: np.ndarray, which: int) -> np.ndarray:
@@ -83,18 +90,66 @@ def _window_min(v: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(right[:n], left[w - 1:w - 1 + n])
 
 
-def segments(data: bytes, length: int) -> list[np.ndarray]:
+def _data(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass")
+
+
+def _word_ranges(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end bytes of the words."""
+    b = np.frombuffer(data, np.uint8)
+    inside = np.concatenate([[False], ~((b == 32) | ((b >= 9) & (b <= 13))), [False]])
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    return edge[::2], edge[1::2]
+
+
+def _word_data(text: str | None) -> bytes:
+    """Hashes of the words, 8 bytes each."""
+    data = _data(text)
+    s, e = _word_ranges(data)
+    out = np.empty(len(s), np.uint64)
+    for lo, hi in chunks(np.diff(np.r_[s, len(data)]).tolist(), _PIECE):
+        if e[lo] - s[lo] > _PIECE:  # alone in its chunk
+            one = hashlib.blake2b(data[s[lo]:e[lo]], digest_size=8).digest()
+            out[lo] = int.from_bytes(one, "little")
+            continue
+        p = _prefix(np.frombuffer(data, np.uint8)[s[lo]:e[hi - 1]], 0)
+        out[lo:hi] = _hash(p, 0, s[lo:hi] - s[lo], e[lo:hi] - s[lo])
+    return out.tobytes()
+
+
+class Unit(NamedTuple):
+    """What strings are made of: the symbols of a text as bytes, the type of a symbol, the
+    symbols of an anchor."""
+
+    data: Callable[[str | None], bytes]
+    kind: type
+    gram: int
+
+    def size(self, data: bytes) -> int:
+        return len(data) // np.dtype(self.kind).itemsize
+
+    def cut(self, data: bytes, begin: int, size: int) -> bytes:
+        w = np.dtype(self.kind).itemsize
+        return data[begin * w:(begin + size) * w]
+
+
+BYTES = Unit(_data, np.uint8, GRAM)
+WORDS = Unit(_word_data, np.uint64, WORD_GRAM)
+
+
+def segments(data: bytes, length: int, unit: Unit = BYTES) -> list[np.ndarray]:
     """Anchor hash, two hashes, begin and windows of every segment of a text."""
     out = []
-    total = len(data) - length + 1
+    gram = min(unit.gram, length)
+    total = unit.size(data) - length + 1
     for lo in range(0, total, _PIECE):
-        b = np.frombuffer(data, np.uint8)[lo:lo + min(_PIECE, total - lo) + length - 1]
+        b = np.frombuffer(data, unit.kind)[lo:lo + min(_PIECE, total - lo) + length - 1]
         one, two = _prefix(b, 0), _prefix(b, 1)
-        at = np.arange(len(b) - GRAM + 1)
-        h = _hash(one, 0, at, at + GRAM)
+        at = np.arange(len(b) - gram + 1)
+        h = _hash(one, 0, at, at + gram)
         # Ties within a window go to its leftmost substring, which its text decides.
         rank = (h >> np.uint64(21) << np.uint64(21)) | at.astype(np.uint64)
-        least = _window_min(rank, length - GRAM + 1)
+        least = _window_min(rank, length - gram + 1)
         place = (least & np.uint64((1 << 21) - 1)).astype(np.int64)
         s = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
         n = np.diff(np.r_[s, len(place)])
@@ -109,11 +164,7 @@ def _i64(a: np.ndarray) -> pa.Array:
     return pa.array(a.view(np.int64))
 
 
-def _data(text: str | None) -> bytes:
-    return (text or "").encode("utf-8", "surrogatepass")
-
-
-def _all_segments(docs: DataFrame, length: int) -> DataFrame:
+def _all_segments(docs: DataFrame, length: int, unit: Unit) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +172,7 @@ def _all_segments(docs: DataFrame, length: int) -> DataFrame:
             rows, cols = [], []
             for i, t in enumerate(b.column("text").to_pylist()):
                 if t and 4 * len(t) >= length:
-                    c = segments(_data(t), length)
+                    c = segments(unit.data(t), length, unit)
                     rows.append(np.full(len(c[0]), i))
                     cols.append(c)
             if not cols:
@@ -205,14 +256,16 @@ class RunIndex:
         return out
 
 
-def repeated_starts(parts: list[bytes], length: int) -> list[np.ndarray]:
-    """For each text, where strings of ``length`` bytes start that also start elsewhere in
+def repeated_starts(parts: list[bytes], length: int, unit: Unit = BYTES) -> list[np.ndarray]:
+    """For each text, where strings of ``length`` symbols start that also start elsewhere in
     the texts."""
-    sizes = np.asarray([len(p) for p in parts])
+    sizes = np.asarray([unit.size(p) for p in parts])
     ends = np.cumsum(sizes + 1)
     text = np.zeros(int(ends[-1]), np.int64)
-    text[:] = np.frombuffer(b"\x00".join(parts) + b"\x00", np.uint8)
-    text += len(parts)
+    inner = np.ones(len(text), bool)
+    inner[ends - 1] = False
+    symbols = np.frombuffer(b"".join(parts), unit.kind)
+    text[inner] = np.unique(symbols, return_inverse=True)[1] + len(parts)
     text[ends - 1] = np.arange(len(parts))  # a different end for each text
     found = RunIndex(text).matching() >= length
     return [np.flatnonzero(found[e - 1 - s:e - 1]) for s, e in zip(sizes, ends, strict=True)]
@@ -227,8 +280,8 @@ def _spans(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return starts[new], starts[last] + length
 
 
-def _fetch(docs: DataFrame, want: DataFrame) -> DataFrame:
-    """Bytes of the wanted segments (doc_id, th, anchor, h, g, begin, size)."""
+def _fetch(docs: DataFrame, want: DataFrame, unit: Unit) -> DataFrame:
+    """Symbols of the wanted segments (doc_id, th, anchor, h, g, begin, size)."""
     per_doc = want.groupBy("doc_id", "th").agg(
         F.collect_list(F.struct("anchor", "h", "g", "begin", "size")).alias("segs"))
     per_doc = materialize(per_doc, "wanted")
@@ -239,11 +292,11 @@ def _fetch(docs: DataFrame, want: DataFrame) -> DataFrame:
         for b in bounded(batches):
             texts = b.column("text")
             for i, segs in enumerate(b.column("segs")):
-                data = _data(texts[i].as_py())
+                data = unit.data(texts[i].as_py())
                 s = segs.as_py()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x[c] for x in s], pa.int64()) for c in ("anchor", "h", "g")]
-                    + [pa.array([data[x["begin"]:x["begin"] + x["size"]] for x in s],
+                    + [pa.array([unit.cut(data, x["begin"], x["size"]) for x in s],
                                 pa.binary())], ["anchor", "h", "g", "data"])
 
     return both.mapInArrow(run, "anchor long, h long, g long, data binary")
@@ -252,12 +305,12 @@ def _fetch(docs: DataFrame, want: DataFrame) -> DataFrame:
 _FOUND = "anchor long, h long, g long, lo int, hi int"
 
 
-def _indexed(parts: DataFrame, length: int) -> DataFrame:
+def _indexed(parts: DataFrame, length: int, unit: Unit) -> DataFrame:
     """Repeated ranges within the segments of small anchors."""
 
     def work(keys: list, data: list[bytes]):
         rows = []
-        for key, at in zip(keys, repeated_starts(data, length), strict=True):
+        for key, at in zip(keys, repeated_starts(data, length, unit), strict=True):
             if len(at):
                 rows += [(*key, int(lo), int(hi))
                          for lo, hi in zip(*_spans(at, length), strict=True)]
@@ -284,13 +337,13 @@ def _indexed(parts: DataFrame, length: int) -> DataFrame:
             .select("anchor", "h", "g", "data").mapInArrow(run, _FOUND))
 
 
-def _counted(parts: DataFrame, length: int) -> DataFrame:
+def _counted(parts: DataFrame, length: int, unit: Unit) -> DataFrame:
     """Repeated ranges within the segments of large anchors, by hashes of all windows."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for a, h, g, d in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                x = np.frombuffer(d, np.uint8)
+                x = np.frombuffer(d, unit.kind)
                 at = np.arange(len(x) - length + 1)
                 m = len(at)
                 yield pa.RecordBatch.from_arrays(
@@ -309,10 +362,11 @@ def _counted(parts: DataFrame, length: int) -> DataFrame:
                     (F.col("at") + length).cast("int").alias("hi")))
 
 
-def repeats(docs: DataFrame, length: int = 400, group: int = 2048) -> DataFrame:
-    """Repeated ranges: doc_id, th, spans (begin and end bytes, not merged), one row per
+def repeats(docs: DataFrame, length: int = 400, group: int = 2048,
+            unit: Unit = BYTES) -> DataFrame:
+    """Repeated ranges: doc_id, th, spans (begin and end, in symbols, not merged), one row per
     document row content that has any. ``docs``: doc_id, text, th (hash of the text)."""
-    rows = materialize(_all_segments(docs, length), "segments")
+    rows = materialize(_all_segments(docs, length, unit), "segments")
     # Most anchors occur once; their segments go no further.
     twice = materialize(rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"))
                         .where("c > 1").select("anchor"), "anchors")
@@ -336,11 +390,11 @@ def repeats(docs: DataFrame, length: int = 400, group: int = 2048) -> DataFrame:
     whole = each.where("c > 1").select(
         *key, F.lit(0).alias("lo"), (F.col("n") + length - 1).cast("int").alias("hi"))
     parts = materialize(_fetch(docs, each.where("kinds > 1").select(
-        *key, "one.*", size)), "parts")
+        *key, "one.*", size), unit), "parts")
     large = each.where(F.col("kinds") > group).select("anchor").distinct()
-    found = _indexed(parts.join(large, "anchor", "left_anti"), length)
+    found = _indexed(parts.join(large, "anchor", "left_anti"), length, unit)
     if not large.isEmpty():
-        found = found.unionByName(_counted(parts.join(large, "anchor", "left_semi"), length))
+        found = found.unionByName(_counted(parts.join(large, "anchor", "left_semi"), length, unit))
     # A segment that occurs again repeats as a whole; others as found.
     found = found.join(whole.select(*key), key, "left_anti").unionByName(whole)
     found = materialize(found.groupBy(*key).agg(
@@ -371,19 +425,41 @@ def _cut(data: bytes, spans) -> tuple[bytes, int]:
     return b"".join(data[edge[i]:edge[i + 1]] for i in range(0, len(edge), 2)), len(lo)
 
 
-def _with_spans(docs: DataFrame, length: int, group: int) -> DataFrame:
+def _byte_spans(data: bytes, spans, words) -> list[dict]:
+    """Spans in bytes, with those in words: from the first word to the word after the last."""
+    out = list(spans or ())
+    if words:
+        s, e = _word_ranges(data)
+        after = np.r_[s, e[-1]]
+        out += [{"lo": int(s[x["lo"]]), "hi": int(after[x["hi"]])} for x in words]
+    return out
+
+
+def _with_spans(docs: DataFrame, length: int, group: int,
+                words: int | None = None) -> DataFrame:
     start(docs)
     docs = docs.withColumn("th", F.xxhash64("text"))
-    found = materialize(
-        repeats(docs.select("doc_id", "text", "th"), length, group)
-        .select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "spans"), "spans")
+    own = docs.select("doc_id", "text", "th")
+    found = repeats(own, length, group).select(
+        F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "spans")
+    if words:
+        none = F.array().cast(found.schema["spans"].dataType)
+        found = found.withColumn("word_spans", none).unionByName(
+            repeats(own, words, group, WORDS).select(
+                F.col("doc_id").alias("_id"), F.col("th").alias("_th"), none.alias("spans"),
+                F.col("spans").alias("word_spans")))
+        found = found.groupBy("_id", "_th").agg(  # at most two rows each
+            *[F.flatten(F.collect_list(c)).alias(c) for c in ("spans", "word_spans")])
+    found = materialize(found, "spans")
     seen = wanted_filter(found, "_th")
     some = maybe_wanted(docs, seen, "th")
     some = some.join(found, some["doc_id"].eqNullSafe(found["_id"])
                      & (some["th"] == found["_th"]), "left").drop("_id", "_th", "th")
     rest = maybe_wanted(docs, seen, "th", wanted=False).drop("th")
     none = F.lit(None).cast(found.schema["spans"].dataType)
-    return some.unionByName(rest.withColumn("spans", none))
+    for c in found.columns[2:]:
+        rest = rest.withColumn(c, none)
+    return some.unionByName(rest)
 
 
 def report(docs: DataFrame, length: int = 400, group: int = 2048) -> DataFrame:
@@ -409,19 +485,27 @@ def report(docs: DataFrame, length: int = 400, group: int = 2048) -> DataFrame:
         run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def without_repeats(docs: DataFrame, length: int = 400, group: int = 2048) -> DataFrame:
-    """``docs``, all columns, with the repeated strings cut out of ``text``. Of a character
-    that a removed range splits, no byte stays."""
+def without_repeats(docs: DataFrame, length: int = 400, group: int = 2048,
+                    words: int | None = None) -> DataFrame:
+    """``docs``, all columns, with the repeated strings cut out of ``text``: those of
+    ``length`` bytes and, if given, those of ``words`` words, both as they occur in the
+    given texts. Of a character that a removed range splits, no byte stays."""
     names = docs.columns
+    added = ["spans", "word_spans"] if words else ["spans"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in bounded(batches):
             texts = []
-            for t, s in zip(b.column("text").to_pylist(), b.column("spans"), strict=True):
-                own = s.as_py()
-                texts.append(_cut(_data(t), own)[0].decode("utf-8", "ignore") if own else t)
+            for t, *s in zip(b.column("text").to_pylist(), *(b.column(c) for c in added),
+                             strict=True):
+                s = [x.as_py() for x in s]
+                if any(s):
+                    data = _data(t)
+                    spans = _byte_spans(data, s[0], s[1] if words else None)
+                    t = _cut(data, spans)[0].decode("utf-8", "ignore")
+                texts.append(t)
             cols = [pa.array(texts, pa.string()) if c == "text" else b.column(c) for c in names]
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    return _with_spans(docs, length, group).select(*names, "spans").mapInArrow(
+    return _with_spans(docs, length, group, words).select(*names, *added).mapInArrow(
         run, docs.schema)
