@@ -41,3 +41,29 @@ def test_known_texts_name_one_licence_each():
     seen = {}
     for i, t in licenses.known():
         assert seen.setdefault(" ".join(t.lower().split()), i) == i
+
+
+def test_headings_and_whole_long_licences(spark):
+    mit = licenses.TEXTS["MIT"]
+    rows = [(f"{k}", f"{h}\n\nCopyright (c) 2020 A. B.\n\n{licenses.TEXTS[k]}", k) for h, k in
+            [("The MIT License (MIT)", "MIT"), ("The MIT License", "MIT"),
+             ("The 3-Clause BSD License", "BSD-3-Clause"), ("ISC License (ISC)", "ISC"),
+             ("Boost Software License - Version 1.0 - August 17th, 2003", "BSL-1.0"),
+             ("The Unlicense", "Unlicense")]]
+    for f in licenses.LONG.glob("*.txt"):
+        text = f.read_text()
+        rows += [(f.stem, text, f.stem), (f.stem, text.upper(), f.stem),
+                 (f.stem, text.replace("http://", "https://"), f.stem),
+                 (f.stem, text[:len(text) // 2], None)]
+    ids = {f.stem for f in licenses.LONG.glob("*.txt")} | set(licenses.TEXTS)
+    assert {"Apache-2.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0",
+            "BSL-1.0", "Unlicense"} < ids
+    apache = (licenses.LONG / "Apache-2.0.txt").read_text()
+    rows += [("a", apache[:apache.index("APPENDIX")], "Apache-2.0"),
+             ("b", apache.replace("[yyyy] [name of copyright owner]", "2020 A. B."), "Apache-2.0"),
+             ("c", f"The MIT License (MIT)\n{mit} But not on Mondays.", None)]
+    df = spark.createDataFrame([(i, *r[1:]) for i, r in enumerate(rows)],
+                               "doc_id long, text string, want string")
+    got = {r.doc_id: r.license_id for r in licenses.scan(df).collect()}
+    for i, r in enumerate(rows):
+        assert got[i] == r[2], (i, r[0])

@@ -13,6 +13,9 @@ document of copyright lines alone has no words left.
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,6 +114,12 @@ _BSD = ("Redistribution and use in source and binary forms, with or without modi
         "ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH "
         "DAMAGE.")
 
+_WARRANTY = ('THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR '
+             "IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS "
+             "FOR A PARTICULAR PURPOSE{} IN NO EVENT SHALL {} BE LIABLE FOR ANY {}DAMAGES OR "
+             "OTHER LIABILITY, WHETHER IN {}CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF "
+             "OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+
 # Texts of short licences.
 TEXTS = {
     "0BSD": ("Permission to use, copy, modify, and/or distribute this software for any "
@@ -148,19 +157,77 @@ TEXTS = {
              "as being the original software. 3. This notice may not be removed or altered "
              "from any source distribution."),
 }
-# Titles that may stand above a licence's text.
-TITLES = {"0BSD": "BSD Zero Clause License", "BSD-2-Clause": "BSD 2-Clause License",
-          "BSD-3-Clause": "BSD 3-Clause License", "ISC": "ISC License", "MIT": "MIT License",
-          "Zlib": "zlib License"}
+TEXTS["BSL-1.0"] = (
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a "
+    "copy of the software and accompanying documentation covered by this license (the "
+    '"Software") to use, reproduce, display, distribute, execute, and transmit the Software, '
+    "and to prepare derivative works of the Software, and to permit third-parties to whom the "
+    "Software is furnished to do so, all subject to the following: The copyright notices in "
+    "the Software and this entire statement, including the above license grant, this "
+    "restriction and the following disclaimer, must be included in all copies of the Software, "
+    "in whole or in part, and all derivative works of the Software, unless such copies or "
+    "derivative works are solely in the form of machine-executable object code generated by a "
+    "source language processor. " + _WARRANTY.format(
+        ", TITLE AND NON-INFRINGEMENT.",
+        "THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE", "", ""))
+_PUBLIC = (
+    "This is free and unencumbered software released into the public domain. Anyone is free to "
+    "copy, modify, publish, use, compile, sell, or distribute this software, either in source "
+    "code form or as a compiled binary, for any purpose, commercial or non-commercial, and by "
+    "any means. In jurisdictions that recognize copyright laws, the author or authors of this "
+    "software dedicate any and all copyright interest in the software to the public domain. We "
+    "make this dedication for the benefit of the public at large and to the detriment of our "
+    "heirs and successors. We intend this dedication to be an overt act of relinquishment in "
+    "perpetuity of all present and future rights to this software under copyright law. "
+    + _WARRANTY.format(" AND NONINFRINGEMENT.", "THE AUTHORS", "CLAIM, ", "AN ACTION OF "))
+TEXTS["Unlicense"] = _PUBLIC + " For more information, please refer to <https://unlicense.org>"
+
+# Titles that may stand above a licence's text, beside its NAMES.
+TITLES = {"BSD-2-Clause": ["2-Clause BSD License"],
+          "BSD-3-Clause": ["3-Clause BSD License"],
+          "BSL-1.0": ["Boost Software License - Version 1.0 - August 17th, 2003",
+                      "Boost Software License 1.0"]}
+
+# Texts of long licences, as published, a file each.
+LONG = Path(__file__).parent / "license_texts"
+# Where the terms end; what follows says how to apply them.
+_ENDS = ["END OF TERMS AND CONDITIONS", "How to Apply These Terms to Your New", "Exhibit A -"]
+_STREETS = ["51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA",
+            "51 Franklin St, Fifth Floor, Boston, MA  02110-1301  USA",
+            "59 Temple Place, Suite 330, Boston, MA  02111-1307  USA"]
+
+
+def _versions(text: str) -> list[str]:
+    """A long licence as it is found: whole or up to the end of its terms, broken into lines or
+    not (of which those that begin with "copyright" do not count), with either spelling of its
+    links and any address of its publisher."""
+    cut = [text] + [text[:text.index(e) + k] for e in _ENDS if e in text
+                    for k in (0, len(_ENDS[0]) * (e == _ENDS[0]))]
+    street = re.compile(r"51 Franklin St(?:reet)?,\s+Fifth\s+Floor,\s+Boston,\s+MA\s+02110-1301,?"
+                        r"\s+USA")
+    cut += [street.sub(x, t) for t in cut for x in _STREETS if street.search(t)]
+    cut += [re.sub("https?://", f"{x}://", t) for t in cut for x in ("http", "https")]
+    flat = [re.sub(r"(?<=\S)[ \t]*\n[ \t]*(?=\S)(?!Copyright \(|Everyone is|\d+ \w+ (?:Street|Place))",
+                   " ", t) for t in cut]
+    return list(dict.fromkeys(cut + flat))
+
+
+def _headings(licence: str) -> list[str]:
+    names = dict.fromkeys(NAMES[licence] + TITLES.get(licence, []))
+    return [the + n + short for n in names for the in ("", "The ")
+            for short in ("", f" ({licence})")]
 
 
 def known() -> list[tuple[str, str]]:
     """(licence id, text) of every known text: notices by rule, and whole licences with and
-    without a title."""
+    without a heading."""
     rows = [(i, n.format(the + name)) for i, names in NAMES.items() for name in names
             for n in NOTICES for the in ("", "the ")]
-    rows += list(TEXTS.items())
-    return rows + [(i, f"{TITLES[i]}\n{t}") for i, t in TEXTS.items()]
+    short = [*TEXTS.items(), ("Unlicense", TEXTS["Unlicense"].replace("https", "http")),
+             ("Unlicense", _PUBLIC)]
+    rows += short + [(i, f"{h}\n{t}") for i, t in short for h in _headings(i)]
+    return rows + [(f.stem, t) for f in sorted(LONG.glob("*.txt"))
+                   for t in _versions(f.read_text())]
 
 
 def canonical_lines(text: Column) -> Column:
