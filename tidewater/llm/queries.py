@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import (
+    alignment,
     decontaminate,
     extraction,
     jaccard_join,
@@ -18,6 +19,8 @@ from tidewater.llm import (
     packing,
     repeats,
     sharding,
+    simhash_join,
+    spelling,
     topk_search,
     warc,
 )
@@ -155,3 +158,72 @@ ORACLE["op4_license_digests"] = licenses.oracle()
 @_query
 def op8_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(_table(spark, sf_dir, "pages"))
+
+
+@_query
+def op11_simhash_popcount_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_join.classes(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op12_diagonal_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = alignment.align_and_score(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"))
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                      "groups_sha256")
+
+
+@_query
+def op13_qchunk_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(_table(spark, sf_dir, "documents"))
+
+
+# DuckDB's levenshtein compares bytes, so the letters beyond ASCII get single bytes first.
+_BEYOND = "".join(map(chr, range(0xC0, 0x100)))
+_SINGLE = "".join(c for c in map(chr, range(32, 127)) if not c.islower() and c != "'")[:64]
+
+ORACLE["op13_qchunk_spelling_variants"] = rf"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1
+    THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS w
+  FROM documents),
+found AS (
+  SELECT w, count(*) AS c, flatten([CASE WHEN unicode(x) < 128 THEN [unicode(x)]
+      ELSE [192 | (unicode(x) >> 6), 128 | (unicode(x) & 63)] END
+    FOR x IN string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w, '')]) AS bytes
+  FROM runs WHERE length(w) >= 7 GROUP BY doc_id, w),
+hashed AS (
+  SELECT w, c, xor(4294967295, list_reduce([CAST(b AS BIGINT) FOR b IN bytes], lambda s, b:
+    xor(s >> 8, t[(xor(s, b) & 255) + 1]), 4294967295)) AS h FROM found, crc_table),
+v AS (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n FROM (
+    SELECT c, CASE WHEN h % 31 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2)
+      ELSE w END AS word FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+cut AS (
+  SELECT DISTINCT word, n, unnest(list_append(
+    [substr(word, 1, i) || substr(word, i + 2) FOR i IN range(length(word))], word)) AS rest FROM v),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.rest = b.rest
+  WHERE levenshtein(translate(a.word, '{_BEYOND}', '{_SINGLE}'),
+                    translate(b.word, '{_BEYOND}', '{_SINGLE}')) = 1),
+best AS (
+  SELECT word, count(*) AS n_near, max(n) AS form_n,
+    list(other ORDER BY n DESC, other)[1] AS form FROM near GROUP BY word),
+f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN form_n >= 10 * v.n THEN form END AS form,
+    CASE WHEN form_n >= 10 * v.n THEN form_n END AS form_n
+  FROM v LEFT JOIN best ON best.word = v.word),
+steps(word, root, k) AS (
+  SELECT word, word, 0 FROM f
+  UNION ALL SELECT s.word, f.form, k + 1 FROM steps s JOIN f ON f.word = s.root
+  WHERE f.form IS NOT NULL)
+SELECT f.word, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form, f.form_n, r.root
+FROM f JOIN (SELECT word, arg_max(root, k) AS root FROM steps GROUP BY word) r ON r.word = f.word
+"""
