@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -99,29 +100,33 @@ def test_long_texts_in_blocks(spark, monkeypatch):
     assert len(alignment.blocks(text, 50)) > 100
     al = alignment._Aligner(A, B)
     cut = alignment.blocks(text, 50)
-    parts = [al.block(t, b) for t, b in zip(cut, al.b.ids(cut), strict=True)]
-    whole = al.block(text, al.b.ids([text])[0])
-    assert [sum((p[k] for p in parts), []) for k in (0, 1)] == list(whole)
+    parts = [al.tokens(t, b) for t, b in zip(cut, al.b.ids(cut), strict=True)]
+    assert [np.concatenate([p[k] for p in parts]).tolist() for k in (0, 1)] == [
+        al.a.exact.encode(f" {text}", add_special_tokens=False).ids, al.b.ids([text])[0]]
 
 
 def test_runs_against_sets():
     rng = random.Random(3)
-    for _ in range(300):
-        n = rng.randrange(1, 200)
+    for _ in range(500):
+        n = rng.randrange(1, 400)
         p = rng.choice([0.05, 0.5, 0.95])
         ea = [k for k in range(1, n) if rng.random() < p] + [n]
         eb = [k for k in range(1, n) if rng.random() < p or (p > 0.9 and k in ea)] + [n]
         ends = []
-        for i, i2, j, j2 in alignment.diagonal_runs(ea, eb):
-            if ea[i] == eb[j]:
-                assert ea[i:i2] == eb[j:j2]
-                ends += ea[i:i2]
-            else:
-                assert not set(ea[i:i2 - 1]) & set(eb[j:j2 - 1]) and ea[i2 - 1] == eb[j2 - 1]
-                ends.append(ea[i2 - 1])
+        for i, m, d in alignment.diagonal_runs(np.asarray(ea, np.int32), np.asarray(eb, np.int32)):
+            assert ea[i:i + m] == eb[i + d:i + d + m] and len(ea[i:i + m]) == m
+            ends += ea[i:i + m]
         assert ends == sorted(set(ea) & set(eb))
 
 
+def test_long_stretches_take_few_comparisons():
+    same = np.arange(1, 100_001, dtype=np.int32)
+    assert alignment.diagonal_runs(same, same) == [(0, 100_000, 0)]
+    missing = np.delete(same, 70_000)
+    assert alignment.diagonal_runs(same, missing) == [
+        (0, 70_000, 0), (70_001, 1, -1), (70_002, 29_998, -1)]
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert got(df) == []

@@ -3,7 +3,7 @@
 Both tokenizers encode a space and the text; the byte offsets where tokens of both end cut the
 tokens into groups. Per text the two sorted arrays of end offsets are walked together: at a
 common end with index shift d = j - i, ends i.. of A are compared with ends i + d.. of B in
-blocks of 1, 2, 4 ... entries while they agree and in falling powers of two after that, which
+blocks of 16, 32, 64 ... entries while they agree, which
 jumps a whole one-to-one stretch in few comparisons. Where the ends disagree, the group is
 resolved locally: the side that is behind advances until both end together, which gives the
 next shift. The last tokens of a group end together and form a link (A id, B id).
@@ -30,7 +30,6 @@ import os
 import re
 import unicodedata
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +45,9 @@ BLOCK = 1 << 16  # characters encoded at once
 LONG_GAP = 1000  # characters of white space in a row that the fast encoder is not given
 _CUT = re.compile(r"[A-Za-z,.](?= [A-Za-z])")
 _GAP = re.compile(r"\s{%d}" % LONG_GAP)
+_PLAIN = re.compile(r"[\t\n\r -~\u00c0-\u00ff]*")
+_SPACE = "▁".encode()
+_PROBE = 64  # bytes of end offsets compared first
 _PLACES: dict = {}
 
 
@@ -98,7 +100,7 @@ class ByteLevel:
         return self.stable[c]
 
     def ids(self, text: str) -> list[int]:
-        plain = text.isascii() and text.isprintable() or all(map(self._known, set(text)))
+        plain = _PLAIN.fullmatch(text) or all(map(self._known, set(text)))
         if plain and not _GAP.search(text):
             return self.fast.encode_ordinary(text)
         return self.exact.encode(text, add_special_tokens=False).ids
@@ -110,16 +112,31 @@ class Pieces:
     def __init__(self, path: str):
         import sentencepiece
 
+        from sentencepiece import sentencepiece_model_pb2
+
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.pieces = []
+        self.pieces, known = [], 0
         for i in range(self.model.get_piece_size()):
             p = self.model.id_to_piece(i)
+            known += self.model.is_byte(i)
             self.pieces.append(bytes([int(p[3:-1], 16)]) if self.model.is_byte(i)
                                else p.replace("▁", " ").encode())
+        rule = sentencepiece_model_pb2.ModelProto.FromString(
+            self.model.serialized_model_proto()).normalizer_spec
+        self.literal = (known == 256 and rule.name == "identity" and rule.add_dummy_prefix
+                        and not rule.remove_extra_whitespaces)
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
 
+    def spells(self, ids: list[int], text: bytes) -> bool:
+        """Whether the pieces, joined, are ``text``, given that their lengths add up to its
+        length. A model that leaves texts as they are and knows all bytes only changes the
+        character which stands for a space in pieces."""
+        if self.literal:
+            return _SPACE not in text
+        return b"".join(map(self.pieces.__getitem__, ids)) == text
+
 
 def _both(a: str, b: str) -> tuple[ByteLevel, Pieces]:
     if (a, b) not in _PLACES:
@@ -141,37 +158,45 @@ def blocks(text: str, most: int = BLOCK) -> list[str]:
     return out
 
 
-def diagonal_runs(ea: list[int], eb: list[int]) -> Iterator[tuple[int, int, int, int]]:
-    """Walks two rising arrays with equal last entries. Gives (i, i2, j, j2): entries i to i2
-    of the first and j to j2 of the second, either a one-to-one stretch (i2 - i == j2 - j, all
-    ends equal) or one irregular group, of which only the last ends are equal."""
-    n, i, shift = len(ea), 0, 0
-    while i < n:
-        if ea[i] == eb[i + shift]:
-            k, step = i + 1, 1
-            while k < n and ea[k:k + step] == eb[k + shift:k + shift + step]:
-                k += step
-                step *= 2
-            while step > 1:
-                step //= 2
-                if k < n and ea[k:k + step] == eb[k + shift:k + shift + step]:
-                    k += step
-            k = min(k, n)
-            yield i, k, i + shift, k + shift
-        else:
-            k, j = i, i + shift
-            x, y = ea[k], eb[j]
-            while x != y:
-                if x < y:
-                    k += 1
-                    x = ea[k]
-                else:
-                    j += 1
-                    y = eb[j]
-            k, j = k + 1, j + 1
-            yield i, k, i + shift, j
-            shift = j - k
-        i = k
+def diagonal_runs(ea: np.ndarray, eb: np.ndarray) -> list[tuple[int, int, int]]:
+    """Walks two rising arrays (int32, equal last entries). Gives (i, n, shift): entries i to
+    i + n - 1 of the first are equal to those ``shift`` places further on in the second. With
+    n > 1 it is a one-to-one stretch; what lies between two results belongs to the group that
+    the second of them ends. Stretches are compared as bytes in growing blocks, and the lowest
+    differing bit tells where one ends."""
+    xs, ys = ea.tolist(), eb.tolist()
+    xb, yb = ea.tobytes(), eb.tobytes()
+    end, i, shift, out = len(xs), 0, 0, []
+    whole = int.from_bytes
+    while i < end:
+        k, d, step = 4 * i, 4 * shift, _PROBE
+        while k < 4 * end:
+            x, y = xb[k:k + step], yb[k + d:k + d + step]
+            if x != y:
+                differ = whole(x, "little") ^ whole(y, "little")
+                k += ((differ & -differ).bit_length() - 1) // 32 * 4
+                break
+            k += step
+            step *= 2
+        k = min(k // 4, end)
+        if k > i:
+            out.append((i, k - i, shift))
+            i = k
+            if k == end:
+                break
+        j = i + shift
+        x, y = xs[i], ys[j]
+        while x != y:
+            if x < y:
+                i += 1
+                x = xs[i]
+            else:
+                j += 1
+                y = ys[j]
+        shift = j - i
+        out.append((i, 1, shift))
+        i += 1
+    return out
 
 
 class _Aligner:
@@ -179,42 +204,45 @@ class _Aligner:
 
     def __init__(self, a: str, b: str):
         self.a, self.b = _both(a, b)
-        self.len_a = [len(p) for p in self.a.pieces]
-        self.len_b = [len(p) for p in self.b.pieces]
-        self.say_a = [str(i) for i in range(len(self.len_a))]
-        self.say_b = [f"|{i}" for i in range(len(self.len_b))]
+        self.len_a = np.asarray([len(p) for p in self.a.pieces], np.int32)
+        self.len_b = np.asarray([len(p) for p in self.b.pieces], np.int32)
         self.base = len(self.len_b)
+        ids = [range(len(self.len_a)), range(self.base)]
+        # Texts of A's ids inside a group and at its end, then of B's, padded with zero bytes.
+        self.says = np.asarray([f"{i}{mark}".encode()
+                                for n, marks in zip(ids, (",|", ",;"), strict=True)
+                                for mark in marks for i in n])
         small = len(self.len_a) * self.base <= 1 << 32
         self.kind = np.dtype("<u4" if small else "<u8")
 
-    def block(self, text: str, b: list[int]):
-        """Tokens of one block: (A ids, B ids), or None if they do not spell it."""
-        spelled = f" {text}"
-        a = self.a.ids(spelled)
+    def tokens(self, block: str, b: list[int]) -> tuple[np.ndarray, ...] | None:
+        """Ids of A and B and the offsets where they end, or None if they do not spell the
+        block. Tokens of A are slices of it, so their length tells."""
+        spelled = f" {block}"
         want = spelled.encode("utf-8")
-        if (b"".join(map(self.b.pieces.__getitem__, b)) != want
-                or b"".join(map(self.a.pieces.__getitem__, a)) != want):
+        if not self.b.spells(b, want):
             return None
-        return a, b
-
-    def groups(self, a: list[int], b: list[int]) -> tuple[str, list[int], list[int]]:
-        """Text of the groups, and the ids of A and of B that each group ends with."""
-        ea = list(accumulate(map(self.len_a.__getitem__, a)))
-        eb = list(accumulate(map(self.len_b.__getitem__, b)))
-        sa = list(map(self.say_a.__getitem__, a))
-        sb = list(map(self.say_b.__getitem__, b))
-        said, la, lb = [], [], []
-        for i, i2, j, j2 in diagonal_runs(ea, eb):
-            if ea[i] == eb[j]:
-                said += [x + y for x, y in zip(sa[i:i2], sb[j:j2], strict=True)]
-                la += a[i:i2]
-                lb += b[j:j2]
-            else:
-                said.append(",".join(sa[i:i2]) + "".join(sb[j:j2]).replace("|", ",")
-                            .replace(",", "|", 1))
-                la.append(a[i2 - 1])
-                lb.append(b[j2 - 1])
-        return ";".join(said), la, lb
+        a, b = np.asarray(self.a.ids(spelled), np.int32), np.asarray(b, np.int32)
+        ea, eb = np.cumsum(self.len_a[a], dtype=np.int32), np.cumsum(self.len_b[b], dtype=np.int32)
+        return (a, b, ea, eb) if ea[-1] == len(want) == eb[-1] else None
+
+    def groups(self, a, b, ea, eb) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """Text of the groups, and the places of A's and B's tokens that end them."""
+        first, n, shift = np.asarray(diagonal_runs(ea, eb)).T
+        at = np.cumsum(n)
+        last_a = np.repeat(first - (at - n), n) + np.arange(at[-1])
+        last_b = last_a + np.repeat(shift, n)
+        in_a = np.diff(last_a, prepend=-1)  # tokens of each group
+        in_b = np.diff(last_b, prepend=-1)
+        # In the text, a token of A stands behind B's tokens of all groups before, one of B
+        # behind A's tokens of its own group as well.
+        say = np.empty(len(a) + len(b), np.int32)
+        say_a, say_b = a.copy(), b + np.int32(2 * len(self.len_a))
+        say_a[last_a] += len(self.len_a)
+        say_b[last_b] += self.base
+        say[np.arange(len(a)) + np.repeat(last_b + 1 - in_b, in_a)] = say_a
+        say[np.arange(len(b)) + np.repeat(last_a + 1, in_b)] = say_b
+        return self.says[say].tobytes().replace(b"\0", b"")[:-1], last_a, last_b
 
 
 def align(docs: DataFrame, a: str, b: str) -> DataFrame:
@@ -228,29 +256,28 @@ def align(docs: DataFrame, a: str, b: str) -> DataFrame:
               "links binary")
 
     def one(al: _Aligner, cut: list[str], ids: list[list[int]]) -> tuple:
-        both = []
-        for text, b_ids in zip(cut, ids, strict=True):
-            found = al.block(text, b_ids)
-            if found is None:
-                return 0, 0, 0, "", b""
-            both.append(found)
         digest, links, n_a, n_b, n = hashlib.sha256(), [], 0, 0, 0
-        for a_ids, b_ids in both:
-            said, la, lb = al.groups(a_ids, b_ids)
-            digest.update((f";{said}" if n else said).encode())
-            pair = np.asarray(la, np.uint64) * np.uint64(al.base) + np.asarray(lb, np.uint64)
-            links.append(pair.astype(al.kind).tobytes())
-            n_a, n_b, n = n_a + len(a_ids), n_b + len(b_ids), n + len(la)
+        for block, b_ids in zip(cut, ids, strict=True):
+            found = al.tokens(block, b_ids)
+            if found is None:
+                n_a = 0
+                break
+            said, last_a, last_b = al.groups(*found)
+            digest.update(b";" + said if n else said)
+            pair = (found[0][last_a].astype(np.uint64) * np.uint64(al.base)
+                    + found[1][last_b].astype(np.uint64))
+            links.append(np.sort(pair.astype(al.kind)).tobytes())
+            n_a, n_b, n = n_a + len(found[0]), n_b + len(found[1]), n + len(last_a)
+        if not n_a:
+            return 0, 0, 0, "", b""
         return n_a, n_b, n, digest.hexdigest(), b"".join(links)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         al = _Aligner(a, b)
         for batch in bounded(batches, most=1 << 20):
-            rows = []
-            for t in batch.column("text"):
-                text = t.as_py()
-                cut = blocks(text) if text else []
-                rows.append(one(al, cut, al.b.ids(cut)) if cut else (0, 0, 0, "", b""))
+            texts = [blocks(t) if t else [] for t in batch.column("text").to_pylist()]
+            ids = iter(al.b.ids([block for cut in texts for block in cut]))
+            rows = [one(al, cut, [next(ids) for _ in cut]) for cut in texts]
             cols = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *[pa.array(c, pa.int64()) for c in cols[:3]],
