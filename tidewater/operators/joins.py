@@ -18,22 +18,43 @@ from tidewater.functions.sequence import first_per_group
 def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
                   lower_ms: int, upper_ms: int, how: str = "inner") -> DataFrame:
     """Rows of ``right`` with the same ``key`` and ``right_ts`` in
-    ``[left_ts + lower_ms, left_ts + upper_ms]`` (both ends inclusive) - J12.
+    ``[left_ts + lower_ms, left_ts + upper_ms]`` (both ends inclusive) - J12; ``how`` is inner,
+    left, right or full.
 
-    Right rows fall in exactly one bucket of width ``upper_ms - lower_ms``; each left row
-    is expanded to the (at most two) buckets its bound overlaps, so every pair is found
-    once and the comparison work per key is bounded by the rows near in time.
-    Column names of the two sides must differ except for ``key``.
+    One side falls in exactly one bucket of width ``upper_ms - lower_ms``, each row of the
+    other is expanded to the (at most two) buckets that its bound overlaps, so every pair is
+    found once and the comparison work per key is bounded by the rows near in time. An outer
+    join expands the side that it does not keep, so a kept row is unmatched at most once; the
+    full join adds the unmatched right rows to the left join. Column names of the two sides
+    must differ except for ``key``, which holds the kept row's value.
     """
     width = max(upper_ms - lower_ms, 1)
-    lo = F.col(left_ts) + F.lit(lower_ms)
-    hi = F.col(left_ts) + F.lit(upper_ms)
-    lb = left.withColumn("_tw_b", F.explode(F.sequence(F.floor(lo / width), F.floor(hi / width))))
-    rb = (right.withColumnRenamed(key, "_tw_rk")
-          .withColumn("_tw_rb", F.floor(F.col(right_ts) / width)))
-    cond = ((lb[key] == rb["_tw_rk"]) & (lb["_tw_b"] == rb["_tw_rb"])
-            & rb[right_ts].between(lb[left_ts] + F.lit(lower_ms), lb[left_ts] + F.lit(upper_ms)))
-    return lb.join(rb, cond, how).drop("_tw_b", "_tw_rk", "_tw_rb")
+    r = right.withColumnRenamed(key, "_tw_rk")
+    near = F.col(right_ts).between(F.col(left_ts) + F.lit(lower_ms),
+                                   F.col(left_ts) + F.lit(upper_ms))
+    cond = ((F.col(key) == F.col("_tw_rk")) & (F.col("_tw_b") == F.col("_tw_rb")) & near)
+    names = [key, *[c for c in left.columns if c != key], *[c for c in right.columns if c != key]]
+
+    def one(df: DataFrame, ts: str, bucket: str) -> DataFrame:
+        return df.withColumn(bucket, F.floor(F.col(ts) / width))
+
+    def all_of(df: DataFrame, ts: str, lo: int, hi: int, bucket: str) -> DataFrame:
+        first = F.floor((F.col(ts) + F.lit(lo)) / width)
+        last = F.floor((F.col(ts) + F.lit(hi)) / width)
+        return df.withColumn(bucket, F.explode(F.sequence(first, last)))
+
+    if how in ("left", "full"):
+        kept = one(left, left_ts, "_tw_b").join(
+            all_of(r, right_ts, -upper_ms, -lower_ms, "_tw_rb"), cond, "left").select(*names)
+        if how == "left":
+            return kept
+    out = all_of(left, left_ts, lower_ms, upper_ms, "_tw_b").withColumn("_tw_l", F.lit(1)).join(
+        one(r, right_ts, "_tw_rb"), cond, "inner" if how == "inner" else "right")
+    value = F.col(key) if how == "inner" else F.coalesce(F.col(key), F.col("_tw_rk"))
+    if how == "full":
+        out = out.where(F.col("_tw_l").isNull())
+    out = out.withColumn(key, value).select(*names)
+    return kept.unionByName(out) if how == "full" else out
 
 
 def equi_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,

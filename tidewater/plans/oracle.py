@@ -589,6 +589,15 @@ WHERE l.event_type = 'view' AND r.event_type = 'purchase'"""
 ORACLE["interval_join"] = interval_sql(5_000)
 ORACLE["interval_join_10m"] = interval_sql(600_000)
 
+for _how in ("left", "right", "full"):
+    ORACLE[f"interval_join_10m_{_how}"] = f"""
+WITH s AS (SELECT user_id, event_id, event_type, epoch_us(ts) // 1000 AS t FROM events)
+SELECT coalesce(l.user_id, r.user_id) AS user_id, l.event_id AS l_id, l.t AS l_ts,
+       r.event_id AS r_id, r.t AS r_ts
+FROM (SELECT * FROM s WHERE event_type = 'view') l {_how.upper()} JOIN
+     (SELECT * FROM s WHERE event_type = 'purchase') r
+ON l.user_id = r.user_id AND r.t BETWEEN l.t - 600000 AND l.t + 600000"""
+
 for _how, _kw in (("inner", "JOIN"), ("left", "LEFT JOIN"), ("right", "RIGHT JOIN"),
                   ("full", "FULL OUTER JOIN")):
     ORACLE[f"equi_join_{_how}"] = """
@@ -743,3 +752,40 @@ ORACLE["stream_keyword_metrics"] = ORACLE["keyword_metrics"].replace(
     "FROM words GROUP BY ALL",
     "FROM words WHERE (ts // 10000) * 10000 + 10000 <= "
     "(SELECT max(ts // 1000) * 1000 - 2000 FROM srch) GROUP BY ALL")
+
+# Changes join a line within three days. A line without activity (coupon) comes out when the
+# watermark, the smallest of the four topics', is three (six) days past it.
+_TOPICS = ("least((SELECT max(detail_ts) FROM od), (SELECT max(change_ts) FROM oi), "
+           "(SELECT max(lts) FROM lb WHERE l_discount >= 0.05), "
+           "(SELECT max(lts) FROM lb WHERE l_tax >= 0.05)) - 2")
+ORACLE["stream_order_wide"] = with_cdc(f"""
+SELECT {WIDE_COLS}, old_status AS old_order_status FROM wide
+WHERE abs(change_ts - detail_ts) <= 3 * 86400
+  AND (activity_id IS NOT NULL OR detail_ts < {_TOPICS} - 3 * 86400)
+  AND (coupon_id IS NOT NULL OR detail_ts < {_TOPICS} - 6 * 86400)""")
+for _tag, _time in (("oa", "activity_create_time"), ("oc", "coupon_create_time")):
+    _line = f"LEFT JOIN {_tag} ON od.order_detail_id = {_tag}.order_detail_id"
+    ORACLE["stream_order_wide"] = ORACLE["stream_order_wide"].replace(_line, _line + f"""
+    AND abs(epoch(strptime({_tag}.{_time}, '%Y-%m-%d %H:%M:%S')) - od.detail_ts) <= 3 * 86400""")
+
+ORACLE["stream_settle_latest"] = with_cdc("""
+SELECT order_detail_id, detail_ts, sku_id, order_price, sku_num FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_detail_id ORDER BY detail_ts DESC,
+      sku_id DESC, source_id DESC, order_price DESC, sku_num DESC, split_activity_amount DESC,
+      split_coupon_amount DESC) AS rn
+  FROM (SELECT *, min(detail_ts) OVER (PARTITION BY order_detail_id) AS first_ts FROM od)
+  WHERE detail_ts <= first_ts + 30 * 86400
+    AND first_ts + 30 * 86400 < (SELECT max(detail_ts) FROM od) - 2)
+WHERE rn = 1""")
+
+for _name, _ms in (("province_order_metrics", 10_000), ("province_order_metrics_1d", 86_400_000)):
+    ORACLE[f"stream_{_name}"] = ORACLE[_name].replace(
+        "FROM settled GROUP BY ALL", f"""FROM settled
+  WHERE (detail_ts * 1000 // {_ms} + 1) * {_ms} <= (SELECT max(detail_ts) FROM settled) * 1000 - 2000
+  GROUP BY ALL""")
+
+# A view without a purchase comes out when both topics are ten minutes past it.
+ORACLE["stream_interval_join"] = ORACLE["interval_join_10m_left"] + """
+WHERE r.event_id IS NOT NULL OR l.t + 600000 < least(
+  (SELECT max(t) FROM s WHERE event_type = 'view'),
+  (SELECT max(t) FROM s WHERE event_type = 'purchase'))"""

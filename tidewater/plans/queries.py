@@ -439,10 +439,10 @@ def _event_side(spark, sf, etype: str, p: str):
                      F.expr("unix_micros(cast(ts as timestamp)) div 1000").alias(f"{p}_ts"))
 
 
-def _interval(spark, sf, bound_ms: int):
+def _interval(spark, sf, bound_ms: int, how: str = "inner"):
     left = _event_side(spark, sf, "view", "l")
     right = _event_side(spark, sf, "purchase", "r")
-    return joins.interval_join(left, right, "user_id", "l_ts", "r_ts", -bound_ms, bound_ms)
+    return joins.interval_join(left, right, "user_id", "l_ts", "r_ts", -bound_ms, bound_ms, how)
 
 
 @register("interval_join")
@@ -455,6 +455,11 @@ def q_interval_join_10m(spark, sf):
     return _interval(spark, sf, 600_000)
 
 
+for _how in ("left", "right", "full"):
+    register(f"interval_join_10m_{_how}")(
+        lambda spark, sf, _h=_how: _interval(spark, sf, 600_000, _h))
+
+
 def _equi(spark, sf, how: str):
     # Orders refer to customers by twice their key here: odd customers have no order, and
     # orders of the upper half no customer, so every kind of join differs.
@@ -641,6 +646,75 @@ def q_stream_first_per_key_gap(spark, sf):
         "order_detail_id", "detail_ts", "sku_id", "order_price")
 
 
+@register("stream_order_wide")
+def q_stream_order_wide(spark, sf):
+    from tidewater.streaming import jobs
+    from tidewater.streaming import trade as st
+    tables = ["order_detail", "order_info", "order_detail_activity", "order_detail_coupon"]
+    root = st.land_changes(clog(spark, sf), tables, "orders")
+    wide_rows = st.order_wide_stream({t: st.topic(spark, root, t) for t in tables},
+                                     dt.dictionary(spark))
+    return jobs.run_to_table(spark, wide_rows.select(*WIDE_COLS, "old_order_status"),
+                             "order_wide")
+
+
+@register("stream_settle_latest")
+def q_stream_settle_latest(spark, sf):
+    from tidewater.streaming import jobs
+    from tidewater.streaming import trade as st
+    cols = ("order_detail_id string, ts long, sku_id string, source_id string, "
+            "order_price string, sku_num string, split_activity_amount string, "
+            "split_coupon_amount string, detail_ts long, event_time timestamp")
+    od = trade.order_lines(clog(spark, sf)).select(
+        "order_detail_id", (F.col("detail_ts") * 1000).alias("ts"), *LINE_ORDER[1:7],
+        "detail_ts", F.timestamp_seconds("detail_ts").alias("event_time"))
+    folder = jobs.land_topic(od, f"{_scratch(spark)}/topics/settle-{_uid()}")
+    s = spark.readStream.schema(cols).parquet(folder).withWatermark("event_time", "2 seconds")
+    out = st.settle_stream(s, "order_detail_id", 30 * 86_400_000, ["ts", *LINE_ORDER[1:7]], cols)
+    return jobs.run_to_table(spark, out, "settle").select(
+        "order_detail_id", "detail_ts", "sku_id", "order_price", "sku_num")
+
+
+@register("stream_province_order_metrics")
+def q_stream_province_order_metrics(spark, sf):
+    return _province_stream(spark, sf, "10 seconds")
+
+
+@register("stream_province_order_metrics_1d")
+def q_stream_province_order_metrics_1d(spark, sf):
+    return _province_stream(spark, sf, "1 day")
+
+
+def _province_stream(spark, sf, length):
+    from tidewater.streaming import jobs
+    from tidewater.streaming import trade as st
+    lines = settled_lines(spark, sf).select(
+        "order_id", "province_id", "split_total_amount",
+        F.timestamp_seconds("detail_ts").alias("event_time"))
+    folder = jobs.land_topic(lines, f"{_scratch(spark)}/topics/settled-{_uid()}")
+    s = (spark.readStream.schema(lines.schema).parquet(folder)
+         .withWatermark("event_time", "2 seconds"))
+    return jobs.run_to_table(
+        spark, st.province_order_stream(s, dt.province_table(spark, sf), length), "province")
+
+
+@register("stream_interval_join")
+def q_stream_interval_join(spark, sf):
+    """Views with the purchases of the user within ten minutes, views without one as well."""
+    from tidewater.streaming import jobs
+    from tidewater.streaming import trade as st
+    sides = []
+    for etype, p in (("view", "l"), ("purchase", "r")):
+        rows = _event_side(spark, sf, etype, p).withColumn(
+            f"{p}_time", F.timestamp_millis(f"{p}_ts"))
+        folder = jobs.land_topic(rows, f"{_scratch(spark)}/topics/{etype}-{_uid()}")
+        sides.append(spark.readStream.schema(rows.schema).parquet(folder)
+                     .withWatermark(f"{p}_time", "0 seconds"))
+    out = st.interval_join_stream(*sides, "user_id", "l_time", "r_time", "-10 minutes",
+                                  "10 minutes", "left")
+    return jobs.run_to_table(spark, out.drop("l_time", "r_time"), "interval")
+
+
 def _scratch(spark):
     from tidewater.session import ensure_checkpoint_dir
     return ensure_checkpoint_dir(spark)
