@@ -789,3 +789,21 @@ ORACLE["stream_interval_join"] = ORACLE["interval_join_10m_left"] + """
 WHERE r.event_id IS NOT NULL OR l.t + 600000 < least(
   (SELECT max(t) FROM s WHERE event_type = 'view'),
   (SELECT max(t) FROM s WHERE event_type = 'purchase'))"""
+
+ORACLE["stream_maintain_dims"] = """
+WITH changes AS (
+  SELECT c_custkey AS id, 694224000 AS ts, c_custkey AS pos, c_name AS name,
+         c_mktsegment AS level FROM customer
+  UNION ALL
+  SELECT o_custkey, epoch_us(o_orderdate) // 1000000, 1000000000 + o_orderkey,
+         'customer ' || CAST(o_custkey AS VARCHAR), o_orderpriority
+  FROM orders WHERE o_orderkey % 13 <> 0),
+latest AS (
+  SELECT CAST(id AS VARCHAR) AS id, name, level FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, pos DESC) AS rn FROM changes)
+  WHERE rn = 1)
+SELECT 'dim_user_info' AS sink_table, id AS pk, unnest(['id', 'name', 'level']) AS "column",
+       unnest([id, name, level]) AS value FROM latest
+UNION ALL
+SELECT 'dim_base_province', CAST(n_nationkey AS VARCHAR), unnest(['id', 'name', 'region_id']),
+       unnest([CAST(n_nationkey AS VARCHAR), n_name, CAST(n_regionkey AS VARCHAR)]) FROM nation"""

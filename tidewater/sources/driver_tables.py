@@ -425,3 +425,59 @@ RULE_ROWS = [
 
 def rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(RULE_ROWS, schemas.RULES)
+
+
+# A topic of rule changes. user_info gets a column by an update, the rule of
+# sku_info is deleted, and one record is no JSON.
+RULE_CHANGES = [
+    '{"op":"r","after":{"source_table":"user_info","sink_table":"dim_user_info",'
+    '"sink_columns":"id,name"}}',
+    '{"op":"r","after":{"source_table":"sku_info","sink_table":"dim_sku_info",'
+    '"sink_columns":"id,brand","sink_pk":"id"}}',
+    '{"op":"u","before":{"source_table":"user_info"},"after":{"source_table":"user_info",'
+    '"sink_table":"dim_user_info","sink_columns":"id,name,level","sink_pk":"id"}}',
+    "not a record",
+    '{"op":"d","before":{"source_table":"sku_info"}}',
+    '{"op":"c","after":{"source_table":"base_province","sink_table":"dim_base_province",'
+    '"sink_columns":"id,name,region_id"}}',
+]
+
+
+def rule_topic(spark: SparkSession) -> DataFrame:
+    """Rule changes as text records (value, offset)."""
+    return spark.createDataFrame(list(enumerate(RULE_CHANGES)), "offset long, value string")
+
+
+def dim_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of dimension tables as JSON text (value, offset). Fixed recipe values:
+
+    * user_info: bootstrap-insert per customer at ts 694224000 (offset = c_custkey); every order
+      is an update of its customer (level = o_orderpriority) at midnight of its day, so
+      changes of one second occur (offset 10^9 + o_orderkey), a delete when o_orderkey % 13 = 0
+    * base_province: insert per nation (offset 2 * 10^9 + n_nationkey); sku_info: insert per
+      part (offset 3 * 10^9 + p_partkey)
+    """
+    c, o, n, p = (table(spark, sf_dir, t) for t in ("customer", "orders", "nation", "part"))
+    start = F.lit(694224000)
+    out = None
+    for df, at, name, kind, ts, data in (
+            (c, F.col("c_custkey"), "user_info", "bootstrap-insert", start, _map(
+                id=F.col("c_custkey"), name=F.col("c_name"), level=F.col("c_mktsegment"),
+                secret=F.lit("s"))),
+            (o, F.lit(10**9) + F.col("o_orderkey"), "user_info",
+             F.when(F.col("o_orderkey") % 13 == 0, "delete").otherwise("update"),
+             _epoch_s("o_orderdate"), _map(
+                 id=F.col("o_custkey"), name=F.concat(F.lit("customer "), _txt("o_custkey")),
+                 level=F.col("o_orderpriority"), secret=F.lit("s"))),
+            (n, F.lit(2 * 10**9) + F.col("n_nationkey"), "base_province", "insert", start, _map(
+                id=F.col("n_nationkey"), name=F.col("n_name"),
+                region_id=F.col("n_regionkey"))),
+            (p, F.lit(3 * 10**9) + F.col("p_partkey"), "sku_info", "insert", start, _map(
+                id=F.col("p_partkey"), brand=F.col("p_brand")))):
+        rec = F.struct(
+            F.lit(DATABASE).alias("database"), F.lit(name).alias("table"),
+            (F.lit(kind) if isinstance(kind, str) else kind).alias("type"),
+            ts.cast("long").alias("ts"), data.alias("data"))
+        rows = df.select(F.to_json(rec).alias("value"), at.cast("long").alias("offset"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
