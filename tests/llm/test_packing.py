@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -56,6 +57,20 @@ def test_odd_rows(spark):
     assert sum(r.doc_id == 3 for r in got) == 2
 
 
+def test_random_texts_give_the_ids_of_the_tokenizer(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_BYTES", 20_000)  # forgets words now and then
+    rng = random.Random(2)
+    alphabet = ["a", "B", "c", "İ", "ı", "ß", "é", "É", "ǰ", "ŉ", "Σ", "ς", "я", "ა", "中", "́", "ˈ", "ª",
+                "1", "²", ",", ".", ".", "'", "'s", "-", " ", " ", " ", "\n", "\x1c", "\xa0", "🙂"]
+    enc, tok = packing._Encoder(PATH), Tokenizer.from_file(PATH)
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(40))) for _ in range(20_000)]
+    texts += ["İ.", "İİ,", "dž. İ", "a" * 5000 + "."]
+    for lo in range(0, len(texts), 500):
+        want = tok.encode_batch(texts[lo:lo + 500], add_special_tokens=False)
+        got = enc.texts(texts[lo:lo + 500])
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [w.ids for w in want]
+
+
 def test_kept_ids(spark):
     df = spark.createDataFrame([(1, "one two three")], "doc_id long, text string")
     r = packing.pack_documents(df, PATH, 2, keep_ids=True).collect()

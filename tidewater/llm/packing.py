@@ -25,16 +25,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import chunks, group_rank, start
+from tidewater.llm.common import bounded, group_rank, start
 from tidewater.session import materialize
 
-CACHE_WORDS = 500_000  # encoded words that a Python worker keeps
-CHUNK_CHARS = 1_000_000  # text that a worker splits into words at once
+CACHE_BYTES = 64 << 20  # encoded words that a Python worker keeps, about
+_ENTRY = 160  # bytes that a kept word takes besides its text and ids
+CHUNK_BYTES = 1 << 20  # text that a worker encodes at once
 # White space of str.split() that the tokenizer's \s does not hold.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _STATE: dict = {}
 
 
+def _letters_alone(word: str) -> bool:
+    """Whether the tokenizer, too, sees letters and nothing else. Lower case may bring marks
+    ("İ"), and beyond these scripts versions of Unicode differ."""
+    return word.isalpha() and (word.isascii()
+                               or max(word) < "\u0530" and word.lower().isalpha())
+
+
 class _Encoder:
     """Token ids of texts as little-endian uint32 bytes.
 
@@ -48,6 +56,7 @@ class _Encoder:
 
         self.tok = Tokenizer.from_file(path)
         self.seen: dict[str, bytes] = {}
+        self.held = 0
         vocab = self.tok.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)  # tokens that end a word
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
@@ -73,26 +82,26 @@ class _Encoder:
         for words in split:
             if words:
                 need.update(words)
-        if len(self.seen) + len(need) > CACHE_WORDS:
-            self.seen = {}
+        if self.held > CACHE_BYTES:
+            self.seen, self.held = {}, 0
         seen = self.seen
         new = [w for w in need if w not in seen]
-        # "Word," is "word" and ",": an ASCII letter and a comma or full stop always part.
+        # "Word," is "word" and ",": letters and a comma or full stop always part.
         core = {}
         for w in new:
-            c = w
-            if len(w) > 1 and w[-1] in ",." and w[:-1].isalpha():
-                c = w[:-1]
+            c = w[:-1] if w[-1] in ",." and _letters_alone(w[:-1]) else w
             core[w] = c.lower() if c.isascii() else c
         todo = [c for c in {*core.values(), ",", "."} if c not in seen]
-        plain = [c for c in todo if c.isalpha()]
+        plain = [c for c in todo if _letters_alone(c)]
         seen.update(zip(plain, self._letters(plain), strict=True))
-        other = [c for c in todo if not c.isalpha()]
+        plain = set(plain)
+        other = [c for c in todo if c not in plain]
         seen.update(zip(other, self._encode(other), strict=True))
         for w in new:
             c = core[w]
             tail = seen[w[-1]] if len(c) < len(w) else b""
             seen[w] = seen[c] + tail
+            self.held += len(w) + len(seen[w]) + _ENTRY
         get = seen.__getitem__
         return [self._encode([t])[0] if words is None else b"".join(map(get, words))
                 for t, words in zip(texts, split, strict=True)]
@@ -119,21 +128,20 @@ def tokenize(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(tokenizer)
-        for b in batches:
+        for b in bounded(batches, most=CHUNK_BYTES):
             texts = [t or "" for t in b.column("text").to_pylist()]
             owner, piece, begin, length, crc, ids = [], [], [], [], [], []
-            for lo, hi in chunks([len(t) for t in texts], CHUNK_CHARS):
-                for i, data in enumerate(enc.texts(texts[lo:hi]), lo):
-                    data += end
-                    for k, at in enumerate(range(0, len(data), width)):
-                        part = data[at:at + width]
-                        owner.append(i)
-                        piece.append(k)
-                        begin.append(at // 4)
-                        length.append(len(part) // 4)
-                        crc.append(zlib.crc32(part))
-                        if keep_ids:
-                            ids.append(part)
+            for i, data in enumerate(enc.texts(texts)):
+                data += end
+                for k, at in enumerate(range(0, len(data), width)):
+                    part = data[at:at + width]
+                    owner.append(i)
+                    piece.append(k)
+                    begin.append(at // 4)
+                    length.append(len(part) // 4)
+                    crc.append(zlib.crc32(part))
+                    if keep_ids:
+                        ids.append(part)
             cols = [b.column("doc_id").take(pa.array(owner, pa.int64())),
                     pa.array(piece, pa.int32()), pa.array(begin, pa.int64()),
                     pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
