@@ -1,6 +1,7 @@
 """Streams of the trade side and of dimensions over several micro-batches: released state,
 timers, late rows, silent sources, replays, crashes. (Whole tables: test_oracle.py.)"""
 
+import random
 import uuid
 
 import pytest
@@ -11,6 +12,7 @@ from tidewater.operators import dims, joins
 from tidewater.session import ensure_checkpoint_dir
 from tidewater.sources import driver_tables as dt
 from tidewater.sources import upsert
+from tidewater.streaming import changelog
 from tidewater.streaming import dims as sd
 from tidewater.streaming import jobs
 from tidewater.streaming import trade as st
@@ -337,3 +339,45 @@ def test_a_change_between_two_batches_is_seen_by_the_second_only(spark):
     write = sd.enrich_writer(f"{j.base}/t", "dim_user_info", "u", {"name": "user_name"}, out)
     write(spark.createDataFrame([("1", 1), ("2", 2)], "u string, n int"), 0)
     assert seen() == want
+
+
+# ------------------------------------------------------------------ change-log joins
+
+def feed(spark, files, **more):
+    s = topic(spark, [[(a, k, o, v) for a, k, o, v in f] for f in files], changelog.IN)
+    rows, _ = run(spark, changelog.join_stream(s, **more))
+    return sorted((r.k, r.seq, r.op, r.l, r.r) for r in rows)
+
+
+def test_left_join_takes_back_the_row_without_a_partner(spark):
+    got = feed(spark, [[("l", "1", 0, "a")], [("r", "1", 0, "x")], [("r", "1", 0, "y")],
+                       [("l", "1", 0, "b")], [("r", "2", 0, "z"), ("l", None, 0, "no key")]],
+               how="left")
+    assert got == [("1", 0, "+I", "a", None), ("1", 1, "-D", "a", None), ("1", 2, "+I", "a", "x"),
+                   ("1", 3, "+I", "a", "y"), ("1", 4, "+I", "b", "x"), ("1", 5, "+I", "b", "y")]
+
+
+def test_latest_rows_replace_each_other(spark):
+    got = feed(spark, [[("l", "1", 1, "a")], [("r", "1", 5, "x")], [("l", "1", 0, "older")],
+                       [("l", "1", 2, "b")], [("r", "1", 6, "y")]], how="full", latest=True)
+    assert [g[2:] for g in got] == [
+        ("+I", "a", None), ("-D", "a", None), ("+I", "a", "x"), ("-D", "a", "x"),
+        ("+I", "b", "x"), ("-D", "b", "x"), ("+I", "b", "y")]
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_replayed_operations_give_the_batch_join_after_every_batch(spark, how):
+    rng = random.Random(how)
+    files = [[(rng.choice("lr"), rng.choice("abc"), 0, f"{n}-{i % 4}") for i in range(8)]
+             for n in range(4)]
+    ops = feed(spark, files, how=how)
+    df = spark.createDataFrame([(op, k, seq, l, r) for k, seq, op, l, r in ops], changelog.OUT)
+    got = sorted(map(tuple, changelog.replay(df).collect()), key=str)
+    left = [(k, v) for f in files for s, k, _, v in f if s == "l"]
+    right = [(k, v) for f in files for s, k, _, v in f if s == "r"]
+    want = [(k, x, y) for k, x in left for j, y in right if j == k]
+    if how in ("left", "full"):
+        want += [(k, x, None) for k, x in left if k not in dict(right)]
+    if how in ("right", "full"):
+        want += [(k, None, y) for k, y in right if k not in dict(left)]
+    assert got == sorted(want, key=str)

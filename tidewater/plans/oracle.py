@@ -807,3 +807,8 @@ SELECT 'dim_user_info' AS sink_table, id AS pk, unnest(['id', 'name', 'level'])
 UNION ALL
 SELECT 'dim_base_province', CAST(n_nationkey AS VARCHAR), unnest(['id', 'name', 'region_id']),
        unnest([CAST(n_nationkey AS VARCHAR), n_name, CAST(n_regionkey AS VARCHAR)]) FROM nation"""
+
+# A replayed change log is the batch join.
+for _how in ("inner", "left", "right", "full"):
+    ORACLE[f"stream_changelog_{_how}"] = ORACLE[f"equi_join_{_how}"]
+ORACLE["stream_changelog_latest"] = ORACLE["latest_left_join"]

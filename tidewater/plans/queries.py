@@ -460,29 +460,37 @@ for _how in ("left", "right", "full"):
         lambda spark, sf, _h=_how: _interval(spark, sf, 600_000, _h))
 
 
-def _equi(spark, sf, how: str):
+def _equi_sides(spark, sf):
     # Orders refer to customers by twice their key here: odd customers have no order, and
     # orders of the upper half no customer, so every kind of join differs.
     c = dt.table(spark, sf, "customer").select("c_custkey", "c_name")
     o = dt.table(spark, sf, "orders").select(
         "o_orderkey", (F.col("o_custkey") * 2).alias("customer_ref"))
-    return joins.equi_join(c, o, "c_custkey", "customer_ref", how)
+    return c, o
+
+
+def _equi(spark, sf, how: str):
+    return joins.equi_join(*_equi_sides(spark, sf), "c_custkey", "customer_ref", how)
 
 
 for _how in ("inner", "left", "right", "full"):
     register(f"equi_join_{_how}")(lambda spark, sf, _h=_how: _equi(spark, sf, _h))
 
 
-@register("latest_left_join")
-def q_latest_left_join(spark, sf):
+def _latest_sides(spark, sf):
     li = dt.table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("ship_day"))
     # Orders by one and a half of their key: some lines find none.
     o = dt.table(spark, sf, "orders").select(
         F.expr("o_orderkey + o_orderkey div 2").alias("order_ref"), "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_day"))
+    return li, o
+
+
+@register("latest_left_join")
+def q_latest_left_join(spark, sf):
     out = joins.latest_left_join(
-        li, o, "l_orderkey",
+        *_latest_sides(spark, sf), "l_orderkey",
         ["ship_day", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
         ["order_day"], right_key="order_ref")
     return out.select("l_orderkey", "l_linenumber", "ship_day", "o_orderstatus")
@@ -729,6 +737,46 @@ def q_stream_maintain_dims(spark, sf):
     return dims.dim_long(sd.read_dims(spark, f"{base}/table"))
 
 
+def _changelog(spark, sides, how: str, latest: bool = False):
+    """Operations of the join of two tables that arrive in three micro-batches, replayed."""
+    from tidewater.streaming import changelog, jobs
+    folder = f"{_scratch(spark)}/topics/changelog-{_uid()}"
+    sides[0].unionByName(sides[1]).repartition(3, "row").write.parquet(folder)
+    s = (spark.readStream.schema(changelog.IN).option("maxFilesPerTrigger", 1).parquet(folder))
+    return changelog.replay(jobs.run_to_table(
+        spark, changelog.join_stream(s, how, latest), "changelog"))
+
+
+def _changelog_equi(spark, sf, how: str):
+    from tidewater.streaming import changelog
+    c, o = _equi_sides(spark, sf)
+    out = _changelog(spark, (changelog.side(c, "l", "c_custkey"),
+                             changelog.side(o, "r", "customer_ref")), how)
+    return changelog.rows(out, "c_custkey long, c_name string",
+                          "o_orderkey long, customer_ref long")
+
+
+for _how in ("inner", "left", "right", "full"):
+    register(f"stream_changelog_{_how}")(lambda spark, sf, _h=_how: _changelog_equi(spark, sf, _h))
+
+
+@register("stream_changelog_latest")
+def q_stream_changelog_latest(spark, sf):
+    """The latest line of an order and the state of the order it refers to, as changes come."""
+    from tidewater.streaming import changelog
+    li, o = _latest_sides(spark, sf)
+    # The order of W1: ship day, then line, part, supplier and price; as one text it is compared
+    # as such, so the numbers are padded.
+    li = li.select(F.concat_ws("|", "ship_day", *[
+        F.lpad(F.col(c).cast("decimal(18,2)").cast("string"), 20, "0") for c in
+        ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")]).alias("_at"),
+        "l_orderkey", "l_linenumber", "ship_day")
+    out = _changelog(spark, (changelog.side(li, "l", "l_orderkey"),
+                             changelog.side(o, "r", "order_ref")), "left", latest=True)
+    return changelog.rows(out, "l_orderkey long, l_linenumber int, ship_day string",
+                          "o_orderstatus string")
+
+
 def _scratch(spark):
     from tidewater.session import ensure_checkpoint_dir
     return ensure_checkpoint_dir(spark)
