@@ -29,7 +29,7 @@ from tidewater.llm.common import bounded, group_rank, start
 from tidewater.session import materialize
 
 CACHE_BYTES = 64 << 20  # encoded words that a Python worker keeps, about
-_ENTRY = 160  # bytes that a kept word takes besides its text and ids
+_ENTRY = 160  # bytes that a kept word takes besides its letters
 CHUNK_BYTES = 1 << 20  # text that a worker encodes at once
 # White space of str.split() that the tokenizer's \s does not hold.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
@@ -37,10 +37,9 @@ _STATE: dict = {}
 
 
 def _letters_alone(word: str) -> bool:
-    """Whether the tokenizer, too, sees letters and nothing else. Lower case may bring marks
+    """Whether the tokenizer, too, sees letters alone in a word of letters. Lower case may bring marks
     ("İ"), and beyond these scripts versions of Unicode differ."""
-    return word.isalpha() and (word.isascii()
-                               or max(word) < "\u0530" and word.lower().isalpha())
+    return word.isascii() or max(word) < "\u0530" and word.lower().isalpha()
 
 
 class _Encoder:
@@ -89,19 +88,21 @@ class _Encoder:
         # "Word," is "word" and ",": letters and a comma or full stop always part.
         core = {}
         for w in new:
-            c = w[:-1] if w[-1] in ",." and _letters_alone(w[:-1]) else w
+            c = w
+            if w[-1] in ",." and w[:-1].isalpha() and _letters_alone(w[:-1]):
+                c = w[:-1]
             core[w] = c.lower() if c.isascii() else c
-        todo = [c for c in {*core.values(), ",", "."} if c not in seen]
-        plain = [c for c in todo if _letters_alone(c)]
+        todo = {*core.values(), ",", "."}.difference(seen)
+        plain = [c for c in todo if c.isalpha() and (c.isascii() or _letters_alone(c))]
+        other = list(todo.difference(plain))
         seen.update(zip(plain, self._letters(plain), strict=True))
-        plain = set(plain)
-        other = [c for c in todo if c not in plain]
         seen.update(zip(other, self._encode(other), strict=True))
-        for w in new:
-            c = core[w]
-            tail = seen[w[-1]] if len(c) < len(w) else b""
-            seen[w] = seen[c] + tail
-            self.held += len(w) + len(seen[w]) + _ENTRY
+        for w, c in core.items():
+            if len(c) < len(w):
+                seen[w] = seen[c] + seen[w[-1]]
+            elif c != w:
+                seen[w] = seen[c]
+        self.held += sum(map(len, core)) * 2 + len(core) * _ENTRY
         get = seen.__getitem__
         return [self._encode([t])[0] if words is None else b"".join(map(get, words))
                 for t, words in zip(texts, split, strict=True)]
