@@ -3,6 +3,7 @@ tables are compared with SQL in test_oracle.py.)"""
 
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.plans.queries import REGISTRY
@@ -92,3 +93,65 @@ def test_fan_out_foreach_batch(spark):
     assert counts["dirty"] == batch.where("kind = 'dirty'").count()
     assert counts["page"] == REGISTRY["fan_out_page"](spark, SF).count()
     assert counts["display"] == REGISTRY["explode_displays"](spark, SF).count()
+
+
+def record(mid, ts, flag, page="home"):
+    import json
+    return json.dumps({"common": {"mid": mid, "is_new": flag}, "ts": ts,
+                       "page": {"page_id": page}})
+
+
+def land_text(spark, folder, files):
+    for lines in files:
+        (spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1)
+         .write.mode("append").text(folder))
+
+
+def flags(spark, root):
+    """(device, time, flag) of the page output: rows with both, and the others."""
+    rows = [(r.mid, r.ts, r.is_new) for r in spark.read.parquet(f"{root}/page").select(
+        "common.mid", "ts", "common.is_new").collect()]
+    whole = [r for r in rows if None not in r]
+    return sorted(whole), sorted((r for r in rows if None in r), key=str)
+
+
+FAN_FILES = [
+    [record("a", DAY + 5, "1"), record("a", DAY + 9, "1"), "{broken"],
+    [record("a", 2 * DAY, "1"), record("b", 5 * DAY, "0"), record(None, 7, "1")],
+    [record("b", 5 * DAY + 1, "1"), record("b", 4 * DAY, "1"),  # four days "late": still kept
+     record("c", None, "1"), record("a", DAY + 7, "1"), ""]]
+FAN_FLAGS = [("a", DAY + 5, "1"), ("a", DAY + 7, "1"), ("a", DAY + 9, "1"), ("a", 2 * DAY, "0"),
+             ("b", 4 * DAY, "1"), ("b", 5 * DAY, "0"), ("b", 5 * DAY + 1, "0")]
+
+
+def test_fan_out_repairs_flags_over_batches(spark):
+    base = f"{ensure_checkpoint_dir(spark)}/fanout-{uuid.uuid4().hex[:8]}"
+    land_text(spark, f"{base}/raw", FAN_FILES)
+    jobs.run_fan_out(spark, f"{base}/raw", f"{base}/out", files_per_trigger=1)
+    # without a device or a time there is nothing to repair by
+    assert flags(spark, f"{base}/out") == (FAN_FLAGS, [("c", None, "1"), (None, 7, "1")])
+    dirty = spark.read.parquet(f"{base}/out/dirty")
+    assert sorted(r.value for r in dirty.collect()) == ["", "{broken"]
+    assert spark.read.parquet(f"{base}/out/page").select("batch_id").distinct().count() == 3
+
+
+def test_fan_out_goes_on_after_a_failure_within_a_batch(spark):
+    base = f"{ensure_checkpoint_dir(spark)}/fanout-{uuid.uuid4().hex[:8]}"
+    land_text(spark, f"{base}/raw", FAN_FILES)
+    write = jobs.fan_out_writer(f"{base}/out")
+    failed = []
+
+    def dies_once(batch, batch_id):
+        write(batch, batch_id)  # all outputs are there, but the batch is not committed
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost")
+
+    def go():
+        raw = spark.readStream.option("maxFilesPerTrigger", 1).text(f"{base}/raw")
+        jobs.fan_out(raw, f"{base}/out", dies_once)
+
+    with pytest.raises(Exception, match="lost"):
+        go()
+    go()
+    assert failed and flags(spark, f"{base}/out")[0] == FAN_FLAGS

@@ -735,6 +735,10 @@ WHERE {_START} AND ts < {_passed()} AND CASE WHEN nts IS NOT NULL AND nts < {_pa
 ORACLE["stream_fix_new_flag"] = with_clog(f"""
 SELECT "offset", mid, ts, is_new FROM flog WHERE ts < {_passed(table='clog')}""")
 
+# The routing job waits for nothing: its outputs are whole.
+ORACLE["stream_fan_out_page"] = ORACLE["fan_out_page"]
+ORACLE["stream_fan_out_start"] = ORACLE["fan_out_start"]
+
 ORACLE["stream_login_unique_and_back"] = with_clog(", " + LOGIN + f"""
 SELECT "offset", uid, ts, dt, uu_ct, back_ct FROM lg
 WHERE ts < {_passed("uid IS NOT NULL AND " + _START)}""")

@@ -625,6 +625,31 @@ def q_stream_fix_new_flag(spark, sf):
         "offset", "mid", "ts", "is_new")
 
 
+def _fan_out(spark, sf, output: str):
+    """One output of the routing job over the raw click log, flags repaired on the way."""
+    from tidewater.streaming import jobs
+    base = f"{_scratch(spark)}/fanout-{_uid()}"
+    jobs.land_topic(dt.raw_click_log(spark, sf), f"{base}/raw")
+    raw = spark.readStream.schema("value string, offset long").parquet(f"{base}/raw")
+    jobs.fan_out(raw, f"{base}/out")
+    return spark.read.parquet(f"{base}/out/{output}")
+
+
+@register("stream_fan_out_page")
+def q_stream_fan_out_page(spark, sf):
+    return _fan_out(spark, sf, "page").select(
+        "offset", "ts", "common.mid", "common.uid", "common.is_new", "common.vc",
+        "common.ch", "common.ar", "page.page_id", "page.last_page_id", "page.during_time",
+        F.col("err.error_code").alias("error_code"))
+
+
+@register("stream_fan_out_start")
+def q_stream_fan_out_start(spark, sf):
+    return _fan_out(spark, sf, "start").select(
+        "offset", "ts", "common.mid", "common.is_new", "start.entry", "start.loading_time",
+        "start.open_ad_id", F.col("err.error_code").alias("error_code"))
+
+
 @register("stream_login_unique_and_back")
 def q_stream_login_unique_and_back(spark, sf):
     from tidewater.streaming import jobs

@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater import schemas
 from tidewater.functions.time import window_text
 from tidewater.session import ensure_checkpoint_dir, ship_package
 from tidewater.streaming.processors import (FLAT_COLS, FLAT_SCHEMA, DailyFirstProcessor,
@@ -125,9 +126,30 @@ def land_page_log(spark: SparkSession, page: DataFrame, name: str) -> str:
     return land_topic(flat_page(page).select(*FLAT_COLS), base)
 
 
+def repaired_log_stream(raw: DataFrame) -> DataFrame:
+    """Raw click records (``value``, ``offset`` where there is one) with the repaired
+    ``is_new`` beside the text (T2 ahead of T17). Flags follow the order of arrival: there is
+    no watermark, so no record is late or lost. Records that are dirty or have no device or
+    time pass as they are."""
+    from tidewater.operators.logs import parse_json
+    from tidewater.streaming.processors import ARRIVAL_SCHEMA, ArrivalFlagProcessor
+
+    offset = F.col("offset") if "offset" in raw.columns else F.lit(None)
+    rows = parse_json(raw, schemas.CLICK_LOG).select(
+        F.col("_rec.common.mid").alias("mid"), F.col("_rec.ts").alias("ts"),
+        offset.cast("long").alias("offset"), F.col("_rec.common.is_new").alias("is_new"),
+        "value", "is_dirty")
+    keyed = ~F.col("is_dirty") & F.col("mid").isNotNull() & F.col("ts").isNotNull()
+    fixed = rows.where(keyed).drop("is_dirty").groupBy("mid").transformWithStateInPandas(
+        ArrivalFlagProcessor(_zone(raw)), ARRIVAL_SCHEMA, "Append", "None")
+    out = fixed.unionByName(rows.where(~keyed).drop("is_dirty")).drop("mid", "ts")
+    return out if "offset" in raw.columns else out.drop("offset")
+
+
 def fan_out_writer(root: str):
-    """``foreachBatch`` function writing the five log outputs of one micro-batch (T17,
-    S10): the batch is persisted once, each output is appended to its own folder with
+    """``foreachBatch`` function writing the five log outputs and the dirty records of one
+    micro-batch (T17, S10). Takes (value, is_new[, offset]); ``is_new`` replaces the record's
+    own flag. The batch is persisted once, each output is appended to its own folder with
     the batch id as a partition (dynamic overwrite makes a replayed batch idempotent),
     then the batch is released. Memory held is bounded by one micro-batch."""
     from tidewater.operators.logs import fan_out_log, split_dirty
@@ -135,9 +157,11 @@ def fan_out_writer(root: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            clean, dirty = split_dirty(batch)
+            clean, dirty = split_dirty(batch.withColumnRenamed("is_new", "_is_new"))
+            clean = clean.withColumn("common", F.col("common").withField(
+                "is_new", F.col("_is_new"))).drop("_is_new")
             outs = fan_out_log(clean)
-            outs["dirty"] = dirty
+            outs["dirty"] = dirty.drop("_is_new")
             for name, df in outs.items():
                 (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -148,17 +172,24 @@ def fan_out_writer(root: str):
     return write
 
 
-def run_fan_out(spark: SparkSession, raw_folder: str, root: str) -> None:
-    """Route a raw click-log topic (text files) into page/start/error/display/action and
-    dirty tables under ``root``, all available input, one checkpointed query."""
-    from tidewater.sources.topics import read_topic
-    raw = read_topic(spark, raw_folder, stream=True)
-    q = (raw.writeStream.foreachBatch(fan_out_writer(root))
+def fan_out(raw: DataFrame, root: str, writer=None) -> None:
+    """Repair the flags of a raw click-log stream and route it into page/start/error/display/
+    action and dirty tables under ``root``: all available input, one checkpointed query."""
+    prepare(raw.sparkSession)
+    q = (repaired_log_stream(raw).writeStream.foreachBatch(writer or fan_out_writer(root))
          .option("checkpointLocation", f"{root}/_checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
+def run_fan_out(spark: SparkSession, raw_folder: str, root: str,
+                files_per_trigger: int | None = None) -> None:
+    """``fan_out`` of a topic of text files."""
+    from tidewater.sources.topics import read_topic
+    options = {} if files_per_trigger is None else {"maxFilesPerTrigger": files_per_trigger}
+    fan_out(read_topic(spark, raw_folder, stream=True, **options), root)
+
+
 KEYWORD_SQL = """
 SELECT date_format(window.start, 'yyyy-MM-dd HH:mm:ss') AS stt,
        date_format(window.end, 'yyyy-MM-dd HH:mm:ss') AS edt,

@@ -196,6 +196,46 @@ class NewFlagProcessor(OrderedProcessor):
         return out
 
 
+ARRIVAL_SCHEMA = "mid string, ts long, offset long, is_new string, value string"
+
+
+class ArrivalFlagProcessor(StatefulProcessor):
+    """Repair ``is_new`` per device as records arrive (T2 in front of the log outputs): no
+    record waits and none is late. The anchor day comes from the least record by (ts, offset,
+    value) of the first micro-batch that has the device, and is never changed. Only that
+    micro-batch's records of a device are held together."""
+
+    def __init__(self, zone: str = "UTC"):
+        self.zone = zone
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.anchor = handle.getValueState("anchor", "day long")
+
+    def _days(self, ts: pd.Series) -> pd.Series:
+        ts = ts.astype("int64")
+        return ts // DAY_MS if self.zone == "UTC" else ts.map(lambda t: day_of(t, self.zone))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues):
+        held = self.anchor.get()
+        if held is None:
+            rows = [f for f in rows if len(f)]
+            if not rows:
+                return
+            first = pd.concat([f[["ts", "offset", "value", "is_new"]] for f in rows]).sort_values(
+                ["ts", "offset", "value"]).iloc[0]
+            anchor = day_of(int(first["ts"]), self.zone) - int(first["is_new"] != "1")
+            self.anchor.update((anchor,))
+        else:
+            anchor = held[0]
+        for f in rows:
+            wrong = (f["is_new"] == "1") & (self._days(f["ts"]) != anchor)
+            yield f.assign(is_new=f["is_new"].mask(wrong, "0"))[
+                ["mid", "ts", "offset", "is_new", "value"]]
+
+    def close(self) -> None:
+        pass
+
+
 LOGIN_IN = "uid string, ts long, offset long, event_time timestamp"
 LOGIN_SCHEMA = ("uid string, ts long, offset long, event_time timestamp, dt string, "
                 "uu_ct long, back_ct long")
