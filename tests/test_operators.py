@@ -248,3 +248,25 @@ def test_bad_money_does_not_stop_a_metric(spark):
     from tidewater.operators.metrics import money_sum
     df = spark.createDataFrame([("1.25",), ("n/a",), (None,)], "x string")
     assert df.agg(money_sum("x").alias("s")).first().s == 1.25
+
+
+def test_bad_records_and_tombstones_are_skipped(spark):
+    raw = spark.createDataFrame([('{"ts":1}',), ("{x",), ("",), (None,), ("[1]",)], "value string")
+    assert [r.ts for r in logs.parse_or_skip(raw, schemas.CLICK_LOG).collect()] == [1]
+    assert sorted(r.value for r in logs.drop_tombstones(raw).collect()) == sorted(["[1]", "{x", '{"ts":1}'])
+
+
+def test_enrich_keeps_rows_without_a_match(spark):
+    from tidewater.operators import dims
+    df = spark.createDataFrame([("1",), ("2",), (None,)], "k string")
+    dim = spark.createDataFrame([("1", "a", 5), (None, "n", 6)], "id string, name string, n int")
+    out = dims.enrich(df, dim, "k", "id", {"name": "k_name"})
+    assert out.columns == ["k", "k_name"]
+    assert sorted(out.collect(), key=str) == [("1", "a"), ("2", None), (None, None)]
+
+
+def test_text_to_ms(spark):
+    from tidewater.functions.time import text_to_ms
+    df = spark.createDataFrame([("2024-01-01 00:00:01",), ("2024-01-01",), ("x",), (None,)],
+                               "t string")
+    assert [r[0] for r in df.select(text_to_ms("t")).collect()] == [T0 + 1000, T0, None, None]

@@ -65,8 +65,9 @@ def cart_add(log: DataFrame) -> DataFrame:
         d("id").alias("id"), d("user_id").alias("user_id"), d("sku_id").alias("sku_id"),
         d("cart_price").alias("cart_price"),
         F.when(F.col("type") == "insert", new).otherwise(new - old).alias("sku_num"),
-        d("create_time").alias("create_time"), d("operate_time").alias("operate_time"),
-        d("source_type").alias("source_type"), d("source_id").alias("source_id"), "ts")
+        *[d(c).alias(c) for c in ("sku_name", "is_checked", "create_time", "operate_time",
+                                  "is_ordered", "order_time", "source_type", "source_id")],
+        "ts")
 
 
 def favor_add(log: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater import schemas
 from tidewater.functions.sequence import first_per_group
 from tidewater.functions.time import first_token, text_to_ts
 from tidewater.operators.cdc import change_rows, old_value_present
@@ -18,9 +19,11 @@ from tidewater.operators.cdc import change_rows, old_value_present
 DETAIL_FIELDS = ["id", "order_id", "sku_id", "sku_name", "order_price", "sku_num",
                  "create_time", "source_type", "source_id", "split_total_amount",
                  "split_activity_amount", "split_coupon_amount"]
-ORDER_FIELDS = ["id", "total_amount", "order_status", "user_id", "province_id",
+ORDER_FIELDS = ["id", "consignee", "consignee_tel", "total_amount", "order_status", "user_id",
+                "payment_way", "out_trade_no", "trade_body", "operate_time", "expire_time",
+                "process_status", "tracking_no", "parent_order_id", "province_id",
                 "activity_reduce_amount", "coupon_reduce_amount", "original_total_amount",
-                "operate_time"]
+                "feight_fee", "feight_fee_reduce"]
 
 
 def order_lines(log: DataFrame) -> DataFrame:
@@ -59,6 +62,17 @@ def order_wide(log: DataFrame, dic: DataFrame) -> DataFrame:
     return lines.join(oi, lines["order_id"] == oi["_oid"], "inner").drop("_oid")
 
 
+def order_fact(wide: DataFrame) -> DataFrame:
+    """The order wide fact as its topic holds it (S6): the columns of
+    ``schemas.ORDER_FACT`` in order. ``pt`` is the time of the line, ``ts`` that of the
+    later of the line and its order's change."""
+    named = {"dic_name": F.col("source_type_name"),
+             "pt": F.timestamp_seconds("detail_ts"),
+             "ts": F.timestamp_seconds(F.greatest("detail_ts", "change_ts"))}
+    return wide.select(*[named.get(f.name, F.col(f.name)).alias(f.name)
+                         for f in schemas.ORDER_FACT.fields])
+
+
 def order_add(wide: DataFrame) -> DataFrame:
     """Order placed: wide rows from the order insert."""
     return wide.where(F.col("type") == "insert")

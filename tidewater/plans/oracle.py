@@ -199,6 +199,24 @@ SELECT """ + win("(ts // 1000) * 1000", 10_000) + """, 'search' AS source, word
        count(*) AS keyword_count
 FROM words GROUP BY ALL""")
 
+# All splits of a name into listed words; the fewest words win, then the longer first word.
+ORACLE["segment_names"] = """
+WITH RECURSIVE names AS (
+  SELECT p_partkey, lower(replace(p_name, ' ', '')) AS s FROM part),
+words AS (SELECT DISTINCT unnest(string_split(lower(p_name), ' ')) AS w FROM part),
+runs AS (SELECT DISTINCT s FROM names),
+splits AS (
+  SELECT s, 0 AS pos, CAST([] AS VARCHAR[]) AS ws FROM runs
+  UNION ALL
+  SELECT s, pos + length(w), list_append(ws, w)
+  FROM splits JOIN words ON starts_with(substr(s, pos + 1), w) WHERE pos < length(s)),
+best AS (
+  SELECT s, array_to_string(ws, ' ') AS words,
+         row_number() OVER (PARTITION BY s ORDER BY len(ws),
+                            list_transform(ws, lambda x: -length(x))) AS rn
+  FROM splits WHERE pos = length(s))
+SELECT p_partkey, words FROM names JOIN best USING (s) WHERE rn = 1"""
+
 ORACLE["tokenize"] = with_clog(", " + SEARCH + """
 SELECT "offset", word, count(*) AS n FROM words GROUP BY ALL""")
 
@@ -247,7 +265,8 @@ oi AS (
          CAST(total AS VARCHAR) AS total_amount, CAST(act AS VARCHAR) AS activity_reduce_amount,
          CAST(cou AS VARCHAR) AS coupon_reduce_amount,
          CASE WHEN k % 11 <> 0 THEN CAST(total + act + cou AS VARCHAR) END
-           AS original_total_amount
+           AS original_total_amount,
+         k, ots, o_orderstatus AS process_status, o_orderpriority || ' order' AS trade_body
   FROM oi0),
 pay AS (
   SELECT CAST(o_custkey AS VARCHAR) AS user_id, CAST(k AS VARCHAR) AS order_id,
@@ -294,7 +313,8 @@ WIDE = """wide AS (
          oc.coupon_use_id, oc.coupon_create_time, dic.dic_name AS source_type_name,
          oi.type, oi.change_ts, oi.order_status, oi.operate_time, oi.old_status,
          oi.has_old_status, oi.user_id, oi.province_id, oi.total_amount,
-         oi.activity_reduce_amount, oi.coupon_reduce_amount, oi.original_total_amount
+         oi.activity_reduce_amount, oi.coupon_reduce_amount, oi.original_total_amount,
+         oi.k, oi.ots, oi.process_status, oi.trade_body
   FROM od JOIN dic ON od.source_type = dic.dic_code
   LEFT JOIN oa ON od.order_detail_id = oa.order_detail_id
   LEFT JOIN oc ON od.order_detail_id = oc.order_detail_id
@@ -337,7 +357,10 @@ CART = """cart AS (
          CASE WHEN l_returnflag = 'N' THEN qty ELSE CAST(ok % 3 AS INTEGER) END AS sku_num,
          """ + fmt_s("lts") + """ AS create_time,
          CASE WHEN l_returnflag = 'A' THEN """ + fmt_s("lts + 60") + """ END AS operate_time,
-         source_type, CASE WHEN l_returnflag = 'N' THEN lts ELSE lts + 60 END AS ts
+         source_type, CASE WHEN l_returnflag = 'N' THEN lts ELSE lts + 60 END AS ts,
+         'sku ' || CAST(l_partkey AS VARCHAR) AS sku_name,
+         CAST(l_linenumber % 2 AS VARCHAR) AS is_checked, CAST(ok % 2 AS VARCHAR) AS is_ordered,
+         CASE WHEN ok % 2 = 1 THEN """ + fmt_s("lts + 30") + """ END AS order_time
   FROM lb WHERE l_returnflag = 'N' OR (l_returnflag = 'A' AND ok % 3 > 0))"""
 
 REFUNDS = """refunds AS (
@@ -369,7 +392,8 @@ SELECT order_detail_id AS id, order_id, sku_id, sku_num, source_type,
        order_create_time AS create_time, 'insert' AS type, detail_ts AS ts FROM od""")
 
 ORACLE["cart_add"] = with_cdc("""
-SELECT id, user_id, sku_id, sku_num, create_time, operate_time, source_type, ts FROM cart""")
+SELECT id, user_id, sku_id, sku_num, create_time, operate_time, source_type, ts, sku_name,
+       is_checked, is_ordered, order_time FROM cart""")
 
 ORACLE["favor_add"] = with_cdc("""
 SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS user_id,
@@ -413,6 +437,27 @@ SELECT id, province_id, operate_time, ts FROM refund_orders""")
 ORACLE["order_wide"] = with_cdc("""
 SELECT """ + WIDE_COLS + """, old_status AS old_order_status FROM wide""")
 
+ORACLE["order_fact_typed"] = with_cdc("""
+SELECT order_detail_id, order_id, sku_id, sku_name, order_price, CAST(sku_num AS INTEGER) AS sku_num,
+       order_create_time, source_type, source_id,
+       CAST(CAST(split_original_amount AS DECIMAL(33,4)) AS VARCHAR) AS split_original_amount,
+       split_total_amount, split_activity_amount, split_coupon_amount,
+       """ + fmt_s("detail_ts") + """ AS pt, 'customer ' || user_id AS consignee,
+       '1' || lpad(user_id, 10, '0') AS consignee_tel, total_amount, order_status, user_id,
+       '110' || CAST(k % 3 + 1 AS VARCHAR) AS payment_way, 'T' || order_id AS out_trade_no,
+       trade_body, operate_time, """ + fmt_s("ots + 900") + """ AS expire_time, process_status,
+       CASE WHEN k % 3 = 0 THEN 'N' || order_id END AS tracking_no,
+       CASE WHEN k % 10 = 0 THEN CAST(k - 1 AS VARCHAR) END AS parent_order_id, province_id,
+       activity_reduce_amount, coupon_reduce_amount, original_total_amount,
+       CASE WHEN k % 17 <> 0 THEN CAST(CAST(k % 13 AS DECIMAL(16,2)) AS VARCHAR) END AS feight_fee,
+       CAST(CAST(k % 3 AS DECIMAL(16,2)) AS VARCHAR) AS feight_fee_reduce, type, activity_id,
+       activity_rule_id, activity_create_time, coupon_id, coupon_use_id, coupon_create_time,
+       source_type_name AS dic_name, """ + fmt_s("greatest(detail_ts, change_ts)") + """ AS ts,
+       old_status AS old_order_status, CAST(NULL AS VARCHAR) AS bad_record,
+       CASE WHEN k % 17 = 0 THEN 'n/a' END AS bad_feight_fee,
+       CAST(k % 17 = 0 AS INTEGER) AS n_bad
+FROM wide""")
+
 ORACLE["order_add"] = with_cdc("""
 SELECT """ + WIDE_COLS + """ FROM wide WHERE type = 'insert'""")
 
@@ -451,7 +496,8 @@ FROM evc LEFT JOIN dic ON '120' || CAST(k % 5 + 1 AS VARCHAR) = dic.dic_code
 WHERE event_type = 'view' AND k % 2 = 0""")
 
 ORACLE["cart_wide"] = with_cdc("""
-SELECT id, user_id, sku_id, sku_num, source_type, dic.dic_name AS source_type_name, ts
+SELECT id, user_id, sku_id, sku_num, source_type, dic.dic_name AS source_type_name, ts,
+       sku_name, is_checked, is_ordered, order_time
 FROM cart JOIN dic ON cart.source_type = dic.dic_code""")
 
 ORACLE["lookup_join"] = with_cdc("""

@@ -172,6 +172,18 @@ def q_tokenize(spark, sf):
         F.count(F.lit(1)).alias("n"))
 
 
+@register("segment_names")
+def q_segment_names(spark, sf):
+    """Names of parts without their spaces, split again by the list of all their words."""
+    from tidewater.functions.segment import segmenter, word_list
+    from tidewater.functions.text import tokenize
+    parts = dt.table(spark, sf, "part")
+    words = word_list(parts.select(F.explode(tokenize("p_name")).alias("w")), "w")
+    cut = segmenter(spark, words, unspaced="a-z")
+    return parts.select(
+        "p_partkey", F.array_join(cut(F.translate("p_name", " ", "")), " ").alias("words"))
+
+
 # ================================================================ change log
 from tidewater.operators import cdc, dedupe, dims, trade  # noqa: E402
 
@@ -191,7 +203,7 @@ def q_change_rows(spark, sf):
 def q_cart_add(spark, sf):
     return cdc.cart_add(clog(spark, sf)).select(
         "id", "user_id", "sku_id", "sku_num", "create_time", "operate_time", "source_type",
-        "ts")
+        "ts", "sku_name", "is_checked", "is_ordered", "order_time")
 
 
 @register("favor_add")
@@ -248,6 +260,28 @@ def q_order_wide(spark, sf):
                                   .alias("old_order_status"))
 
 
+@register("order_fact_typed")
+def q_order_fact_typed(spark, sf):
+    """The order wide fact written as a JSON topic and read back with its types."""
+    from tidewater.sources import topics
+    folder = f"{_scratch(spark)}/topics/order-fact-{_uid()}"
+    topics.write_topic(trade.order_fact(wide(spark, sf)), folder)
+    rows = topics.read_fact_topic(spark, folder, schemas.ORDER_FACT, schemas.ORDER_FACT_TYPES)
+
+    def plain(name: str, kind: str):
+        c = F.col(name)
+        if kind.startswith("timestamp"):
+            return F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(name)
+        return (c if kind == "int" else c.cast("string")).alias(name)
+    kinds = {f.name: schemas.ORDER_FACT_TYPES.get(f.name, f.dataType.simpleString())
+             for f in schemas.ORDER_FACT.fields}
+    return rows.select(
+        *[plain(c, k) for c, k in kinds.items() if c != "old"],
+        F.col("old").getItem("order_status").alias("old_order_status"), "bad_record",
+        F.col("bad_values").getItem("feight_fee").alias("bad_feight_fee"),
+        F.coalesce(F.size("bad_values"), F.lit(0)).alias("n_bad"))
+
+
 @register("order_add")
 def q_order_add(spark, sf):
     return trade.order_add(wide(spark, sf)).select(*WIDE_COLS)
@@ -295,7 +329,8 @@ def q_comment_wide(spark, sf):
 @register("cart_wide")
 def q_cart_wide(spark, sf):
     return trade.cart_wide(cdc.cart_add(clog(spark, sf)), dt.dictionary(spark)).select(
-        "id", "user_id", "sku_id", "sku_num", "source_type", "source_type_name", "ts")
+        "id", "user_id", "sku_id", "sku_num", "source_type", "source_type_name", "ts",
+        "sku_name", "is_checked", "is_ordered", "order_time")
 
 
 @register("lookup_join")

@@ -73,3 +73,29 @@ DICTIONARY = T.StructType([
     T.StructField("parent_code", S),
 ])
 
+
+# Order wide fact as its topic holds it: text, but for two times and the old values.
+ORDER_FACT = T.StructType([T.StructField(n, S) for n in (
+    "order_detail_id order_id sku_id sku_name order_price sku_num order_create_time "
+    "source_type source_id split_original_amount split_total_amount split_activity_amount "
+    "split_coupon_amount").split()] + [T.StructField("pt", T.TimestampType())] + [
+    T.StructField(n, S) for n in (
+        "consignee consignee_tel total_amount order_status user_id payment_way out_trade_no "
+        "trade_body operate_time expire_time process_status tracking_no parent_order_id "
+        "province_id activity_reduce_amount coupon_reduce_amount original_total_amount "
+        "feight_fee feight_fee_reduce type").split()] + [T.StructField("old", STR_MAP)] + [
+    T.StructField(n, S) for n in (
+        "activity_id activity_rule_id activity_create_time coupon_id coupon_use_id "
+        "coupon_create_time dic_name").split()] + [T.StructField("ts", T.TimestampType())])
+
+# What the text columns of the order wide fact stand for.
+ORDER_FACT_TYPES = {
+    **{n: "decimal(16,2)" for n in (
+        "order_price split_total_amount split_activity_amount split_coupon_amount total_amount "
+        "activity_reduce_amount coupon_reduce_amount original_total_amount feight_fee "
+        "feight_fee_reduce").split()},
+    "split_original_amount": "decimal(33,4)", "sku_num": "int",
+    **{n: "timestamp" for n in (
+        "order_create_time operate_time expire_time activity_create_time "
+        "coupon_create_time").split()},
+}

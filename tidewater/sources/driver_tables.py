@@ -156,7 +156,10 @@ def attach_search_items(page_rows: DataFrame, spark: SparkSession, sf_dir: str)
 #
 # * order_info insert (status 1001) for every order: user = o_custkey, province =
 #   o_custkey % 25, activity reduce = o_orderkey % 7, coupon reduce = o_orderkey % 5,
-#   original total = total + both (absent when o_orderkey % 11 = 0)
+#   original total = total + both (absent when o_orderkey % 11 = 0); consignee by o_custkey,
+#   payment way '110' || (1 + o_orderkey % 3), expires after 900 s, tracking number when
+#   o_orderkey % 3 = 0, parent o_orderkey - 1 when % 10 = 0, freight % 13 ('n/a' when % 17 = 0)
+#   less % 3
 # * 'F' orders: update to 1003 one hour later; old = {order_status: '1001'}, or
 #   {order_status: null} when o_orderkey % 5 = 0
 # * 'P' orders: update to 1005 two hours later; old = {order_status: '1004'}, or
@@ -169,7 +172,8 @@ def attach_search_items(page_rows: DataFrame, spark: SparkSession, sf_dir: str)
 #   * 100), coupon amount = round(tax * 100), total = price - both
 # * order_detail_activity when l_discount >= 0.05; order_detail_coupon when l_tax >= 0.05
 # * cart_info per line (user = l_suppkey): 'N' insert; 'A' update one minute later with
-#   old sku_num = quantity - l_orderkey % 3; 'R' update with old = {is_checked: '0'}
+#   old sku_num = quantity - l_orderkey % 3; 'R' update with old = {is_checked: '0'};
+#   is_checked = line no % 2, is_ordered = l_orderkey % 2 (order time 30 s later)
 # * order_refund_info insert per 'R' line: user = l_suppkey, type 1501 + line no % 2,
 #   reason 1301 + l_orderkey % 4
 # * user_info insert per customer at 2024-01-01 + (c_custkey * 7919) % 30 days
@@ -249,7 +253,18 @@ def _order_parts(spark, sf_dir) -> list[DataFrame]:
     base = dict(id=key, user_id=F.col("o_custkey"), province_id=F.col("o_custkey") % 25,
                 total_amount=total, activity_reduce_amount=act, coupon_reduce_amount=cou,
                 original_total_amount=F.when(key % 11 != 0, total + act + cou),
-                create_time=_fmt_s(ots))
+                create_time=_fmt_s(ots),
+                consignee=F.concat(F.lit("customer "), F.col("o_custkey").cast("string")),
+                consignee_tel=F.concat(F.lit("1"), F.lpad(F.col("o_custkey").cast("string"),
+                                                          10, "0")),
+                payment_way=F.concat(F.lit("110"), (key % 3 + 1).cast("string")),
+                out_trade_no=F.concat(F.lit("T"), key.cast("string")),
+                trade_body=F.concat(F.col("o_orderpriority"), F.lit(" order")),
+                expire_time=_fmt_s(ots + 900), process_status=F.col("o_orderstatus"),
+                tracking_no=F.when(key % 3 == 0, F.concat(F.lit("N"), key.cast("string"))),
+                parent_order_id=F.when(key % 10 == 0, key - 1),
+                feight_fee=F.when(key % 17 == 0, "n/a").otherwise(_dec(key % 13).cast("string")),
+                feight_fee_reduce=_dec(key % 3))
     ins = _envelope(o, "order_info", "insert", ots, _map(**base, order_status=F.lit("1001")))
     f = o.where(F.col("o_orderstatus") == "F")
     cancel = _envelope(
@@ -306,7 +321,10 @@ def _line_parts(spark, sf_dir) -> list[DataFrame]:
     flag = F.col("l_returnflag")
     cart_data = dict(id=detail_id, user_id=F.col("l_suppkey"), sku_id=F.col("l_partkey"),
                      cart_price=price, sku_num=qty, create_time=_fmt_s(lts),
-                     source_type=source_type, source_id=F.col("l_suppkey"))
+                     source_type=source_type, source_id=F.col("l_suppkey"),
+                     sku_name=F.concat(F.lit("sku "), F.col("l_partkey").cast("string")),
+                     is_checked=F.col("l_linenumber") % 2, is_ordered=okey % 2,
+                     order_time=F.when(okey % 2 == 1, _fmt_s(lts + 30)))
     cart_ins = _envelope(li.where(flag == "N"), "cart_info", "insert", lts, _map(**cart_data))
     cart_upd = _envelope(
         li.where(flag.isin("A", "R")), "cart_info", "update", lts + 60,
