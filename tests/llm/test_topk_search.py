@@ -52,3 +52,27 @@ def test_few_rows_and_empty(spark):
     none = df.where("false")
     assert topk_search.search(none, none).collect() == []
     assert topk_search.search(df, none).collect() == []
+
+
+@pytest.mark.parametrize("rows", [
+    [(0, [256.0]), (1, [1e6]), (2, [9e5]), (3, [-1e6])],
+    [(0, [2.0 ** 20, 1.0]), (1, [2.0 ** 21, 3.0]), (2, [2.0 ** 21, 2.0]), (3, [-2.0 ** 21, 0.0])],
+    # products beyond 64 bits that cancel out
+    [(0, [2.0 ** 40, 2.0 ** 40, 1.0]), (1, [2.0 ** 40, -2.0 ** 40, 5.0]),
+     (2, [-2.0 ** 40, 2.0 ** 40, 7.0]), (3, [0.0, 0.0, 6.0])]])
+def test_components_of_any_size(spark, rows):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk_search.search(df, df.where("vec_id = 0"), 3).collect()
+    whole = [(i, [int(256 * x) for x in v]) for i, v in rows]
+    want = sorted((-sum(a * b for a, b in zip(whole[0][1], v, strict=True)), i)
+                  for i, v in whole[1:])
+    assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [
+        (i, -s) for s, i in want]
+
+
+def test_scores_beyond_64_bits_are_held_there(spark):
+    rows = [(0, [2.0 ** 60]), (1, [2.0 ** 60]), (2, [1e308]), (3, [-2.0 ** 60]), (4, [0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk_search.search(df, df.where("vec_id = 0")).orderBy("rank").collect()
+    top = (1 << 63) - 1
+    assert [(r.vec_id, r.score) for r in got] == [(1, top), (2, top), (4, 0), (3, -top - 1)]

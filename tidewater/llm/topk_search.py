@@ -13,8 +13,8 @@ Blocks are dealt to shards of at most SHARD_ROWS rows that a task holds while th
 queries pass by; each shard gives k rows a query, and the shards are merged.
 
 Defined cases: vectors that are null or hold null or non-finite components take no part, nor
-do rows with a null vec_id; missing trailing components count as 0; components are held to
-+-2**27; a repeated query id is one query (the least vector); the rows of a query's own id
+do rows with a null vec_id; missing trailing components count as 0; components and scores are
+exact up to 63 bits and held there beyond; a repeated query id is one query (the least vector); the rows of a query's own id
 are no candidates; repeated candidates are each returned; empty tables give empty results.
 """
 
@@ -33,7 +33,8 @@ from tidewater.session import materialize
 BLOCK_ROWS = 2048
 QUERY_ROWS = 512
 SHARD_ROWS = 1 << 16
-_MOST = 1 << 27
+_MOST = float((1 << 63) - 1024)  # the largest double that a long holds
+_LEAST, _GREATEST = -(1 << 63), (1 << 63) - 1
 _STEP = 8  # dimensions probed between two looks at the threshold
 
 
@@ -44,15 +45,18 @@ def _usable(vec: Column) -> Column:
 
 
 def _blocks(rows: DataFrame, most: int) -> DataFrame:
-    """Blocks of at most ``most`` rows: n, dims, ids (int64), data (int32, by dimension)."""
+    """Blocks of at most ``most`` rows: n, dims, ids (int64), data (int32, int64 where a value
+    needs it, by dimension)."""
 
     def pack(ids: np.ndarray, mats: list[np.ndarray]) -> pa.RecordBatch:
         dims = max((m.shape[1] for m in mats), default=0)
         full = np.concatenate([np.pad(m, ((0, 0), (0, dims - m.shape[1]))) for m in mats])
+        kind = "<i4" if np.abs(full).max(initial=0) < 1 << 31 else "<i8"
+        full = np.ascontiguousarray(full.T.clip(-_MOST, _MOST).astype(kind))
         return pa.RecordBatch.from_arrays(
             [pa.array([len(ids)], pa.int32()), pa.array([dims], pa.int32()),
              pa.array([ids.astype("<i8").tobytes()], pa.binary()),
-             pa.array([np.ascontiguousarray(full.T).astype("<i4").tobytes()], pa.binary())],
+             pa.array([full.tobytes()], pa.binary())],
             ["n", "dims", "ids", "data"])
 
     def matrix(col: pa.ListArray) -> np.ndarray:
@@ -81,34 +85,48 @@ def _blocks(rows: DataFrame, most: int) -> DataFrame:
         run, "n int, dims int, ids binary, data binary")
 
 
+def _postings(ids: np.ndarray, data: bytes, dims: int) -> np.ndarray:
+    wide = len(data) == 8 * dims * len(ids)
+    return np.frombuffer(data, "<i8" if wide else "<i4").reshape(dims, len(ids))
+
+
 class Block:
     """Postings of some rows, by dimension, with their bounds."""
 
     def __init__(self, ids: bytes, data: bytes, dims: int):
         self.ids = np.frombuffer(ids, "<i8")
-        self.post = np.frombuffer(data, "<i4").reshape(dims, len(self.ids)).astype(np.float64)
+        self.post = _postings(self.ids, data, dims)
+        if self.post.dtype.itemsize == 4:
+            self.post = self.post.astype(np.float64)
         self.low = self.post.min(axis=1) if dims else np.zeros(0)
         self.high = self.post.max(axis=1) if dims else np.zeros(0)
         self.top = float(np.abs(self.post).max(initial=0))
 
     def search(self, q: np.ndarray, own: int, k: int, best: list[tuple[int, int]]):
         """``best``: up to k (-score, id) in order; the same with this block's rows."""
-        q = q[:len(self.post)].astype(np.float64)
-        post = self.post[:len(q)]
-        exact = self.top * float(np.abs(q).max(initial=0)) * max(len(q), 1) < 2.0 ** 53
-        if not exact:  # beyond what doubles hold
-            q, post = q.astype(np.int64), post.astype(np.int64)
-        a, b = q * self.low[:len(q)].astype(q.dtype), q * self.high[:len(q)].astype(q.dtype)
+        q = q[:len(self.post)]
+        largest = self.top * float(np.abs(q).max(initial=0)) * max(len(q), 1)
+        # Doubles, longs or whole numbers of any size: what holds every sum.
+        kind = np.float64 if largest < 2.0 ** 53 else np.int64 if largest < 2.0 ** 62 else object
+
+        def exact(values: np.ndarray) -> np.ndarray:  # doubles hold whole numbers here
+            return values.astype(np.int64).astype(object) if kind is object \
+                else values.astype(kind)
+        q, post = exact(q), self.post[:len(q)]
+        post = post if post.dtype == kind else exact(post)
+        a, b = q * exact(self.low[:len(q)]), q * exact(self.high[:len(q)])
         least, most = np.minimum(a, b), np.maximum(a, b)
         threshold = -best[-1][0] if len(best) == k else None
+        if threshold == _LEAST:  # worse scores are held to it
+            threshold = None
         if threshold is not None and most.sum() < threshold:
             return best
         order = np.argsort(least - most, kind="stable")  # widest bounds first
-        rest = np.concatenate([np.cumsum(most[order][::-1])[::-1], [most.dtype.type(0)]])
+        rest = np.concatenate([np.cumsum(most[order][::-1])[::-1], np.zeros(1, kind)])
         if threshold is None:
             essential = len(order)
         else:
-            short = np.concatenate([[least.dtype.type(0)], np.cumsum(least[order])]) + rest
+            short = np.concatenate([np.zeros(1, kind), np.cumsum(least[order])]) + rest
             essential = int(np.argmax(short < threshold)) if (short < threshold).any() \
                 else len(order)
         first = order[:essential]
@@ -127,11 +145,11 @@ class Block:
         keep = ids != own
         if threshold is not None:
             keep &= score >= threshold
-        ids, score = ids[keep], score[keep].astype(np.int64)
+        ids, score = ids[keep], score[keep].clip(_LEAST, _GREATEST).astype(np.int64)
         if len(ids) > 4 * k:  # all at least as good as the k-th score
-            cut = -np.partition(-score, k - 1)[k - 1]
+            cut = np.partition(score, len(score) - k)[-k]
             ids, score = ids[score >= cut], score[score >= cut]
-        pick = np.lexsort((ids, -score))[:k]
+        pick = np.lexsort((ids, ~score))[:k]  # ~ has no overflow
         return sorted([*best, *((-int(score[i]), int(ids[i])) for i in pick)])[:k]
 
 
@@ -142,9 +160,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
     spark = start(vectors)
 
     def prepared(df: DataFrame) -> DataFrame:
-        vec = F.transform(column, lambda x: F.greatest(F.least(
-            F.floor(F.lit(float(scale)) * x.cast("double")).cast("double"),
-            F.lit(float(_MOST))), F.lit(float(-_MOST))))
+        vec = F.transform(column, lambda x: F.floor(
+            F.lit(float(scale)) * x.cast("double")).cast("double"))
         return (df.where(F.col("vec_id").isNotNull() & _usable(F.col(column)))
                 .select(F.col("vec_id").cast("long").alias("vec_id"), vec.alias("vec")))
 
@@ -170,7 +187,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
                     blocks.append(Block(r["ids"], r["data"], r["dims"]))
                     continue
                 ids = np.frombuffer(r["ids"], "<i8")
-                mat = np.frombuffer(r["data"], "<i4").reshape(r["dims"], len(ids)).T
+                mat = _postings(ids, r["data"], r["dims"]).T
                 out = []
                 for own, q in zip(ids.tolist(), mat, strict=True):
                     best: list[tuple[int, int]] = []
