@@ -190,23 +190,45 @@ def _all_segments(docs: DataFrame, length: int, unit: Unit) -> DataFrame:
 
 # ---- the index ------------------------------------------------------------------------
 
-def suffix_ranks(text: np.ndarray) -> list[np.ndarray]:
-    """Ranks of all suffixes by their first 1, 2, 4 ... symbols, until all differ."""
+def suffix_ranks(text: np.ndarray) -> tuple[int, list[np.ndarray], np.ndarray]:
+    """How many symbols the first ranks see, the ranks of all suffixes by that many symbols,
+    twice, four times ... as many, until all differ, and the suffixes in order. A rank is the
+    first place of its equals. Symbols must be small whole numbers, not negative.
+
+    The first sort takes as many symbols as a 63-bit key holds; each later round sorts only
+    suffixes that still have equals, by their rank and that of what follows."""
     n = len(text)
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    out, step = [rank], 1
-    while rank.max() + 1 < n:
+    base = int(text.max(initial=0)) + 2
+    wide = 1
+    while base ** (2 * wide) < 1 << 63 and wide < n:
+        wide *= 2
+    key = text.astype(np.int64) + 1
+    done = 1
+    while done < wide:  # beyond the end: 0
         after = np.zeros(n, np.int64)
-        after[:n - step] = rank[step:] + 1
-        key = rank * (n + 1) + after
-        order = np.argsort(key)
-        new = np.zeros(n, np.int64)
-        new[1:] = np.cumsum(key[order[1:]] != key[order[:-1]])
-        rank = np.empty(n, np.int64)
-        rank[order] = new
+        after[:n - done] = key[done:]
+        key = key * base ** done + after
+        done *= 2
+    order = np.argsort(key)
+    new = np.r_[True, np.diff(key[order]) != 0]
+    at = np.arange(n, dtype=np.int32)
+    rank = np.empty(n, np.int32)
+    rank[order] = np.maximum.accumulate(np.where(new, at, 0))
+    out, step = [rank], wide
+    while not new.all():
+        places = np.flatnonzero(~(new & np.r_[new[1:], True]))  # those with equals
+        own = order[places]
+        after = own + step
+        follow = np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        key = rank[own].astype(np.int64) * (n + 1) + follow
+        by = np.argsort(key)
+        order[places] = own = own[by]
+        new[places] = np.r_[True, np.diff(key[by]) != 0]
+        rank = rank.copy()
+        rank[own] = np.maximum.accumulate(np.where(new, at, 0))[places]
         out.append(rank)
         step *= 2
-    return out
+    return wide, out, order
 
 
 class RunIndex:
@@ -216,27 +238,29 @@ class RunIndex:
 
     def __init__(self, text: np.ndarray):
         self.size = len(text)
-        ranks = suffix_ranks(text)
-        array = np.empty(self.size, np.int64)
-        array[ranks[-1]] = np.arange(self.size)
+        wide, ranks, array = suffix_ranks(text)
         bwt = text[array - 1]
         head = np.flatnonzero(np.r_[True, bwt[1:] != bwt[:-1]])
         tail = np.r_[head[1:], self.size] - 1
         self.symbols, self.lengths = bwt[head], tail - head + 1
-        self.above = array[head], self._common(ranks, array[head], array[head - 1])
+        self.above = array[head], self._common(text, wide, ranks, array[head], array[head - 1])
         self.above[1][0] = 0
         below = np.minimum(tail + 1, self.size - 1)
-        self.below = array[tail], self._common(ranks, array[tail], array[below])
+        self.below = array[tail], self._common(text, wide, ranks, array[tail], array[below])
         self.below[1][-1] = 0
 
-    def _common(self, ranks: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Length of the common prefix of suffixes a and b, from the ranks by powers of 2."""
+    def _common(self, text: np.ndarray, wide: int, ranks: list[np.ndarray], a: np.ndarray,
+                b: np.ndarray) -> np.ndarray:
+        """Length of the common prefix of suffixes a and b: from the ranks by doubled lengths,
+        and what is shorter than the least of these by symbols."""
         a, b, out = a.copy(), b.copy(), np.zeros(len(a), np.int64)
-        for k in range(len(ranks) - 1, -1, -1):
+        steps = [(r, wide << k) for k, r in enumerate(ranks)][::-1]
+        steps += [(text, 1)] * (wide - 1)
+        for values, size in steps:
             ok = (a < self.size) & (b < self.size)
             same = np.zeros(len(a), bool)
-            same[ok] = ranks[k][a[ok]] == ranks[k][b[ok]]
-            step = same * (1 << k)
+            same[ok] = values[a[ok]] == values[b[ok]]
+            step = same * size
             out += step
             a += step
             b += step
@@ -250,9 +274,10 @@ class RunIndex:
         for at, common in (self.above, self.below):
             order = np.argsort(at)
             at, common = at[order], common[order]
-            k = np.searchsorted(at, np.arange(self.size), "right") - 1
-            value = common[np.maximum(k, 0)] - (np.arange(self.size) - at[np.maximum(k, 0)])
-            out = np.maximum(out, np.where(k >= 0, value, 0))
+            first = int(at[0])  # no sample lies before it
+            k = np.cumsum(np.bincount(at, minlength=self.size)[first:]) - 1
+            value = common[k] + at[k] - np.arange(first, self.size)
+            out[first:] = np.maximum(out[first:], value)
         return out
 
 
