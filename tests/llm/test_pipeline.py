@@ -1,4 +1,5 @@
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -68,3 +69,30 @@ def test_passages_of_51_words_are_cut_whatever_their_bytes(spark):
         assert r.text.split() == (f"{words(f'a{k}x', 70)} {words(f'b{k}x', 40)} {short} "
                                   f"{words(f'c{k}x', 9)} z{k}").split()
         assert r.n_chars == len(r.text)
+
+
+CLASHES = ["score", "rejected", "lang_pred", "cross_entropy", "_ce", "_size", "th", "_th", "_id",
+           "_kth", "spans", "word_spans", "root", "n", "grp", "gid", "k", "h", "_rank", "length",
+           "piece", "there", "_row", "c0", "a.b"]
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_extra_columns_of_the_stages_own_names(spark, name, stage):
+    """Columns of the caller keep their values, whatever their names; results do not change."""
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(60 + i)), "en", "s", 1) for i in range(6)]
+    rows += [(7, rows[0][1], None, "s", 1), (8, None, "en", "s", 1), (9, "", "en", "s", 1)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, "
+                                        "n_chars long")
+    extra = plain.select("*", *[(F.col("doc_id") + i / 100).alias(c)
+                                for i, c in enumerate(CLASHES)])
+    want = stage(spark, plain, SF)
+    got = stage(spark, extra, SF)
+    if name == "best_fit_packing":
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        return
+    assert got.columns == extra.columns
+    kept = got.collect()
+    assert sorted(map(str, want.collect())) == sorted(
+        str(r) for r in spark.createDataFrame([tuple(r)[:5] for r in kept], want.schema).collect())
+    for r in kept:
+        assert list(r[5:]) == [r.doc_id + i / 100 for i in range(len(CLASHES))]

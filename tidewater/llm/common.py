@@ -36,6 +36,24 @@ def eq(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
     return cond
 
 
+_ROW = "_row"
+
+
+def packed(df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """The columns ``keep`` and all others, by number, in one column, so that an operator's own
+    columns cannot clash with those of the caller. ``unpacked`` undoes it."""
+    rest = [c for c in df.columns if c not in keep]
+    return df.select(*keep, F.struct(F.lit(True).alias("there"), *[
+        F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)]).alias(_ROW))
+
+
+def unpacked(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """``columns`` as they were before ``packed``; those of ``keep`` as they are now."""
+    place = {c: i for i, c in enumerate(c for c in columns if c not in keep)}
+    return df.select(*[F.col(_ROW)[f"c{place[c]}"].alias(c) if c in place else F.col(c)
+                       for c in columns])
+
+
 def group_rank(df: DataFrame, groups: Sequence[str], order: Sequence[str], name: str,
                parts: int = SPREAD) -> DataFrame:
     """Adds ``name``: 0, 1, 2 ... within ``groups`` (not null), without one task holding a
