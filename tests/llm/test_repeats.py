@@ -97,3 +97,21 @@ def test_runs_of_words_against_brute_force(spark, group):
     got = repeats.without_repeats(df, 100_000, group, words=n).collect()
     assert sorted(((r.doc_id, (r.text or "").split()) for r in got), key=str) \
         == sorted(want, key=str)
+
+
+def test_strings_made_to_share_sums_differ(spark):
+    """(x^32 - 1)^8 (x^64 - 1) is 0 modulo 2^64 for every odd x, so the two strings agree in
+    every sum of their bytes times powers."""
+    d = np.array([1])
+    for n in [32] * 8 + [64]:
+        d = np.convolve(d, np.r_[-1, np.zeros(n - 1, int), 1])
+    a, b = ("".join(chr(60 + x) for x in np.maximum(v, 0)) for v in (d, -d))
+    rng = random.Random(3)
+    p, q = ("".join(rng.choice("abcdef ") for _ in range(300)) for _ in range(2))
+    rows = [(1, p + a + q), (2, p + b + q), (3, a + " " + q), (4, b + "/" + q)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for group in (1, 512):
+        got = [tuple(r) for r in repeats.report(df, 400, group).collect()]
+        assert sorted(got, key=str) == brute(rows, 400)
+    words = [repeats._word_data(f"{w} x {w[:9]}") for w in (a, b)]
+    assert words[0][:8] != words[1][:8] and words[0][8:16] == words[1][8:16]
