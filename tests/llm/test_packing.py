@@ -111,3 +111,18 @@ def test_exchange_of_the_smallest_for_two():
     plan = packing.plan_bins(np.bincount([6, 3, 2, 2], minlength=11), 10)
     seq = {(int(r[0]), int(r[1])): int(r[2]) for r in plan}
     assert seq[6, 0] == seq[2, 0] == seq[2, 1] != seq[3, 0]
+
+
+def test_marks_behind_letters_do_not_make_new_words(monkeypatch):
+    enc, tok = packing._Encoder(PATH), Tokenizer.from_file(PATH)
+    rng = random.Random(3)
+    marks = "!\"#$%&()*+,-./:;=?@[\\]^`{}~'<|>_1"
+    words = ["stre", "Été", "İ", "don't", "x's", "<|endoftext|>", "中", "ǰ"]
+    texts = [" ".join(rng.choice(words) + "".join(rng.choices(marks, k=rng.randrange(4)))
+                      for _ in range(200)) for _ in range(40)]
+    want = tok.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(g, "<u4").tolist() for g in enc.texts(texts)] == [w.ids for w in want]
+    alone, encode = [], enc._encode
+    monkeypatch.setattr(enc, "_encode", lambda texts: alone.extend(texts) or encode(texts))
+    enc.texts(["brand*** newly&&& coined.!! wörds%%%"])
+    assert not any(c.isalpha() for t in alone for c in t)

@@ -33,6 +33,9 @@ _ENTRY = 160  # bytes that a kept word takes besides its letters
 CHUNK_BYTES = 1 << 20  # text that a worker encodes at once
 # White space of str.split() that the tokenizer's \s does not hold.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
+# Marks that part from the letters before them: no apostrophe, which may begin "'s", and none
+# that the names of special tokens hold.
+_TAIL = "!\"#$%&()*+,-./:;=?@[\\]^`{}~"
 _STATE: dict = {}
 
 
@@ -85,21 +88,24 @@ class _Encoder:
             self.seen, self.held = {}, 0
         seen = self.seen
         new = [w for w in need if w not in seen]
-        # "Word," is "word" and ",": letters and a comma or full stop always part.
-        core = {}
+        # "Word," is "word" and ",": letters and a run of marks behind them always part.
+        core, tails = {}, {}
         for w in new:
-            c = w
-            if w[-1] in ",." and w[:-1].isalpha() and _letters_alone(w[:-1]):
-                c = w[:-1]
+            c = w.rstrip(_TAIL)
+            if len(c) < len(w):
+                if c.isalpha() and _letters_alone(c):
+                    tails[w] = w[len(c):]
+                else:
+                    c = w
             core[w] = c.lower() if c.isascii() else c
-        todo = {*core.values(), ",", "."}.difference(seen)
+        todo = {*core.values(), *tails.values()}.difference(seen)
         plain = [c for c in todo if c.isalpha() and (c.isascii() or _letters_alone(c))]
         other = list(todo.difference(plain))
         seen.update(zip(plain, self._letters(plain), strict=True))
         seen.update(zip(other, self._encode(other), strict=True))
         for w, c in core.items():
-            if len(c) < len(w):
-                seen[w] = seen[c] + seen[w[-1]]
+            if w in tails:
+                seen[w] = seen[c] + seen[tails[w]]
             elif c != w:
                 seen[w] = seen[c]
         self.held += sum(map(len, core)) * 2 + len(core) * _ENTRY
