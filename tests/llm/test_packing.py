@@ -126,3 +126,13 @@ def test_marks_behind_letters_do_not_make_new_words(monkeypatch):
     monkeypatch.setattr(enc, "_encode", lambda texts: alone.extend(texts) or encode(texts))
     enc.texts(["brand*** newly&&& coined.!! wörds%%%"])
     assert not any(c.isalpha() for t in alone for c in t)
+
+
+def test_token_ids_do_not_pass_through_python_when_packed(spark):
+    rows = [(i, 0, 1 + i % 7, bytes(4)) for i in range(300)]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, length long, ids binary")
+    got = packing.pack(pieces, 10)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "InArrow" not in plan and "Python" not in plan
+    places = {(r.sequence_id, r.offset + i) for r in got.collect() for i in range(r.length)}
+    assert len(places) == sum(r[2] for r in rows)

@@ -220,24 +220,24 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     for n, k in pieces.groupBy("length").agg(F.count(F.lit(1))).collect():
         counts[n] = k
     plan = plan_bins(counts, capacity)
-    keys = (plan[:, 0] << 44) | plan[:, 1]
+    # The places of each length, at most ``capacity`` rows. Token ids stay in the JVM: a batch
+    # of whole pieces takes 8 KB a row on its way to Python and back.
+    cut = np.r_[0, np.cumsum(np.bincount(plan[:, 0], minlength=capacity + 1))]
+    spark = pieces.sparkSession
+    places = spark.createDataFrame(pa.table({
+        "_length": pa.array(np.arange(1, capacity + 1), pa.int64()),
+        **{name: pa.ListArray.from_arrays(pa.array(cut[1:], pa.int32()),
+                                          pa.array(plan[:, col], pa.int64()))
+           for name, col in (("_first", 1), ("_seq", 2), ("_offset", 3))}}))
     ranked = group_rank(pieces, ["length"], ["doc_id", "piece", *[
         c for c in ("start", "ids_crc32") if c in pieces.columns]], "_rank")
-    fields = [f for f in ranked.schema.fields if f.name != "_rank"]
-    schema = (", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-              + ", sequence_id long, offset long")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n = b.column("length").to_numpy(zero_copy_only=False).astype(np.int64)
-            r = b.column("_rank").to_numpy(zero_copy_only=False).astype(np.int64)
-            at = np.searchsorted(keys, (n << 44) | r, "right") - 1
-            b = b.select([f.name for f in fields])
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(plan[at, 2] + r - plan[at, 1]), pa.array(plan[at, 3])],
-                [*b.schema.names, "sequence_id", "offset"])
-
-    return ranked.mapInArrow(run, schema)
+    # The last place whose first rank is not beyond the piece's; ranks of a length start at 0.
+    at = F.size(F.filter("_first", lambda x: x <= F.col("_rank"))) - 1
+    return (ranked.join(F.broadcast(places), F.col("length") == F.col("_length"))
+            .withColumn("_at", at)
+            .select(*pieces.columns, (F.get("_seq", F.col("_at")) + F.col("_rank")
+                                      - F.get("_first", F.col("_at"))).alias("sequence_id"),
+                    F.get("_offset", F.col("_at")).alias("offset")))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048,
