@@ -1,6 +1,8 @@
 import re
 from html import unescape
 
+from pyspark.sql import functions as F
+
 from tidewater.llm import extraction
 from tidewater.llm.queries import QUERIES
 
@@ -134,3 +136,28 @@ def test_long_comments_beside_an_article_still_go():
     p = (f"<body><div class=nav>Menu</div><article><p>short text</p></article>"
          f"<div class=comments><p>{'chat ' * 300}</p></div></body>")
     assert extraction.main_text(p) == "short text"
+
+
+def test_every_layout_is_aligned_with_a_page_that_differs(spark):
+    rows = [(k, f"http://h.example/{k}", f"<div class=a><p>top</p><p>{'text ' * (k + 1)}</p></div>")
+            for k in range(5)]
+    rows += [(9, "http://h.example/9", "<div class=b><p>other layout</p></div>"),
+             (10, "http://alone.example/", "<div class=a><p>x</p></div>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    d = (df.withColumn("host", extraction.host(F.col("url")))
+         .withColumn("h", F.xxhash64("host", "html")).withColumn("part", F.lit(0)))
+    laid = d.select("host", "h", "part", "html").mapInArrow(
+        extraction._laid_out, "host string, h long, part int, layout long, body long, size long")
+    got = {(r.host, r.pages, r.alike): (r.html, r.other)
+           for r in extraction._compared(d, laid).collect()}
+    assert got == {("h.example", 5, True): (rows[4][2], rows[0][2]),
+                   ("h.example", 6, False): (rows[5][2], rows[4][2]),
+                   ("alone.example", 1, True): (rows[6][2], None)}
+
+
+def test_a_line_repeated_in_the_text_is_no_template_beyond_its_place():
+    pages = [f"<div class=side>{'side ' * 9}{k}</div><div class=body><p>title {k}</p>"
+             + "<p>Yes indeed.</p>" * (40 if k == 0 else 1) + "</div>" for k in range(5)]
+    units = [{key for _, key in extraction.units(extraction.parse(p), "h")} for p in pages]
+    keys = frozenset(set.intersection(*units))
+    assert extraction.induce([pages[0], pages[1]], "h", keys, 5, True)["path"] == ["div.body"]

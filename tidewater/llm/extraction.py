@@ -5,10 +5,11 @@ form a layout. Over all different pages - equal ones count once - the blocks of
 counted by their place: what is on every page of a layout, or of the host, is template; what
 varies is content. The wrapper of a layout is the path of the content region - where
 descending from the root of one of its pages the varying text stays together - and the
-template blocks inside it. A layout with one page alone is aligned with the page of another
-layout of its host by simple tree matching (the largest order-keeping match of equal nodes,
-found by dynamic programming over the children of matched nodes), and what is the same on
-both is template. Applied to every page of the layout, the wrapper yields the blocks of the
+template blocks inside it. For that a page of each layout is aligned with another one of it,
+or, where it is alone, with the page of another layout of its host, by simple tree matching
+(the largest order-keeping match of equal nodes, found by dynamic programming over the
+children of matched nodes), and what is the same on both, and on all other pages of the
+layout, is template. Applied to every page of the layout, the wrapper yields the blocks of the
 region without menus, notices, adverts, forms, reader comments and the like, which are known
 by their elements, roles and class names.
 
@@ -312,10 +313,12 @@ def layout(tree: Node, owner: str) -> int:
 
 
 def induce(pages: list[str], owner: str = "", keys: frozenset[int] = frozenset(),
-           n: int = 0) -> dict:
+           n: int = 0, alike: bool = False) -> dict:
     """Wrapper for the first of some pages: the path (labels from the root) of the content
     region and the template blocks inside it. Template is what is the same on all ``pages``,
-    and the units ``keys``, which ``n`` different pages are known to share."""
+    and the units ``keys``, which ``n`` different pages are known to share. Where all are
+    ``alike`` (of one layout), alignment says which nodes correspond and the units whether all
+    pages have them: template is both."""
     trees, seen = [], set()
     for p in pages:
         t = parse(p)
@@ -334,6 +337,8 @@ def induce(pages: list[str], owner: str = "", keys: frozenset[int] = frozenset()
                 times[id(a)] = times.get(id(a), 0) + 1
     aligned = {a for a, c in times.items() if c == len(trees) - 1}
     shared = {id(a) for a, key in units(first, owner) if key in keys} if keys else set()
+    if alike and len(trees) > 1:
+        aligned = shared = aligned & shared
     same = aligned | shared
     sure = (aligned if len(trees) >= _SURE else set()) | (shared if n >= _SURE else set())
 
@@ -451,27 +456,37 @@ def _induced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for r in b.to_pylist():
             pages = [r["html"]] + ([r["other"]] if r["other"] is not None else [])
-            out.append(json.dumps(induce(pages, r["host"], frozenset(r["keys"]), r["pages"])))
+            out.append(json.dumps(induce(pages, r["host"], frozenset(r["keys"]), r["pages"],
+                                         r["alike"])))
         yield pa.RecordBatch.from_arrays([b.column("layout"), pa.array(out, pa.string())],
                                          ["layout", "wrapper"])
 
 
-def _wrappers(d: DataFrame, laid: DataFrame) -> DataFrame:
-    """layout and wrapper of every layout. ``laid``: host, h, part, layout, body, size of
-    every page."""
+def _compared(d: DataFrame, laid: DataFrame) -> DataFrame:
+    """What the wrapper of every layout is made of: host, layout, html of a page, html of the
+    other page that it is aligned with (null if its host has no other), keys of the units that
+    all pages share, how many pages those are, and alike: whether they are of this layout."""
     once = laid.groupBy("host", "layout", "body").agg(
         F.min("h").alias("h"), F.max("size").alias("size"))
     per = materialize(once.groupBy("host", "layout").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.struct("size", "body", "h")).alias("r"))
-        .select("host", "layout", "n", F.col("r.h").alias("h")), "layouts")
+        F.count(F.lit(1)).alias("n"), F.max(F.struct("size", "body", "h")).alias("r"),
+        F.min(F.struct("size", "body", "h")).alias("s"))
+        .select("host", "layout", "n", F.col("r.h").alias("h"), F.col("s.h").alias("h2")),
+        "layouts")
     hosts = per.groupBy("host").agg(
         F.sum("n").alias("total"), F.max(F.struct("n", "layout")).alias("most"),
         F.min(F.struct("n", "layout")).alias("least"))
-    # One page of each layout; copies of it meet within their tasks first.
-    pages = (maybe_wanted(d.select("host", "h", "html"), wanted_filter(per, "h"), "h")
+    # The largest page of each layout and, of two different ones or more, the smallest, with which
+    # it is aligned; copies of them meet within their tasks first.
+    roles = (per.select("host", "layout", "n", "h", F.lit(False).alias("second"))
+             .unionByName(per.where("n > 1").select(
+                 "host", "layout", "n", F.col("h2").alias("h"), F.lit(True).alias("second"))))
+    pages = (maybe_wanted(d.select("host", "h", "html"), wanted_filter(roles, "h"), "h")
              .groupBy("host", "h").agg(F.min("html").alias("html")))
-    pages = materialize(pages.join(per, ["host", "h"]).select("host", "layout", "n", "html"),
-                        "layout-pages")
+    pages = materialize(pages.join(roles, ["host", "h"])
+                        .select("host", "layout", "n", "html", "second"), "layout-pages")
+    second = pages.where("second").select("layout", F.col("html").alias("other"))
+    pages = pages.where("not second").drop("second")
 
     # Units that no such page has cannot be on all pages of a layout.
     kind = "host string, layout long, body long, key long"
@@ -492,15 +507,22 @@ def _wrappers(d: DataFrame, laid: DataFrame) -> DataFrame:
     none = F.array().cast("array<long>")
     d = d.withColumn("keys", F.concat(F.coalesce("here", none), F.coalesce("over", none)))
     alone = (F.col("n") == 1) & (F.col("total") > 1)
-    many = d.where(~alone).withColumn("other", F.lit(None).cast("string"))
+    many = d.where(~alone).join(second, "layout", "left")
     single = d.where(alone).withColumn("to", F.when(
         F.col("layout") == F.col("most.layout"), F.col("least.layout"))
         .otherwise(F.col("most.layout")))
     single = single.join(pages.select(F.col("layout").alias("to"),
                                       F.col("html").alias("other")), "to")
     names = ["host", "layout", "html", "other", "keys"]
-    return (many.select(*names, F.col("n").alias("pages"))
-            .unionByName(single.select(*names, F.col("total").alias("pages")))
+    return (many.select(*names, F.col("n").alias("pages"), F.lit(True).alias("alike"))
+            .unionByName(single.select(*names, F.col("total").alias("pages"),
+                                       F.lit(False).alias("alike"))))
+
+
+def _wrappers(d: DataFrame, laid: DataFrame) -> DataFrame:
+    """layout and wrapper of every layout. ``laid``: host, h, part, layout, body, size of
+    every page."""
+    return (_compared(d, laid)
             .mapInArrow(_induced, "layout long, wrapper string"))
 
 
