@@ -82,6 +82,33 @@ def test_chain_of_near_copies_and_a_crowd(spark):
     assert sorted(got, key=str) == brute(rows)
 
 
+def test_crowd_of_near_copies_makes_few_pairs(spark, monkeypatch):
+    """A crowd whose members share most shingles, but link with some others only, meets in few
+    lists first; what is left is little. Counts of the wanted come in one job."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(160):
+        w = list(base)
+        for at in rng.sample(range(0, 120, 8), 5):
+            w[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(w)))
+    met = []
+    pairs = jaccard_join._center_pairs
+
+    def counted(lists, threshold, nearest=None):
+        met.append((nearest, lists.count(), lists.select("center").distinct().count()))
+        return pairs(lists, threshold, nearest)
+
+    monkeypatch.setattr(jaccard_join, "_center_pairs", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = [(r.doc_id, r.n_shingles, r.component_id)
+           for r in jaccard_join.classes(df).collect()]
+    assert sorted(got, key=str) == brute(rows)
+    nearest, entries, centers = met[0]
+    assert nearest and centers > 100 and entries <= jaccard_join._LISTS * centers
+
+
 def test_every_shingle_hot(spark, monkeypatch):
     """All shingles on the spread path give the same links."""
     monkeypatch.setattr(jaccard_join, "_levels",

@@ -17,8 +17,9 @@ Two documents link when their sets of word shingles have a Jaccard similarity of
 4. The rest. Shingles whose lists still join different components give pairs of centers (a
    class, or that which it links with). Parity signatures, which never differ in more bits than
    the sets in shingles, and the number of shared prefix shingles that a pair needs rule out
-   most. First each center meets its few likeliest partners, which turns crowds into single
-   components; then all pairs that are left between components are verified. Jaccard
+   most. First each center meets its few likeliest partners in few lists (those of its least
+   shingles by as many hashes, which like sets share), so that crowds become single components
+   and their pairs are not made once a shared shingle; then all pairs that are left between components are verified. Jaccard
    distance is a metric, so members x, y of two centers at distance D can link only if
    D - d(x, center) - d(y, center) is at most 1 - t; those are expanded and verified.
 
@@ -58,7 +59,8 @@ SLOTS = 1 << 20  # counters of shingle occurrences
 _BLOCK = 1 << 10  # counters in one row of the exchange
 _COLD, _HOT_PARTS = -1, 128  # spread of an entry of level 0; parts of a hot list
 _SPREAD, _SIZE = 56, 28  # where spread, n and pos lie in x
-_PARTNERS = 3  # others that each center meets first
+_PARTNERS = 3  # others that each center meets first in a list
+_LISTS = 4  # lists in which it does
 _SQUARE = 512  # entries of a list that meet at once
 
 
@@ -182,7 +184,7 @@ def _levels(sets: DataFrame) -> np.ndarray:
     count = np.zeros((SLOTS // _BLOCK, _BLOCK), np.int64)
     rows = (sets.where("kind = 1").select("block", "counts").repartition(16, "block")
             .mapInArrow(add, "block int, counts binary"))
-    for r in rows.toLocalIterator():  # SLOTS counters in all, whatever the corpus
+    for r in rows.collect():  # one job, and SLOTS counters in all, whatever the corpus
         count[r.block] += np.frombuffer(r.counts, np.int64)
     count = count.ravel()
     mean = count.mean()
@@ -346,7 +348,7 @@ def _linked(threshold: int) -> Column:
 
 
 def _center_pairs(rows: DataFrame, threshold: int, nearest: int | None = None) -> DataFrame:
-    """Pairs of centers in different components that may link, or whose members may, from the
+    """Pairs of centers in different components that may link, or whose members may, from
     entries (token, center, root, n, r, own, sig) of shingles that join several components. ``r``:
     the largest distance of a member from its center; ``own``: 1 if the center itself has the
     shingle in its prefix, 0 if a member has. With ``nearest``, of each list only the pairs of
@@ -494,15 +496,23 @@ def classes(docs: DataFrame, k: int = WORDS, threshold: int = 80) -> DataFrame:
         spots = (node.groupBy("grp", "center", "root")
                  .agg(F.max((F.col("gid") == F.col("center")).cast("int")).alias("own")))
         ends = node.groupBy("grp").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-        mixed = (entries.select("token", "grp", F.col("first.grp").alias("to"))
-                 .join(ends, "grp")
-                 .join(ends.select(F.col("grp").alias("to"), F.col("lo").alias("lo2"),
-                                   F.col("hi").alias("hi2")), "to")
-                 .where("lo <> hi or lo2 <> hi2 or lo <> lo2")
-                 .select("token").distinct())
-        rows = entries.select("token", "grp").join(mixed, "token").join(spots, "grp")
-        rows = (rows.groupBy("token", "center", "root").agg(F.max("own").alias("own"))
-                .join(about, "center")
+        rows = entries.select("token", "grp")
+        if nearest is None:
+            mixed = (entries.select("token", "grp", F.col("first.grp").alias("to"))
+                     .join(ends, "grp")
+                     .join(ends.select(F.col("grp").alias("to"), F.col("lo").alias("lo2"),
+                                       F.col("hi").alias("hi2")), "to")
+                     .where("lo <> hi or lo2 <> hi2 or lo <> lo2")
+                     .select("token").distinct())
+            rows = (rows.join(mixed, "token").join(spots, "grp")
+                    .groupBy("token", "center", "root").agg(F.max("own").alias("own")))
+        else:
+            least = [F.min_by("token", F.xxhash64(F.lit(i), "token")) for i in range(_LISTS)]
+            rows = (rows.join(spots, "grp").groupBy("center", "root")
+                    .agg(F.array_distinct(F.array(*least)).alias("tokens"))
+                    .select(F.explode("tokens").alias("token"), "center", "root",
+                            F.lit(0).alias("own")))
+        rows = (rows.join(about, "center")
                 .select("token", "center", "root", F.col("n").cast("long").alias("n"),
                         F.col("r").cast("double").alias("r"), "own", "sig"))
         pairs = _center_pairs(rows, threshold, nearest)
@@ -523,7 +533,7 @@ def classes(docs: DataFrame, k: int = WORDS, threshold: int = 80) -> DataFrame:
             .unionByName(links)), "roots")
 
     # Each center with its likeliest partners first: dense crowds become one component, and
-    # what is left between components is little.
+    # what is left between components is little. Pairs that this misses come up below.
     near = meeting(roots, _PARTNERS)[2].where(_linked(threshold)).select("a", "b")
     roots = joined(roots, near)
     node, widest, centers = meeting(roots, None)
